@@ -236,8 +236,8 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n.path for n in tops], pa.string()), pa.array([weight(n) for n in tops], pa.float64())], names=["host", "path", "weight"])
 
     votes = rows.select("host", "html").mapInArrow(vote, "host string, path string, weight double").where("path != ''")
-    # a large page counts no more than a few usual ones
-    summed = votes.groupBy("host", "path").agg(F.sum(F.least("weight", F.lit(20_000.0))).alias("votes"))
+    # each page votes once, a little more the more text it has
+    summed = votes.groupBy("host", "path").agg(F.sum(F.log1p("weight")).alias("votes"))
     winners = materialise(summed.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("path")), "paths")
     small = checked_broadcast(winners, 100_000)
     if small is winners:
