@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..params import DEFAULT, Params
+from ..sources.scratch import materialise
 
 TIERS = ("Least Severe", "Low", "Moderate", "High", "Most Severe")
 #: Name and whether a higher value is worse.
@@ -34,7 +35,9 @@ def _ranked(clustered: DataFrame, by: str) -> DataFrame:
 
 def severity_classes(rows: DataFrame, value: str, params: Params = DEFAULT) -> DataFrame:
     """``rows`` with a value, their class_rank and its label: the range of the class's values."""
-    fitted = _ranked(_clusters(rows.where(F.col(value).isNotNull()), [value], params.classes), value)
+    # the fits read the rows again and again
+    points = materialise(rows.where(F.col(value).isNotNull()), "points")
+    fitted = _ranked(_clusters(points, [value], params.classes), value)
     label = F.concat(F.format_number("class_low", 0), F.lit("–"), F.format_number("class_high", 0))
     return fitted.withColumn("class_label", label).drop("class_low", "class_high")
 
@@ -44,6 +47,7 @@ def multi_feature_classes(rows: DataFrame, params: Params = DEFAULT) -> DataFram
 
     A feature without variance keeps its scale.
     """
+    rows = materialise(rows, "points")
     stats = rows.agg(*[F.avg(c).alias(f"__m_{c}") for c, _ in FEATURES], *[F.stddev_pop(c).alias(f"__s_{c}") for c, _ in FEATURES])
     wide = rows.crossJoin(F.broadcast(stats))  # one row of totals
     names = []
@@ -52,7 +56,7 @@ def multi_feature_classes(rows: DataFrame, params: Params = DEFAULT) -> DataFram
         wide = wide.withColumn(f"__z_{c}", z if worse else -z)
         names.append(f"__z_{c}")
     total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
-    scored = wide.withColumn("class_score", total / len(names))
+    scored = materialise(wide.withColumn("class_score", total / len(names)), "scored")
     fitted = _ranked(_clusters(scored, names, params.classes), "class_score")
     tiers = F.array(*[F.lit(t) for t in TIERS])
     return fitted.withColumn("tier", F.element_at(tiers, F.col("class_rank") + 1)).select(*rows.columns, "class_score", "class_rank", "tier")

@@ -61,7 +61,7 @@ def _replaced(w: Warehouse) -> DataFrame:
 
 
 register("s5_replace_slice", _replaced, f"""SELECT {DAILY} FROM daily WHERE (analysis_date < DATE '2024-01-20' AND NOT (analysis_date >= DATE '2024-01-15' AND corridor_id <= 2)) OR (analysis_date > DATE '2024-01-15' AND corridor_id <= 2)""")
-register("s6_cascade_children", lambda w: sinks.drop_orphans(w.members, w.bottlenecks.where("corridor_group = 'Arterial'"), ["bottleneck_id"]), "SELECT bottleneck_id, segment_order FROM members WHERE bottleneck_id IN (SELECT bottleneck_id FROM bottlenecks WHERE corridor_group = 'Arterial')")
+register("s6_cascade_children", lambda w: sinks.drop_orphans(w.members, w.stage("bottlenecks").where("corridor_group = 'Arterial'"), ["bottleneck_id"]), "SELECT bottleneck_id, segment_order FROM members WHERE bottleneck_id IN (SELECT bottleneck_id FROM bottlenecks WHERE corridor_group = 'Arterial')")
 
 
 def _pairs(w: Warehouse) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +78,7 @@ EXPORTED = ("corridor_definitions", "corridor_segments", "segment_profile", "bot
 def _exported(w: Warehouse) -> DataFrame:
     spark = w.segments.sparkSession
     base = scratch_path(spark, "export")
-    sinks.export(dict(zip(EXPORTED, (w.definitions, w.ordered, w.profile, w.bottlenecks, w.watched, w.segments), strict=True)), base)
+    sinks.export(dict(zip(EXPORTED, (w.definitions, w.ordered, w.stage("profile"), w.stage("bottlenecks"), w.watched, w.segments), strict=True)), base)
     counts = [spark.read.parquet(f"{base}/{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows")) for n in EXPORTED]
     out = counts[0]
     for df in counts[1:]:
@@ -142,7 +142,7 @@ register(
 register("n12_active_corridors", lambda w: network.active_corridors(w.definitions, group="Arterial"), "SELECT corridor_id, road, direction, corridor_name, corridor_group FROM registry WHERE is_active AND corridor_group = 'Arterial'")
 register("n13_corridor_extent", lambda w: network.corridor_extent(w.ordered), "SELECT corridor_id, arg_min(intersection, segment_order) AS from_intersection, arg_max(intersection, segment_order) AS to_intersection FROM segs GROUP BY corridor_id")
 register(
-    "n14_corridor_summary", lambda w: network.corridor_summary(w.definitions, w.ordered, w.daily, w.events),
+    "n14_corridor_summary", lambda w: network.corridor_summary(w.definitions, w.ordered, w.daily, w.stage("events")),
     f"""SELECT corridor_id, corridor_name, (SELECT count(DISTINCT tmc) FROM segs AS s WHERE s.corridor_id = d.corridor_id) AS tmcs, (SELECT {r("sum(miles)", 2)} FROM segs AS s WHERE s.corridor_id = d.corridor_id) AS miles,
     (SELECT count(DISTINCT analysis_date) FROM daily AS x WHERE x.corridor_id = d.corridor_id) AS analyzed_days, (SELECT count(*) FROM events AS e WHERE e.corridor_id = d.corridor_id) AS events FROM registry AS d WHERE is_active""",
 )
@@ -152,7 +152,7 @@ register(
     UNION ALL SELECT 'group', corridor_group, count(*), NULL FROM registry WHERE is_active GROUP BY corridor_group UNION ALL SELECT 'watch', road_class, count(*), {r("sum(miles)", 2)} FROM watch GROUP BY road_class""",
 )
 register(
-    "n16_scope_counts", lambda w: observations.scope_counts(w.readings, w.segments, w.ordered, w.watched, w.definitions, w.events, w.bottlenecks, w.metrics),
+    "n16_scope_counts", lambda w: observations.scope_counts(w.readings, w.segments, w.ordered, w.watched, w.definitions, w.stage("events"), w.stage("bottlenecks"), w.stage("metrics")),
     """SELECT (SELECT count(*) FROM probe) AS probe_total, (SELECT min(measurement_tstamp) FROM probe) AS probe_min, (SELECT max(measurement_tstamp) FROM probe) AS probe_max, (SELECT count(*) FROM probe JOIN segs ON tmc = tmc_code) + (SELECT count(*) FROM probe JOIN watch ON tmc = tmc_code) AS probe_analyzed,
     (SELECT count(*) FROM events) AS events_total, (SELECT min(analysis_date) FROM events) AS date_min, (SELECT max(analysis_date) FROM events) AS date_max, (SELECT count(DISTINCT analysis_date) FROM events) AS date_count, (SELECT count(*) FROM tmc) AS tmc_total, (SELECT count(*) FROM segs) AS segments_total,
     (SELECT count(*) FROM watch) AS watch_total, (SELECT count(*) FROM registry WHERE is_active) AS corridors_total, (SELECT count(*) FROM bottlenecks) AS bottlenecks_total, (SELECT count(*) FROM metrics) AS daily_metrics_total""",
@@ -179,9 +179,10 @@ def _materialised(w: Warehouse) -> DataFrame:
 register("d2_daily_rollup", _rollup, ROLLUP)
 register("s13_materialised_daily", _materialised, ROLLUP)
 register("d3_available_days", lambda w: observations.available_days(w.joined), "SELECT DISTINCT corridor_id, analysis_date FROM joined")
+# the ledger of this query: days on which the corridor had an event of 8 mile-hours or more
 register(
-    "d4_remaining_days", lambda w: observations.remaining_days(observations.available_days(w.joined), w.events, day_limit=5),
-    "SELECT corridor_id, analysis_date FROM (SELECT DISTINCT corridor_id, analysis_date FROM joined) AS a WHERE NOT EXISTS (SELECT 1 FROM events AS e WHERE e.corridor_id = a.corridor_id AND e.analysis_date = a.analysis_date) QUALIFY row_number() OVER (PARTITION BY corridor_id ORDER BY analysis_date) <= 5",
+    "d4_remaining_days", lambda w: observations.remaining_days(observations.available_days(w.joined), w.events.where("event_area_mile_hours >= 8"), day_limit=5),
+    "SELECT corridor_id, analysis_date FROM (SELECT DISTINCT corridor_id, analysis_date FROM joined) AS a WHERE NOT EXISTS (SELECT 1 FROM events AS e WHERE e.corridor_id = a.corridor_id AND e.analysis_date = a.analysis_date AND event_area_mile_hours >= 8) QUALIFY row_number() OVER (PARTITION BY corridor_id ORDER BY analysis_date) <= 5",
 )
 
 
@@ -195,7 +196,7 @@ register("d6_hourly_curve", lambda w: observations.hourly_curve(w.readings), f"S
 register("d7_hourly_by_class", lambda w: observations.hourly_curve_by_class(w.readings, w.segments), "SELECT road_class, hour, avg_speed FROM class_curve")
 register("d8_extreme_hours", lambda w: w.extremes, "SELECT kind, hour FROM extremes")
 register("d9_overnight_share", lambda w: w.eligibility, "SELECT bottleneck_id, overnight_congested_pct, ranking_eligible FROM overnight")
-register("d10_reference_speed", lambda w: observations.extent_reference_speed(w.bottlenecks, w.ordered, w.readings), f"SELECT bottleneck_id, {r('avg(reference_speed)', 3)} AS avg_reference_speed FROM probe JOIN within_extent ON tmc = tmc_code GROUP BY bottleneck_id")
+register("d10_reference_speed", lambda w: observations.extent_reference_speed(w.stage("bottlenecks"), w.ordered, w.readings), f"SELECT bottleneck_id, {r('avg(reference_speed)', 3)} AS avg_reference_speed FROM probe JOIN within_extent ON tmc = tmc_code GROUP BY bottleneck_id")
 
 # --- events ------------------------------------------------------------------------------------
 
@@ -211,7 +212,7 @@ register(
 register("e6_event_labels", lambda w: w.labels, f"SELECT {CELL}, label FROM labels")
 register("e7_mileposts", lambda w: events.mileposts(w.cells).select("corridor_id", "analysis_date", "segment_order", "tmc", c.rounded(F.col("start_mile"), 6).alias("start_mile"), c.rounded(F.col("end_mile"), 6).alias("end_mile")), f"SELECT corridor_id, analysis_date, segment_order, tmc, {r('start_mile', 6)} AS start_mile, {r('end_mile', 6)} AS end_mile FROM posts")
 SLICE = ("run_miles", "total_miles", "upstream_mile")
-register("e8_slices", lambda w: events.slices(w.labels, events.mileposts(w.cells)).select("corridor_id", "analysis_date", "label", "slot", "first_order", *[c.rounded(F.col(x), 6).alias(x) for x in SLICE]), f"SELECT corridor_id, analysis_date, label, slot, first_order, {', '.join(f'{r(x, 6)} AS {x}' for x in SLICE)} FROM slices")
+register("e8_slices", lambda w: events.slices(w.labels, events.mileposts(w.stage("cells"))).select("corridor_id", "analysis_date", "label", "slot", "first_order", *[c.rounded(F.col(x), 6).alias(x) for x in SLICE]), f"SELECT corridor_id, analysis_date, label, slot, first_order, {', '.join(f'{r(x, 6)} AS {x}' for x in SLICE)} FROM slices")
 EVENT = "corridor_id, analysis_date, event_id, start_time, end_time, duration_minutes, cell_count, segment_count, first_segment_order, last_segment_order, first_tmc, last_tmc, first_intersection, last_intersection, maximum_contiguous_extent_miles, maximum_total_active_miles, event_area_mile_hours, average_speed_mph, minimum_speed_ratio, average_speed_ratio, average_speed_drop_mph, maximum_speed_drop_mph, corridor_start_mile, corridor_end_mile"
 register("e9_events", lambda w: w.events.select(*EVENT.split(", ")), f"SELECT {EVENT} FROM events")
 register("e10_retained_events", lambda w: w.events.groupBy("corridor_id").agg(F.count(F.lit(1)).alias("events"), F.min("cell_count").alias("least_cells"), F.min("duration_minutes").alias("least_minutes"), F.min("segment_count").alias("least_segments"), F.min("maximum_contiguous_extent_miles").alias("least_miles")), "SELECT corridor_id, count(*) AS events, min(cell_count) AS least_cells, min(duration_minutes) AS least_minutes, min(segment_count) AS least_segments, min(maximum_contiguous_extent_miles) AS least_miles FROM events GROUP BY corridor_id")
@@ -234,7 +235,7 @@ register("b6_membership", lambda w: w.members, "SELECT bottleneck_id, segment_or
 register("c1_queue_series", lambda w: w.queues.withColumns({x: F.round(x, 6) for x in ("average_congested_speed_ratio", "minimum_speed_ratio")}), "SELECT * REPLACE (round(average_congested_speed_ratio, 6) AS average_congested_speed_ratio, round(minimum_speed_ratio, 6) AS minimum_speed_ratio) FROM queues")
 register("c2_daily_metrics", lambda w: w.metrics.drop("queue_growth_rate_mph", "queue_dissipation_rate_mph"), "SELECT * EXCLUDE (queue_growth_rate_mph, queue_dissipation_rate_mph) FROM metrics")
 register("c3_queue_rates", lambda w: w.metrics.where("occurrence").select("bottleneck_id", "analysis_date", "queue_growth_rate_mph", "queue_dissipation_rate_mph"), "SELECT bottleneck_id, analysis_date, queue_growth_rate_mph, queue_dissipation_rate_mph FROM metrics WHERE occurrence")
-register("c4_occurrence_details", lambda w: characterise.occurrence_details(w.metrics, w.bottlenecks), "SELECT b.corridor_id, m.bottleneck_id, b.representative_intersection, analysis_date, onset_time, peak_time, clearance_time, active_congestion_minutes, maximum_queue_miles, queue_mile_hours, m.average_congested_speed_ratio FROM metrics AS m JOIN bottlenecks AS b ON b.bottleneck_id = m.bottleneck_id WHERE occurrence")
+register("c4_occurrence_details", lambda w: characterise.occurrence_details(w.metrics, w.stage("bottlenecks")), "SELECT b.corridor_id, m.bottleneck_id, b.representative_intersection, analysis_date, onset_time, peak_time, clearance_time, active_congestion_minutes, maximum_queue_miles, queue_mile_hours, m.average_congested_speed_ratio FROM metrics AS m JOIN bottlenecks AS b ON b.bottleneck_id = m.bottleneck_id WHERE occurrence")
 
 # --- rankings ------------------------------------------------------------------------------------
 
@@ -243,23 +244,23 @@ register("k2_ranked_dashboard", lambda w: w.ranked, "SELECT * FROM ranked")
 PERIOD = f"""{o.SHARES}, {r("avg(active_congestion_minutes) FILTER (occurrence)", 1)} AS avg_active_minutes, {r("avg(maximum_queue_miles) FILTER (occurrence)", 2)} AS avg_max_queue_miles, {r("sum(queue_mile_hours)", 2)} AS queue_mile_hours"""
 JOINED = "FROM metrics AS m JOIN bottlenecks AS b ON b.bottleneck_id = m.bottleneck_id"
 OWN = "m.bottleneck_id, corridor, direction, representative_intersection"
-register("k3_monthly_dashboard", lambda w: ranking.monthly_dashboard(w.bottlenecks, w.metrics), f"SELECT {OWN}, CAST(date_trunc('month', analysis_date) AS DATE) AS month, {PERIOD}, {r('max(maximum_queue_miles)', 2)} AS max_queue_miles, {r('avg(m.average_congested_speed_ratio) FILTER (occurrence)', 3)} AS avg_congested_speed_ratio {JOINED} GROUP BY {OWN}, date_trunc('month', analysis_date)")
-register("k4_weekday_dashboard", lambda w: ranking.weekday_dashboard(w.bottlenecks, w.metrics), f"SELECT {OWN}, CAST(isodow(analysis_date) AS INTEGER) AS weekday_number, strftime(analysis_date, '%a') AS weekday_name, {PERIOD} {JOINED} GROUP BY {OWN}, isodow(analysis_date), strftime(analysis_date, '%a')")
+register("k3_monthly_dashboard", lambda w: ranking.monthly_dashboard(w.stage("bottlenecks"), w.metrics), f"SELECT {OWN}, CAST(date_trunc('month', analysis_date) AS DATE) AS month, {PERIOD}, {r('max(maximum_queue_miles)', 2)} AS max_queue_miles, {r('avg(m.average_congested_speed_ratio) FILTER (occurrence)', 3)} AS avg_congested_speed_ratio {JOINED} GROUP BY {OWN}, date_trunc('month', analysis_date)")
+register("k4_weekday_dashboard", lambda w: ranking.weekday_dashboard(w.stage("bottlenecks"), w.metrics), f"SELECT {OWN}, CAST(isodow(analysis_date) AS INTEGER) AS weekday_number, strftime(analysis_date, '%a') AS weekday_name, {PERIOD} {JOINED} GROUP BY {OWN}, isodow(analysis_date), strftime(analysis_date, '%a')")
 register("k5_region_monthly", lambda w: region.by_month(w.events), "SELECT * FROM months")
 register("k5_region_weekday", lambda w: region.by_weekday(w.events), "SELECT * FROM weekdays")
 register("k6_region_hourly", lambda w: region.by_hour(w.events), "SELECT * FROM hours")
 register("k7_region_county", lambda w: region.by_county(w.events, w.segments), "SELECT * FROM counties")
 register("k7_top_counties", lambda w: region.top_counties(region.by_county(w.events, w.segments)), "SELECT * FROM counties WHERE county <> 'UNKNOWN' ORDER BY total_mile_hours DESC, county LIMIT 15")
 register(
-    "k8_worst_day", lambda w: region.worst_day_summary(region.worst_day(w.events), w.metrics, w.ranked, w.segments, w.districts),
+    "k8_worst_day", lambda w: region.worst_day_summary(region.worst_day(w.events), w.stage("metrics"), w.ranked, w.segments, w.districts),
     """SELECT w.analysis_date, w.total_mile_hours, b.bottleneck_id, b.queue_mile_hours AS day_queue_mile_hours, b.active_congestion_minutes, b.corridor_name, b.direction, b.representative_intersection, b.peak_segment_aadt, b.aadt_weighted_severity_index, t.county, c.cid_name FROM worst AS w
     LEFT JOIN (SELECT m.queue_mile_hours, m.active_congestion_minutes, k.* FROM metrics AS m JOIN ranked AS k ON k.bottleneck_id = m.bottleneck_id WHERE m.occurrence AND k.ranking_eligible AND m.analysis_date = (SELECT analysis_date FROM worst) ORDER BY m.queue_mile_hours DESC, k.bottleneck_id LIMIT 1) AS b ON true
     LEFT JOIN tmc AS t ON t.tmc = b.peak_tmc LEFT JOIN districts AS c ON c.tmc = b.peak_tmc""",
 )
-register("k9_worst_day_bottlenecks", lambda w: region.worst_day_bottlenecks(region.worst_day(w.events), w.metrics, w.ranked), "SELECT DISTINCT m.bottleneck_id FROM metrics AS m JOIN ranked AS k ON k.bottleneck_id = m.bottleneck_id WHERE m.occurrence AND k.ranking_eligible AND m.analysis_date = (SELECT analysis_date FROM worst)")
-register("k10_worst_day_hours", lambda w: region.worst_day_hours(region.worst_day(w.events), w.events), f"SELECT CAST(hour(hour_start) AS INTEGER) AS hour_of_day, {r('sum(event_area_mile_hours * overlap_minutes / nullif(duration_minutes, 0))', 2)} AS total_mile_hours FROM hour_parts WHERE overlap_minutes > 0 AND analysis_date = (SELECT analysis_date FROM worst) GROUP BY ALL")
+register("k9_worst_day_bottlenecks", lambda w: region.worst_day_bottlenecks(region.worst_day(w.events), w.stage("metrics"), w.ranked), "SELECT DISTINCT m.bottleneck_id FROM metrics AS m JOIN ranked AS k ON k.bottleneck_id = m.bottleneck_id WHERE m.occurrence AND k.ranking_eligible AND m.analysis_date = (SELECT analysis_date FROM worst)")
+register("k10_worst_day_hours", lambda w: region.worst_day_hours(region.worst_day(w.stage("events")), w.stage("events")), f"SELECT CAST(hour(hour_start) AS INTEGER) AS hour_of_day, {r('sum(event_area_mile_hours * overlap_minutes / nullif(duration_minutes, 0))', 2)} AS total_mile_hours FROM hour_parts WHERE overlap_minutes > 0 AND analysis_date = (SELECT analysis_date FROM worst) GROUP BY ALL")
 register(
-    "k11_peak_labels", lambda w: region.peaks_of(region.by_month(w.events), region.by_weekday(w.events), region.by_hour(w.events)),
+    "k11_peak_labels", lambda w: region.peaks_of(region.by_month(w.stage("events")), region.by_weekday(w.stage("events")), region.by_hour(w.stage("events"))),
     """(SELECT 'month' AS kpi, strftime(month, '%B') AS label, total_mile_hours AS value FROM months ORDER BY total_mile_hours DESC, month LIMIT 1) UNION ALL (SELECT 'weekday', weekday_name, total_mile_hours FROM weekdays ORDER BY total_mile_hours DESC, weekday_number LIMIT 1)
     UNION ALL (SELECT 'hour', CAST(hour_of_day AS VARCHAR), total_mile_hours FROM hours ORDER BY total_mile_hours DESC, hour_of_day LIMIT 1)""",
 )
@@ -267,23 +268,23 @@ PEAK_HOT = f"(SELECT bottleneck_id, {o.HOUR_DOW} FROM probe JOIN (SELECT bottlen
 SPAN_HOT = f"(SELECT bottleneck_id, {o.HOUR_DOW} FROM probe JOIN within_extent ON tmc = tmc_code WHERE {HOT})"
 LABELS = f"{clock('p.peak_hour')} AS peak_hour_label, {weekday('p.peak_dow')} AS peak_weekday_name"
 register(
-    "k12_regional_ranking", lambda w: ranking.regional_ranking(w.ranked, w.segments, w.districts, w.readings),
+    "k12_regional_ranking", lambda w: ranking.regional_ranking(w.stage("ranked"), w.segments, w.districts, w.readings),
     f"""SELECT network_severity_rank, k.bottleneck_id, corridor_name, corridor_group, corridor AS road, k.direction, representative_intersection, occurrence_pct, annual_queue_mile_hours, avg_congested_speed_ratio, severity_index, aadt_weighted_severity_index, analyzed_days, t.county, c.cid_name, peak_segment_aadt AS aadt, peak_tmc AS tmc, {LABELS}
     FROM ranked AS k LEFT JOIN tmc AS t ON t.tmc = peak_tmc LEFT JOIN districts AS c ON c.tmc = peak_tmc LEFT JOIN ({o._picks(PEAK_HOT, "bottleneck_id")}) AS p ON p.bottleneck_id = k.bottleneck_id WHERE k.ranking_eligible""",
 )
 register(
-    "k13_corridor_ranking", lambda w: ranking.corridor_ranking(w.ranked, w.segments, w.ordered, w.readings),
+    "k13_corridor_ranking", lambda w: ranking.corridor_ranking(w.stage("ranked"), w.segments, w.ordered, w.readings),
     f"""SELECT k.corridor_id, corridor_severity_rank AS severity_rank, k.bottleneck_id, representative_intersection, occurrence_pct, annual_queue_mile_hours, avg_congested_speed_ratio, severity_index, t.county, peak_segment_aadt AS aadt, {LABELS}
     FROM ranked AS k LEFT JOIN tmc AS t ON t.tmc = peak_tmc LEFT JOIN ({o._picks(SPAN_HOT, "bottleneck_id")}) AS p ON p.bottleneck_id = k.bottleneck_id""",
 )
 register(
-    "k14_report_ranking", lambda w: ranking.report_ranking(w.ranked, observations.extent_reference_speed(w.bottlenecks, w.ordered, w.readings)),
+    "k14_report_ranking", lambda w: ranking.report_ranking(w.ranked, observations.extent_reference_speed(w.stage("bottlenecks"), w.ordered, w.readings)),
     f"""SELECT corridor_id, corridor_severity_rank, k.bottleneck_id, representative_intersection, analyzed_days, occurrence_days, occurrence_pct, avg_active_minutes, median_active_minutes, p95_active_minutes, avg_max_queue_miles, annual_max_queue_miles, annual_queue_mile_hours, avg_congested_speed_ratio, severity_index,
     {r("avg_congested_speed_ratio * f.speed", 1)} AS approximate_speed_mph FROM ranked AS k LEFT JOIN (SELECT bottleneck_id, {r("avg(reference_speed)", 3)} AS speed FROM probe JOIN within_extent ON tmc = tmc_code GROUP BY bottleneck_id) AS f ON f.bottleneck_id = k.bottleneck_id""",
 )
 ELIGIBLE = "corridor_group = 'Arterial' AND ranking_eligible AND representative_intersection IS NOT NULL"
 register(
-    "k15_intersection_index", lambda w: ranking.intersection_index(w.ranked, w.ordered, w.segments, w.districts),
+    "k15_intersection_index", lambda w: ranking.intersection_index(w.stage("ranked"), w.ordered, w.segments, w.districts),
     f"""SELECT g.*, t.county, c.cid_name, round((t.start_latitude + t.end_latitude) / 2.0, 6) AS latitude, round((t.start_longitude + t.end_longitude) / 2.0, 6) AS longitude, CAST(rank() OVER (ORDER BY aadt_weighted_intersection_severity_index DESC NULLS FIRST) AS INTEGER) AS intersection_severity_rank FROM
     (SELECT representative_intersection, count(*) AS contributing_bottlenecks, string_agg(DISTINCT corridor || ' ' || {o.title("direction")}, ', ' ORDER BY corridor || ' ' || {o.title("direction")}) AS corridors, {r("sum(severity_index)", 2)} AS intersection_severity_index, {r("sum(aadt_weighted_severity_index)", 2)} AS aadt_weighted_intersection_severity_index,
     {r("avg(occurrence_pct)", 1)} AS avg_occurrence_pct, {r("sum(annual_queue_mile_hours)", 2)} AS total_annual_queue_mile_hours, {r("avg(avg_congested_speed_ratio)", 3)} AS avg_congested_speed_ratio, max(peak_segment_aadt) AS max_contributing_aadt FROM ranked WHERE {ELIGIBLE} GROUP BY representative_intersection) AS g
@@ -294,7 +295,7 @@ register("k16_watch_metrics", lambda w: w.watch, "SELECT * FROM watch_metrics")
 register("k17_severity_bins", lambda w: w.profile.select("corridor_id", "segment_order", c.severity_bin(F.col("weekday_occurrence_pct")).alias("severity_bin")), "SELECT corridor_id, segment_order, CAST(CASE WHEN weekday_occurrence_pct IS NULL THEN -1 WHEN weekday_occurrence_pct < 0 OR weekday_occurrence_pct >= 80 THEN 4 ELSE floor(weekday_occurrence_pct / 20) END AS INTEGER) AS severity_bin FROM profile")
 register("k18_severity_classes", lambda w: classify.severity_classes(w.ranked.where("ranking_eligible").select("bottleneck_id", "aadt_weighted_severity_index"), "aadt_weighted_severity_index"))
 register(
-    "k19_map_segments", lambda w: ranking.map_segments(w.bottlenecks, w.members, w.ranked, w.ordered, w.metrics).select("bottleneck_id", "corridor_id", "corridor_group", "corridor_name", "segment_order", "tmc", "severity", "worst_date", "worst_time", "width"),
+    "k19_map_segments", lambda w: ranking.map_segments(w.stage("bottlenecks"), w.members, w.ranked, w.ordered, w.stage("metrics")).select("bottleneck_id", "corridor_id", "corridor_group", "corridor_name", "segment_order", "tmc", "severity", "worst_date", "worst_time", "width"),
     """SELECT k.bottleneck_id, k.corridor_id, k.corridor_group, k.corridor_name, m.segment_order, s.tmc, aadt_weighted_severity_index AS severity, x.analysis_date AS worst_date, x.peak_time AS worst_time, CAST(CASE k.corridor_group WHEN 'Interstate' THEN 5.0 WHEN 'Expressway' THEN 4.0 ELSE 3.0 END AS DOUBLE) AS width
     FROM ranked AS k JOIN members AS m ON m.bottleneck_id = k.bottleneck_id JOIN segs AS s ON s.corridor_id = k.corridor_id AND s.segment_order = m.segment_order
     LEFT JOIN (SELECT * FROM metrics WHERE occurrence QUALIFY row_number() OVER (PARTITION BY bottleneck_id ORDER BY queue_mile_hours DESC, analysis_date) = 1) AS x ON x.bottleneck_id = k.bottleneck_id WHERE k.ranking_eligible""",
@@ -316,8 +317,8 @@ register("i4_combined", lambda w: w.chosen.select("tmc", "arterial_name"), "SELE
 register("i5_hourly_speeds", lambda w: w.hourly.select("tmc_code", "day", "hour", "dow", F.round("avg_speed", 6).alias("avg_speed")), "SELECT tmc_code, day, hour, dow, round(avg_speed, 6) AS avg_speed FROM hourly")
 register("i6_occurrence", lambda w: intersections.occurrence(w.day_speeds), "SELECT * FROM occurrences")
 register("i7_queue_hours", lambda w: intersections.queue_hours(w.flagged), "SELECT * FROM queue_hours")
-register("i8_picks", lambda w: intersections.picks(w.flagged), "SELECT * FROM picks")
-register("i9_characterization", lambda w: intersections.characterisation(w.day_speeds, w.flagged), "SELECT * FROM character")
+register("i8_picks", lambda w: intersections.picks(w.stage("flagged")), "SELECT * FROM picks")
+register("i9_characterization", lambda w: intersections.characterisation(w.day_speeds, w.stage("flagged")), "SELECT * FROM character")
 CAND = "tmc, arterial_name, speed_drop_ratio, occurrence_pct, annual_queue_mile_hours, max_queue_mile_hours, analyzed_days, aadt_filled, f_system_filled"
 register("i10_candidates", lambda w: w.candidates.select(*CAND.split(", ")), f"SELECT {CAND} FROM candidates")
 GROUP = "arterial_name, direction, intersection, speed_drop_ratio, occurrence_pct, aadt, county, tmc, analyzed_days, annual_queue_mile_hours, max_queue_mile_hours, peak_hour, onset_hour, busiest_dow, busiest_date, busiest_hour, min_speed"

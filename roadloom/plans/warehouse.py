@@ -9,18 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import bottlenecks, characterise, events, geo, intersections, network, observations, profile, ranking, region
 from ..params import DEFAULT, Params
 from ..sources import fixtures
+from ..sources.scratch import materialise
 
 
 class Warehouse:
     """Tables of the analysis for all corridors and days.
 
-    Build one from any segment and reading tables, or with ``of`` from a data folder.
+    Build one from any segment and reading tables, or with ``of`` from a data folder. What several
+    later stages read is written once to the shared scratch folder (``stage``), as the stages'
+    tables would be; the rest stays lazy.
     """
 
     def __init__(self, segments: DataFrame, readings: DataFrame, polygons: DataFrame | None = None, params: Params = DEFAULT):
         self.segments, self.readings, self.params = segments, readings, params
+        self._stages: dict[str, DataFrame] = {}
         self.polygons = fixtures.polygon_table(segments) if polygons is None else polygons
 
+    def stage(self, name: str) -> DataFrame:
+        """The table ``name`` from scratch files, written at the first call."""
+        if name not in self._stages:
+            self._stages[name] = materialise(getattr(self, name), name)
+        return self._stages[name]
+
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
         return cls(fixtures.segment_table(spark, sf_dir), fixtures.reading_table(spark, sf_dir))
@@ -51,19 +61,19 @@ class Warehouse:
 
     @cached_property
     def extents(self) -> DataFrame:
-        return bottlenecks.extents(self.profile, self.params)
+        return bottlenecks.extents(self.stage("profile"), self.params)
 
     @cached_property
     def bottlenecks(self) -> DataFrame:
-        return bottlenecks.bottlenecks(self.extents, self.profile, self.definitions, self.params)
+        return bottlenecks.bottlenecks(self.stage("extents"), self.stage("profile"), self.definitions, self.params)
 
     @cached_property
     def members(self) -> DataFrame:
-        return bottlenecks.membership(self.extents, self.profile, self.definitions, self.params)
+        return bottlenecks.membership(self.stage("extents"), self.stage("profile"), self.definitions, self.params)
 
     @cached_property
     def queues(self) -> DataFrame:
-        return characterise.queue_series(self.bottlenecks, self.ordered, self.readings, self.params)
+        return characterise.queue_series(self.stage("bottlenecks"), self.ordered, self.readings, self.params)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -71,11 +81,11 @@ class Warehouse:
 
     @cached_property
     def annual(self) -> DataFrame:
-        return ranking.annual_dashboard(self.bottlenecks, self.metrics)
+        return ranking.annual_dashboard(self.stage("bottlenecks"), self.stage("metrics"))
 
     @cached_property
     def eligibility(self) -> DataFrame:
-        return observations.overnight_share(self.bottlenecks, self.ordered, self.readings, self.params)
+        return observations.overnight_share(self.stage("bottlenecks"), self.ordered, self.readings, self.params)
 
     @cached_property
     def ranked(self) -> DataFrame:
@@ -91,7 +101,7 @@ class Warehouse:
 
     @cached_property
     def marked(self) -> DataFrame:
-        return events.closed_and_cores(events.raw_mask(self.cells, self.params), self.params)
+        return events.closed_and_cores(events.raw_mask(self.stage("cells"), self.params), self.params)
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -99,7 +109,7 @@ class Warehouse:
 
     @cached_property
     def events(self) -> DataFrame:
-        return region.active_events(events.events(self.cells, self.labels, self.params), self.definitions)
+        return region.active_events(events.events(self.stage("cells"), self.stage("labels"), self.params), self.definitions)
 
     @cached_property
     def watch(self) -> DataFrame:
@@ -120,19 +130,19 @@ class Warehouse:
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return intersections.hourly_speeds(self.readings, self.chosen)
+        return intersections.hourly_speeds(self.readings, self.stage("chosen"))
 
     @cached_property
     def day_speeds(self) -> DataFrame:
-        return intersections.day_speeds(self.hourly, self.extremes, self.params)
+        return intersections.day_speeds(self.stage("hourly"), self.stage("extremes"), self.params)
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return intersections.flagged_hours(self.hourly, self.extremes, self.params)
+        return intersections.flagged_hours(self.stage("hourly"), self.stage("extremes"), self.params)
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return intersections.candidates(self.chosen, intersections.characterisation(self.day_speeds, self.flagged, self.params), self.params)
+        return intersections.candidates(self.stage("chosen"), intersections.characterisation(self.day_speeds, self.stage("flagged"), self.params), self.params)
 
     @cached_property
     def severity(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -16,3 +16,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = f"/tmp/checkpoints/{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as a scratch Parquet table and read back: later stages start from its files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
