@@ -43,23 +43,52 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-
-    def word(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        if len(word) <= 64:
-            self.memo[word] = ids
-        return ids
+        #: ids of a word's last piece end with the mark
+        ends = [i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.last[ends] = True
+        # two generations: what is used again after the young one is full moves on, the rest goes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, words: set[str], alone: bool) -> None:
+        """Remember the ids of ``words``; pieces that aren't ``alone`` are one word each and share calls."""
+        if len(self.young) + len(words) > MEMO:
+            self.old, self.young = self.young, {}
+        fresh = []
+        for w in words:
+            if (ids := self.old.get(w)) is not None:
+                self.young[w] = ids
+            else:
+                fresh.append(w)
+        if alone:
+            for w in fresh:
+                self.young[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return
+        for at in range(0, len(fresh), 256):
+            some = fresh[at : at + 256]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            cuts = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(cuts) != len(some):
+                raise ValueError(f"{len(some)} words gave {len(cuts)} word ends")
+            data, start = ids.tobytes(), 0
+            for w, end in zip(some, cuts.tolist(), strict=True):
+                self.young[w] = data[start:end]
+                start = end
 
     def encode(self, text: str) -> bytes:
-        if self.PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            pieces = self.PIECE.findall(text.lower())
-        else:
-            pieces = self.SPACE.split(text)
-        get, word = self.memo.get, self.word
-        return b"".join([get(p) or word(p) for p in pieces])
+        plain = self.PLAIN.fullmatch(text) and not any(s in text for s in self.special)
+        pieces = self.PIECE.findall(text.lower()) if plain else [p for p in self.SPACE.split(text) if p]
+        out = []
+        # a long text in parts, so that the memo never has to hold all of its words
+        for at in range(0, len(pieces), MEMO // 4):
+            some = pieces[at : at + MEMO // 4]
+            ids = list(map(self.young.get, some))
+            while None in ids:  # twice where a new generation begins
+                self.learn(set(some).difference(self.young), not plain)
+                ids = list(map(self.young.get, some))
+            out += ids
+        return b"".join(out)
 
 
 @cache
