@@ -9,6 +9,7 @@ fingerprints share one), which is exact and grows linearly.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -23,8 +24,9 @@ from .components import connected_components
 
 BITS = 64
 SEED = 42
-#: Shingles whose bits are counted at once.
-CHUNK = 1 << 16
+#: Bytes of a text whose shingles are hashed at once.
+CHUNK = 1 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0d]+")
 
 
 def fingerprint(text: str, width: int = 3) -> int:
@@ -33,17 +35,28 @@ def fingerprint(text: str, width: int = 3) -> int:
     Words are cut at ASCII white space and lower-cased in A-Z; fewer words than ``width`` make one
     shingle. A bit is set if more than half of the shingles' hashes have it.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    data = text.encode("utf-8", "surrogatepass")
+    counts, total, carry, digest = np.zeros(BITS, dtype=np.int64), 0, [], xxhash.xxh64_intdigest
+    at = 0
+    while at < len(data):
+        # parts end at white space, so no word is cut
+        end = space.end() if (space := SPACE.search(data, at + CHUNK)) else len(data)
+        words = carry + data[at:end].lower().split()
+        at = end
+        if len(words) >= width:
+            shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
+        elif at == len(data) and words and not total:
+            shingles = iter([b" ".join(words)])
+        else:
+            carry = words
+            continue
+        hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
+        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(hashes)
+        carry = words[len(words) - width + 1 :]
+    if not total:
         return 0
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else iter([b" ".join(words)])
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
-    counts = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(hashes), CHUNK):
-        part = hashes[at : at + CHUNK]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * counts > len(hashes)).astype(np.uint8)
+    bits = (2 * counts > total).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 

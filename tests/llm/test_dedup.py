@@ -96,3 +96,10 @@ def test_chain_component(spark):
 
 def test_query_columns(spark, sf_dir):
     assert queries.op3_simhash(spark, sf_dir).columns == ["doc_id", "fingerprint", "component_id"]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64])
+def test_fingerprints_of_texts_in_parts(monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    for text in ("", "  ", "one", "one two", " one  two ", "one two three", "a b c d e f g h i j k l m n o p " * 5, "é ü\n\nwide\tone", "x" * 100 + " y z", "end "):
+        assert simhash.fingerprint(text) % 2**64 == brute.fingerprint(text)
