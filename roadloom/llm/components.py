@@ -15,6 +15,8 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
     else:
         near = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # from files, so that the join has a shuffle of its own and Spark can split a hub's many edges
+    low = materialise(low, "low")
     joined = near.join(low, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -127,8 +127,11 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, blocks:
     rows = materialise(fingerprints(docs, width), "fps")
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     parts = materialise(connected_components(links(distinct.select("fp"), distance, blocks, hot)), "parts")
-    classes = distinct.join(parts, F.col("fp") == F.col("vertex"), "left").select("fp", "first_id", F.coalesce("component", "fp").alias("class"))
-    named = classes.join(classes.groupBy("class").agg(F.min("first_id").alias("component_id")), "class").select("fp", "component_id")
+    linked = materialise(distinct.join(parts, F.col("fp") == F.col("vertex")).select("fp", "first_id", "component"), "linked")
+    # the smallest ids come from files: a component of very many fingerprints can then be split in the join
+    least = materialise(linked.groupBy("component").agg(F.min("first_id").alias("component_id")), "least")
+    found = linked.join(least, "component").select("fp", "component_id")
+    named = distinct.join(found, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
     return rows.join(materialise(named, "named"), "fp").select("doc_id", "fp", "component_id")
 
 
