@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import checked_broadcast, materialise, small_batches, text_of
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.DOTALL)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([A-Za-z_:-]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text for a program, up to their end tag.
@@ -32,7 +32,7 @@ DROP = RAW | frozenset("head nav header footer aside form button select input me
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Words in a class or id that name parts outside the main text.
 OUTSIDE = frozenset(
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottom sidebar side aside rail widget widgets notice notices alert banner cookie cookies consent gdpr ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted comment comments disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay form search pagination pager skip toolbar hidden"
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottom sidebar side aside rail widget widgets notice notices alert banner cookie cookies consent gdpr ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay form search pagination pager skip toolbar hidden"
     .split()
 )
 #: In such names the word says that the page has a part, not that the element is one.
@@ -49,10 +49,10 @@ class Node:
     path: str
     outside: bool
     order: int = 0
-    #: text of blocks directly below, links' share of it, and marks of a sentence
-    chars: int = 0
-    linked: int = 0
-    stops: int = 0
+    #: text credited to it, links' share of it, and marks of a sentence
+    chars: float = 0
+    linked: float = 0
+    stops: float = 0
     blocks: list = field(default_factory=list)
 
 
@@ -71,9 +71,10 @@ def _outside(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
-    """A path step: the tag and its first classes, digits generalised."""
+    """A path step: the tag, its first classes and its id, digits generalised."""
     names = sorted({re.sub(r"[0-9]+", "0", c) for c in attributes.get("class", "").split()})[:3]
-    return ".".join([tag, *names])
+    own = re.sub(r"[0-9]+", "0", attributes.get("id", "").strip())
+    return ".".join([tag, *names]) + ("#" + own if own else "")
 
 
 def containers(page: str) -> list[Node]:
@@ -114,13 +115,14 @@ def containers(page: str) -> list[Node]:
         if not match:
             break
         at = match.end()
-        tag = (match[2] or "").lower()
+        # the second form has a quote that isn't closed
+        closing, tag, inner = match[1] or match[4], (match[2] or match[5] or "").lower(), match[3] or match[6]
         if not tag:
             if match[0].startswith("<![CDATA[") and not stack[-1].outside:
                 buffer.append(match[0][9:].removesuffix("]]>"))
             continue
         block = tag in BLOCK
-        if match[1]:
+        if closing:
             if tag == "a":
                 links = max(0, links - 1)
             if any(n.tag == tag for n in stack[1:]):
@@ -138,7 +140,7 @@ def containers(page: str) -> list[Node]:
             elif block:
                 flush()
             continue
-        attributes = {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(match[3])} if match[3] else {}
+        attributes = {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(inner)} if inner else {}
         if block:
             flush()
             ends = CLOSES.get(tag, {"p"} if tag not in ("br",) else set())
@@ -171,10 +173,16 @@ def containers(page: str) -> list[Node]:
     parents = _parents(found)
     for order, (holder, text, in_links) in enumerate(blocks):
         if holder >= 0:
-            own = found[holder]
-            own.chars += len(text)
-            own.linked += in_links
-            own.stops += sum(map(text.count, ".!?,"))
+            # an article has the credit for all within it; elsewhere a parent has a part, so that
+            # text dealt over siblings is found above them
+            chain = [holder]
+            while parents[chain[-1]] >= 0:
+                chain.append(parents[chain[-1]])
+            whole = [i for i in chain if found[i].tag == "article"]
+            for i, share in [(whole[-1], 1.0)] if whole else [(i, x) for i, x in zip(chain[:2], (1.0, 0.6), strict=False)]:
+                found[i].chars += share * len(text)
+                found[i].linked += share * in_links
+                found[i].stops += share * sum(map(text.count, ".!?,"))
         while holder >= 0:
             found[holder].blocks.append((order, text))
             holder = parents[holder]
@@ -202,8 +210,8 @@ def best(nodes: list[Node]) -> Node:
 
 def weight(node: Node) -> float:
     lift = 3.0 if node.tag in ("article", "main") else 1.0
-    plain = max(0, node.chars - 2 * node.linked)
-    return lift * (plain + 10 * min(node.stops, plain // 20)) + (0.001 if node.tag in ("article", "main") else 0)
+    plain = max(0.0, node.chars - 2 * node.linked)
+    return lift * (plain + 10 * min(node.stops, plain / 20)) + (0.001 if node.tag in ("article", "main") else 0)
 
 
 def text_at(nodes: list[Node], path: str | None) -> str:

@@ -40,6 +40,17 @@ def test_odd_pages():
     assert html_extract.text_at(html_extract.containers("<p>a<p>b"), None) == "a b"
 
 
+def test_text_dealt_over_siblings():
+    sides = "<div class=sidebar><p>Side, and side.</p></div>"
+    one = f"<body><article><h1>Title</h1><div class=lead><p>Lead, here.</p></div><div class=body><p>{'Body, text. ' * 9}</p></div></article>{sides}</body>"
+    two = f"<body><div id=top><a href=x>Go, on</a></div><div id=page><h2>Title</h2><div><p>{'First, part. ' * 9}</p></div><div><p>{'Second, part. ' * 9}</p></div></div>{sides}</body>"
+    for page, want in ((one, f"Title Lead, here. {'Body, text. ' * 9}"), (two, f"Title {'First, part. ' * 9}{'Second, part. ' * 9}")):
+        nodes = html_extract.containers(page)
+        assert html_extract.text_at(nodes, html_extract.best(nodes).path) == want.strip()
+    open_quote = "<article><p title=\"it's>One, two.<p class='x\">Three, four.</article>"
+    assert html_extract.text_at(html_extract.containers(open_quote), None) == "One, two. Three, four."
+
+
 def test_hosts_agree_on_a_path(spark):
     good = [(i, f"https://H.example.com:80/{i}", PAGE.format(n=i)) for i in range(5)]
     # on its own this page's comments outweigh its article
