@@ -15,7 +15,7 @@ from .common import small_batches, text_of
 
 SYMBOLS = "#*$%&|<>"
 #: Lines are boilerplate if they hold one of these and are short.
-BOILERPLATE = re.compile(r"\b(?:javascript|lorem ipsum|cookies?|terms of (?:use|service)|privacy policy|all rights reserved|sign (?:in|up)|log ?in|subscribe|read more|click here|copyright)\b", re.IGNORECASE)
+BOILERPLATE = re.compile(r"\b(?:javascript|lorem ipsum|cookies?|terms of (?:use|service)|privacy policy|all rights reserved|sign (?:in|up)|log ?in|subscribe|read more|click here|copyright)\b", re.IGNORECASE | re.ASCII)
 ENDS = tuple(".!?:;,\"'”’»)]…。！？")
 
 

@@ -120,5 +120,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), clean_text=False)
 
 
+OP10_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+tokens AS (SELECT rid, unnest(words) AS w, unnest(range(len(words))) AS pos FROM (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs)),
+windows AS (SELECT rid, pos, w, CASE WHEN c IS NOT NULL AND count(*) OVER (PARTITION BY rid, w, b, c) > 1 THEN 1 ELSE 0 END AS twice
+    FROM (SELECT *, lead(w) OVER o AS b, lead(w, 2) OVER o AS c FROM tokens WINDOW o AS (PARTITION BY rid ORDER BY pos))),
+covered AS (SELECT rid, w, max(twice) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit FROM windows),
+word_sums AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars, sum(hit) AS n_repeat_words FROM covered GROUP BY rid),
+split AS (SELECT rid, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM (SELECT rid, string_split(text, chr(10)) AS lines FROM docs)),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, row_number() OVER (PARTITION BY rid, line ORDER BY i) AS seen, length(line) - length(replace(line, '!', '')) AS marks,
+    length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols, length(line) - length(replace(line, '|', '')) + (length(line) - length(replace(line, ' > ', ''))) / 3 + (length(line) - length(replace(line, ' » ', ''))) / 3 AS bars,
+    length(line) - length(regexp_replace(line, '\p{L}', '', 'g')) AS letters, length(line) - length(regexp_replace(line, '\p{Lu}', '', 'g')) AS capitals FROM split),
+judged AS (SELECT *, bars >= greatest(2, 0.3 * n) OR symbols > 0.5 * n OR (marks >= 0.5 * n AND n > 2 AND letters > 0 AND capitals >= 0.8 * letters)
+    OR (n <= 25 AND regexp_matches(line, '(?i)\b(?:javascript|lorem ipsum|cookies?|terms of (?:use|service)|privacy policy|all rights reserved|sign (?:in|up)|log ?in|subscribe|read more|click here|copyright)\b'))
+    OR (n < 5 AND NOT regexp_matches(line, '[.!?:;,"''”’»)\]…。！？]\s*$')) AS fails FROM counted WHERE n > 0),
+line_sums AS (SELECT rid, count(*) FILTER (seen > 1) AS n_dup_lines, coalesce(sum(n) FILTER (fails), 0) AS lost FROM judged GROUP BY rid),
+measured AS (SELECT d.doc_id, CAST(coalesce(w.n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(w.word_chars, 0) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(l.n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(w.n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(l.lost, 0) AS lost FROM docs AS d LEFT JOIN word_sums AS w ON w.rid = d.rid LEFT JOIN line_sums AS l ON l.rid = d.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 * n_words AS kept FROM measured
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_html_extract, op3_simhash, op4_secret_scan, op5_pii, op6_chat_format, op7_packing, op8_sentencepiece, op9_quality_fm, op10_quality_rules)}
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op10_quality_rules": OP10_SQL}

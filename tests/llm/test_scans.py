@@ -92,3 +92,17 @@ def test_line_rules():
     rules = quality_rules.Rules()
     for line, name in (("Home | News | Sport | Contact", "navigation"), ("All rights reserved.", "boilerplate"), ("a### b*** c&&& d$$$", "symbols"), ("BUY!! NOW!! OR!! NEVER!!", "shouting"), ("short head", "punctuation"), ("A whole sentence that ends well.", "")):
         assert quality_rules.line_fails(line, line.split(), rules) == name
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op10_quality_rules"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from roadloom.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = con.sql(queries.ORACLE_SQL[name])
+    got = queries.QUERIES[name](spark, sf)
+    assert key(rows_of(got, *want.columns)) == key(want.fetchall())
