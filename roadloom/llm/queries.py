@@ -142,5 +142,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 """
 
 
+def _op4_sql() -> str:
+    def kind(number: int) -> str:
+        _, pattern, group, least, _ = secret_scan.KINDS[number]
+        p = "'" + pattern.replace("'", "''") + "'"
+        return f"SELECT rid, owner, {number} AS kind, {least} AS least, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}, 0) AS whole, regexp_extract_all(text, {p}, {group}) AS vals FROM docs WHERE regexp_matches(text, {p})"
+
+    names = "[" + ", ".join(f"'{k[0]}'" for k in secret_scan.KINDS) + "]"
+    base = len(secret_scan.BASE)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner FROM documents),
+raw AS ({" UNION ALL ".join(map(kind, range(len(secret_scan.KINDS))))}),
+matches AS (SELECT rid, owner, kind, least, i, gaps[i] AS gap, whole[i] AS whole, vals[i] AS val FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM raw)),
+placed AS (SELECT rid, owner, kind, least, val, length(whole) AS size, sum(length(gap) + length(whole)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM matches),
+candidates AS (SELECT * FROM placed WHERE length(val) >= least),
+shared AS (SELECT val, count(DISTINCT owner) AS owners FROM candidates GROUP BY val),
+spans AS (SELECT rid, kind, CAST(stop - size AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, owners <= {secret_scan.MOST_OWNERS} AS live FROM candidates AS c JOIN shared AS s ON s.val = c.val WHERE kind < {base} OR owners <= {secret_scan.MOST_OWNERS}),
+named AS (SELECT *, {names}[kind + 1] || ':' || start || ':' || stop AS span FROM spans),
+sums AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < {base}) AS base, string_agg(span, ',' ORDER BY start, kind, stop) AS spans, count(*) FILTER (live) AS n_live FROM named GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live FROM docs LEFT JOIN sums ON sums.rid = docs.rid
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_html_extract, op3_simhash, op4_secret_scan, op5_pii, op6_chat_format, op7_packing, op8_sentencepiece, op9_quality_fm, op10_quality_rules)}
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op10_quality_rules": OP10_SQL}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op4_secret_scan": _op4_sql(), "op10_quality_rules": OP10_SQL}

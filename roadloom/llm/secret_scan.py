@@ -16,12 +16,12 @@ from .common import checked_broadcast, materialise, text_of
 
 #: name, expression, group that holds the value, least length of the value, whether it is a base kind
 KINDS = (
-    ("assign", r"""(?:(?i)password|passwd|secret|token|api_?key)(?-i)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, True),
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, True),
     ("access", r"AKIA[A-Z0-9]+", 0, 18, True),
     ("hex", r"[0-9a-f]{16,}", 0, 16, True),
     ("hosted", r"(?:gh[pousr]_|github_pat_|glpat-|xox[abpr]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}", 0, 20, False),
     ("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 26, False),
-    ("pemkey", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}", 0, 32, False),
+    ("pemkey", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]{16,}", 0, 32, False),
 )
 #: A cheap test that a text can hold the kind at all.
 PROBES = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA", "hex": r"[0-9a-f]{16}", "hosted": "gh[pousr]_|github_pat_|glpat-|xox|sk_live_|sk-", "webtoken": "eyJ", "pemkey": "-----BEGIN "}

@@ -94,7 +94,7 @@ def test_line_rules():
         assert quality_rules.line_fails(line, line.split(), rules) == name
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op10_quality_rules"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_secret_scan", "op10_quality_rules"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
