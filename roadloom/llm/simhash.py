@@ -10,7 +10,7 @@ fingerprints share one), which is exact and grows linearly.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -29,14 +29,14 @@ CHUNK = 1 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0d]+")
 
 
-def fingerprint(text: str, width: int = 3) -> int:
-    """The fingerprint of one text as a signed 64-bit integer; of a text without words zero.
+def hashed_shingles(text: str, width: int) -> Iterator[np.ndarray]:
+    """The 64-bit hashes of a text's shingles, repeated ones too, in parts; nothing without words.
 
     Words are cut at ASCII white space and lower-cased in A-Z; fewer words than ``width`` make one
-    shingle. A bit is set if more than half of the shingles' hashes have it.
+    shingle.
     """
     data = text.encode("utf-8", "surrogatepass")
-    counts, total, carry, digest = np.zeros(BITS, dtype=np.int64), 0, [], xxhash.xxh64_intdigest
+    some, carry, digest = False, [], xxhash.xxh64_intdigest
     at = 0
     while at < len(data):
         # parts end at white space, so no word is cut
@@ -45,15 +45,25 @@ def fingerprint(text: str, width: int = 3) -> int:
         at = end
         if len(words) >= width:
             shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-        elif at == len(data) and words and not total:
+        elif at == len(data) and words and not some:
             shingles = iter([b" ".join(words)])
         else:
             carry = words
             continue
-        hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
+        some = True
+        yield np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
+        carry = words[len(words) - width + 1 :]
+
+
+def fingerprint(text: str, width: int = 3) -> int:
+    """The fingerprint of one text as a signed 64-bit integer; of a text without words zero.
+
+    A bit is set if more than half of the shingles' hashes have it.
+    """
+    counts, total = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in hashed_shingles(text, width):
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         total += len(hashes)
-        carry = words[len(words) - width + 1 :]
     if not total:
         return 0
     bits = (2 * counts > total).astype(np.uint8)
@@ -135,15 +145,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, blocks:
     return rows.join(materialise(named, "named"), "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, **options: int) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one of each component.
+def deduplicate(docs: DataFrame, find: Callable[..., DataFrame] = near_duplicates, **options: int) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each component of ``find``.
 
     The row with the smallest doc_id stays (ties: the smallest digest of the text; of rows that
     repeat both, one). Losers are found as (doc_id, digest) pairs and dropped by an anti join.
     """
     columns = docs.columns
     key = F.struct(F.col("doc_id").alias("i"), F.sha2(text_of(), 256).alias("d"))
-    found = materialise(near_duplicates(docs.select(key.alias("doc_id"), "text"), **options), "members")
+    found = materialise(find(docs.select(key.alias("doc_id"), "text"), **options), "members")
     each = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("n"))
     odd = materialise(each.select(F.col("doc_id").alias("__key"), (F.col("doc_id") != F.col("component_id")).alias("__loses"), "n").where("__loses or n > 1"), "losers")
     rows = docs.withColumn("__own", key)
