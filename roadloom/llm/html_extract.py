@@ -22,7 +22,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([A-Za-z_:-]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text for a program, up to their end tag.
-RAW = frozenset("script style textarea title template noscript iframe noframes xmp svg math".split())
+RAW = frozenset("script style textarea title template noscript iframe noframes xmp svg".split())
 BLOCK = frozenset(
     "html body address article aside blockquote br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
@@ -32,11 +32,15 @@ DROP = RAW | frozenset("head nav header footer aside form button select input me
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Words in a class or id that name parts outside the main text.
 OUTSIDE = frozenset(
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottom sidebar side aside rail widget widgets notice notices alert banner cookie cookies consent gdpr ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay form search pagination pager skip toolbar hidden"
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer sidebar aside rail widget widgets notice notices alert banner cookie cookies consent gdpr ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay form search pagination pager skip toolbar"
     .split()
 )
 #: In such names the word says that the page has a part, not that the element is one.
 ABOUT = frozenset("has with no without is".split())
+#: A name with such a word is of what lies around or beside the part, or of the page's own content.
+LAYOUT = frozenset("layout wrap wrapper wrapped container page content main body grid row results with".split())
+#: Names that are outside as a whole, but not as a word of a compound.
+ALONE = frozenset("bottom side hidden".split())
 #: An element that closes others of its kind when it begins.
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select"}}
@@ -54,6 +58,8 @@ class Node:
     linked: float = 0
     stops: float = 0
     blocks: list = field(default_factory=list)
+    #: position among the page's start tags of the element that its class or id puts outside
+    named: int = -1
 
 
 def _outside(tag: str, attributes: dict[str, str]) -> bool:
@@ -61,11 +67,18 @@ def _outside(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
         return True
+    return False
+
+
+def _named_outside(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a class or id names a part outside: a word of OUTSIDE at its head or end."""
     if tag in ("html", "body", "main", "article"):
         return False
     for name in (*attributes.get("class", "").split(), attributes.get("id", "")):
         words = [w.lower() for w in WORD.findall(name)]
-        if words and words[0] not in ABOUT and not OUTSIDE.isdisjoint(words):
+        if not words or words[0] in ABOUT:
+            continue
+        if name.lower() in ALONE or (not OUTSIDE.isdisjoint((words[0], words[-1])) and LAYOUT.isdisjoint(words)):
             return True
     return False
 
@@ -80,8 +93,19 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 def containers(page: str) -> list[Node]:
     """The page's containers in page order, each with the blocks of main text in it.
 
-    Each block is (order, container's index, text); white space in it is one space.
+    Each block is (order, text); white space in it is one space. A name puts no element outside
+    that holds the page's article or main, or most of the text of a page without these.
     """
+    keep: set[int] = set()
+    while True:
+        found, holds = _containers(page, frozenset(keep))
+        if holds is None:
+            return found
+        keep.add(holds)
+
+
+def _containers(page: str, keep: frozenset[int]) -> tuple[list[Node], int | None]:
+    """The containers, and an element that its name wrongly puts outside; ``keep`` is exempt."""
     root = Node("", "", False)
     stack: list[Node] = [root]
     found: list[Node] = []
@@ -104,7 +128,9 @@ def containers(page: str) -> list[Node]:
         if node.order:
             holders.pop()
 
-    links = 0
+    links, tags, shown, article = 0, 0, 0, False
+    named_chars: dict[int, int] = {}
+    named_articles: set[int] = set()
     at, size = 0, len(page)
     while at <= size:
         match = TOKEN.search(page, at)
@@ -112,6 +138,9 @@ def containers(page: str) -> list[Node]:
         if text and not stack[-1].outside:
             buffer.append(text)
             linked += len(text) if links else 0
+            shown += 0 if links else len(text.strip())
+        elif text and stack[-1].named >= 0 and not links:
+            named_chars[stack[-1].named] = named_chars.get(stack[-1].named, 0) + len(text.strip())
         if not match:
             break
         at = match.end()
@@ -154,7 +183,17 @@ def containers(page: str) -> list[Node]:
                     break
         if tag in VOID:
             continue
-        outside = stack[-1].outside or _outside(tag, attributes)
+        tags += 1
+        hard, named = _outside(tag, attributes), stack[-1].named
+        if stack[-1].outside and named < 0 or hard:
+            named = -1  # outside whatever the names around it are
+        elif named < 0 and tags not in keep and _named_outside(tag, attributes):
+            named = tags
+        outside = stack[-1].outside or hard or named >= 0
+        if tag in ("article", "main"):
+            article |= not outside
+            if named >= 0:
+                named_articles.add(named)
         if tag in RAW:
             # up to the end tag, whatever it holds
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
@@ -163,7 +202,7 @@ def containers(page: str) -> list[Node]:
         if match[0].endswith("/>") and tag not in BLOCK:
             continue
         links += tag == "a"
-        node = Node(tag, f"{stack[-1].path}/{_step(tag, attributes)}" if block else stack[-1].path, outside)
+        node = Node(tag, f"{stack[-1].path}/{_step(tag, attributes)}" if block else stack[-1].path, outside, named=named)
         stack.append(node)
         if tag in CONTAINER and not outside:
             found.append(node)
@@ -188,7 +227,13 @@ def containers(page: str) -> list[Node]:
             holder = parents[holder]
     if not found or not found[0].blocks:
         root.blocks = [(i, t) for i, (_, t, _) in enumerate(blocks)]
-    return found or [root]
+    wrong = None
+    if not article:
+        top = max(named_chars, key=lambda k: (named_chars[k], -k), default=None)
+        wrong = min(named_articles, default=None)
+        if wrong is None and top is not None and 2 * named_chars[top] > shown + sum(named_chars.values()):
+            wrong = top
+    return found or [root], wrong
 
 
 def _parents(found: list[Node]) -> list[int]:
