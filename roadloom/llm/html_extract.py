@@ -44,6 +44,8 @@ ALONE = frozenset("bottom side hidden".split())
 #: An element that closes others of its kind when it begins.
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select"}}
+#: Of the page's unlinked text, what a container holds at least to be taken where no article is.
+SHARE = 0.8
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -84,8 +86,8 @@ def _named_outside(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
-    """A path step: the tag, its first classes and its id, digits generalised."""
-    names = sorted({re.sub(r"[0-9]+", "0", c) for c in attributes.get("class", "").split()})[:3]
+    """A path step: the tag, its classes and its id, digits generalised."""
+    names = sorted({re.sub(r"[0-9]+", "0", c) for c in attributes.get("class", "").split()})
     own = re.sub(r"[0-9]+", "0", attributes.get("id", "").strip())
     return ".".join([tag, *names]) + ("#" + own if own else "")
 
@@ -212,16 +214,15 @@ def _containers(page: str, keep: frozenset[int]) -> tuple[list[Node], int | None
     parents = _parents(found)
     for order, (holder, text, in_links) in enumerate(blocks):
         if holder >= 0:
-            # an article has the credit for all within it; elsewhere a parent has a part, so that
-            # text dealt over siblings is found above them
+            # an article, or else main, has the credit for all within it; elsewhere all around the text have it
             chain = [holder]
             while parents[chain[-1]] >= 0:
                 chain.append(parents[chain[-1]])
-            whole = [i for i in chain if found[i].tag == "article"]
-            for i, share in [(whole[-1], 1.0)] if whole else [(i, x) for i, x in zip(chain[:2], (1.0, 0.6), strict=False)]:
-                found[i].chars += share * len(text)
-                found[i].linked += share * in_links
-                found[i].stops += share * sum(map(text.count, ".!?,"))
+            whole = [i for i in chain if found[i].tag == "article"] or [i for i in chain if found[i].tag == "main"]
+            for i in whole[-1:] or chain:
+                found[i].chars += len(text)
+                found[i].linked += in_links
+                found[i].stops += sum(map(text.count, ".!?,"))
         while holder >= 0:
             found[holder].blocks.append((order, text))
             holder = parents[holder]
@@ -249,8 +250,16 @@ def _parents(found: list[Node]) -> list[int]:
 
 
 def best(nodes: list[Node]) -> Node:
-    """The container with the highest score: own text without links, more so if it is an article."""
-    return max(nodes, key=lambda n: (weight(n), -n.order))
+    """The article or main with the highest score, or the lowest other container that holds most text.
+
+    That is SHARE of the unlinked text outside articles and main; the higher score of the two wins.
+    """
+    plain = [n for n in nodes if n.tag not in ("article", "main")]
+    most = max((n.chars - n.linked for n in plain), default=0)
+    held = [n for n in plain if most and n.chars - n.linked >= SHARE * most]
+    # over half of the text is in each of them, so each holds the next
+    pool = [n for n in nodes if n.tag in ("article", "main")] + (held[-1:] or plain)
+    return max(pool, key=lambda n: (weight(n), -n.order))
 
 
 def weight(node: Node) -> float:

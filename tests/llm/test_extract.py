@@ -29,3 +29,23 @@ def test_parts_by_name_stay_outside(name):
 
 def test_math_is_text():
     assert text(f"<article><p>{BODY}<math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>") == BODY + "x=1"
+
+
+PART = "A part, of the text. " * 50
+
+
+@pytest.mark.parametrize("tag", ["div", "main"])
+def test_nested_sections_are_whole(tag):
+    inner = "".join(f"<section id=s{i}><section id=t{i}><section id=u{i}><p>{PART}</p></section></section><section id=v{i}><p>{PART}</p></section></section>" for i in "bc")
+    page = f"<body><div id=top><a href=x>Go, on</a></div><{tag}><section id=a>{inner}</section></{tag}></body>"
+    assert text(page) == (PART * 4).strip()
+
+
+def test_mixed_block_classes_are_whole():
+    blocks = "".join(f"<div class={c}><div class=inner><div class=deep><p>{PART}</p></div></div></div>" for c in ("paragraph", "quote", "paragraph", "figure"))
+    assert text(f"<body><div class=page>{blocks}</div><div class=sidebar><p>Side.</p></div></body>") == (PART * 4).strip()
+
+
+def test_all_classes_are_in_the_path():
+    nodes = html_extract.containers(f"<body><div class='d c b a'><p>{BODY}</p></div></body>")
+    assert html_extract.best(nodes).path.endswith("div.a.b.c.d")
