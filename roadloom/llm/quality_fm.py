@@ -31,14 +31,20 @@ FIT_ROWS = 12_000
 _CLASS = np.zeros(256, dtype=np.int64)
 for _name, _bytes in enumerate([b"", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\x0b\x0c", b"\n", b".?:;,'\"()-", b"!", b"|", b"#*$%&<>", b"@/\\=+_[]{}~^`"]):
     _CLASS[list(_bytes)] = _name
+_SIGN = bytes(b"-aA0   .!|#@"[c] for c in _CLASS)
+RUN = re.compile(rb"(.)\1+")
+#: Longer words are hashed each time, so that the memo stays small.
+MEMO_BYTES = 64
 _MEMO: dict[bytes, tuple[int, int]] = {}
 
 
 def _slots(word: bytes) -> tuple[int, int]:
     """The hashed slots of a word and of the pattern of its characters."""
     if (found := _MEMO.get(word)) is None:
-        pattern = re.sub(rb"(.)\1+", rb"\1", bytes(b"-aA0   .!|#@"[c] if c < 11 else 45 for c in _CLASS[list(word[:48])]))
-        found = (zlib.crc32(word[:64].lower()) % WORD_SLOTS, WORD_SLOTS + zlib.crc32(pattern) % MARK_SLOTS)
+        pattern = RUN.sub(rb"\1", word.translate(_SIGN))
+        found = (zlib.crc32(word.lower()) % WORD_SLOTS, WORD_SLOTS + zlib.crc32(pattern) % MARK_SLOTS)
+        if len(word) > MEMO_BYTES:
+            return found
         if len(_MEMO) >= 300_000:
             _MEMO.clear()
         _MEMO[word] = found
