@@ -70,6 +70,15 @@ def test_checksums_and_context_add_spans():
     assert pii.find("123-45-6789") == []
 
 
+@pytest.mark.parametrize("text", [
+    "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "IBAN: DE89370400440532013000 BIC: COBADEFFXXX", "IBAN DE89 3704 0044 0532 0130 00 2024 EUR",
+    "bank AB12 DE89 3704 0044 0532 0130 00", "IBAN DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32",
+])
+def test_ibans_before_capitals_and_numbers(text):
+    got = [text[s.start : s.end].replace(" ", "") for s in pii.find(text) if pii.KINDS[s.kind] == "iban"]
+    assert got == ["DE89370400440532013000", "GB82WEST12345698765432"][: 1 + ("GB82" in text)]
+
+
 @BOTH
 def test_quality_measures(which, request):
     df = request.getfixturevalue(which)
