@@ -1,15 +1,20 @@
-"""What the operators share: reading tables, scratch tables, size-checked broadcasts."""
+"""What the operators share: reading tables, scratch tables, size-checked broadcasts, small batches."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+
+__all__ = ["checked_broadcast", "materialise", "small_batches", "table", "text_of"]
+
 #: Rows of a narrow side (ids and digests, at most about 100 bytes a row) that may be broadcast.
 BROADCAST_ROWS = 300_000
-#: Rows per Arrow batch handed to Python; long texts make larger batches too big for a worker.
+#: Rows that a worker takes from an Arrow batch at once, so that what it makes of them stays small.
 ARROW_ROWS = 256
 
 
@@ -18,34 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for scratch tables: ``spark.checkpoint.dir``.
-
-    Where it is unset, a local master gets a folder of its own; a cluster must name one.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = f"/tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write ``df`` as a scratch Parquet table in the shared folder and read it back.
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows, without a copy.
 
-    This cuts the lineage and survives the loss of executors, as the files are not theirs.
+    Spark itself bounds a batch by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB
+    unless set), so long texts come few at a time; no setting of the session is changed.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

@@ -104,13 +104,12 @@ def encode_blocks(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame
     at the block's offset in it, start its offset in the document. ``tokenizer`` is a path that
     every executor can open.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, at = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in small_batches(batches):
             index, ats, starts, ns, totals, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 data = encode(text) + end

@@ -104,15 +104,15 @@ class PieceCodec:
         space = SPACE if self.escape else b" "
         if self.trim:
             data_end = len(data.rstrip(b" "))
-            at = len(data[:data_end]) - len(data[:data_end].lstrip(b" "))
+            at = data_end - len(data[:data_end].lstrip(b" "))
         else:
             data_end = len(data)
         if self.prefix and data_end > at:
             out += space
             source += [at] * len(space)
-        last_space = self.trim
+        last_space, held = self.trim, data[:data_end]
         while at < data_end:
-            found = self.map.longest(data[:data_end], at) if self.map else None
+            found = self.map.longest(held, at) if self.map else None
             if found:
                 size, new = found
             else:
@@ -187,12 +187,11 @@ def map_encoded(docs: DataFrame, model: str, summary: Callable[[Encoded, PieceCo
     repeated rows; an empty table an empty result; further columns are ignored. ``model`` is a path
     that every executor can open.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             for text in batch.column(1).to_pylist():
                 ids = own.encode(text)
@@ -212,11 +211,10 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
 
 def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
     """doc_id and the decoded text for every row of ``encoded`` (doc_id, ids)."""
-    small_batches(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [own.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 

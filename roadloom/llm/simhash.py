@@ -72,11 +72,10 @@ def fingerprint(text: str, width: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, fp) for every row of ``docs`` (doc_id, text); null text is empty text."""
-    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             fp = pa.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), fp], names=["doc_id", "fp"])
 
