@@ -3,16 +3,26 @@
 First pass: score each page's containers and name the best one by its generalised tag-class path.
 Spark sums the votes for each host and path. Second pass: extract each page again from the
 container at its host's winning path, or from its own best one where it has none there.
+
+A page is read once into a list of elements and a list of text runs; what lies outside, what a
+container holds and its score follow from passes over these lists, so time and memory are linear
+in the page, however deep it is nested.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cache, lru_cache
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +32,14 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([A-Za-z_:-]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text for a program, up to their end tag.
-RAW = frozenset("script style textarea title template noscript iframe noframes xmp svg".split())
+RAW = frozenset("script style textarea title noscript iframe noframes xmp".split())
 BLOCK = frozenset(
     "html body address article aside blockquote br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
-CONTAINER = frozenset("body article main section div td center".split())
-#: Elements that are never main text.
-DROP = RAW | frozenset("head nav header footer aside form button select input menu dialog object embed canvas audio video".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+CONTAINER = frozenset("body article main section div td center form".split())
+#: Elements that are never main text. A form is one only as a name is: not where it holds the page.
+DROP = RAW | frozenset("head nav header footer aside button select input menu dialog object embed canvas audio video svg template".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 #: Words in a class or id that name parts outside the main text.
 OUTSIDE = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer sidebar aside rail widget widgets notice notices alert banner cookie cookies consent gdpr ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay form search pagination pager skip toolbar"
@@ -41,212 +51,276 @@ ABOUT = frozenset("has with no without is".split())
 LAYOUT = frozenset("layout wrap wrapper wrapped container page content main body grid row results with".split())
 #: Names that are outside as a whole, but not as a word of a compound.
 ALONE = frozenset("bottom side hidden".split())
+#: Words that name a part at a name's end (login-form), but at its head only what is in one (form-text).
+TAIL = frozenset("form overlay skip".split())
 #: An element that closes others of its kind when it begins.
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select"}}
+PARAGRAPH, AROUND = {"p"}, CONTAINER | {"table", "ul", "ol", "dl", "blockquote"}
 #: Of the page's unlinked text, what a container holds at least to be taken where no article is.
 SHARE = 0.8
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-
-
-@dataclass
-class Node:
-    tag: str
-    path: str
-    outside: bool
-    order: int = 0
-    #: text credited to it, links' share of it, and marks of a sentence
-    chars: float = 0
-    linked: float = 0
-    stops: float = 0
-    blocks: list = field(default_factory=list)
-    #: position among the page's start tags of the element that its class or id puts outside
-    named: int = -1
+DIGITS = re.compile(r"[0-9]+")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+#: Hosts whose winners are broadcast: two integers each.
+MOST_HOSTS = 1_000_000
+#: A vote is counted in thousandths, as an integer: sums don't depend on their order.
+UNIT = 1000
 
 
 def _outside(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in DROP or "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
+    if tag in DROP:
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
+    if not attributes:
+        return False
+    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES or UNSEEN.search(attributes.get("style", "")) is not None
+
+
+@lru_cache(maxsize=1 << 16)
+def _names_a_part(name: str) -> bool:
+    words = [w.lower() for w in WORD.findall(name)]
+    if not words or words[0] in ABOUT:
+        return False
+    if name.lower() in ALONE or name.lower() in OUTSIDE:
         return True
-    return False
+    return (words[-1] in OUTSIDE or words[0] in OUTSIDE - TAIL) and LAYOUT.isdisjoint(words)
 
 
 def _named_outside(tag: str, attributes: dict[str, str]) -> bool:
     """Whether a class or id names a part outside: a word of OUTSIDE at its head or end."""
-    if tag in ("html", "body", "main", "article"):
+    if tag == "form":
+        return True
+    if not attributes or tag in ("html", "body", "main", "article"):
         return False
-    for name in (*attributes.get("class", "").split(), attributes.get("id", "")):
-        words = [w.lower() for w in WORD.findall(name)]
-        if not words or words[0] in ABOUT:
-            continue
-        if name.lower() in ALONE or (not OUTSIDE.isdisjoint((words[0], words[-1])) and LAYOUT.isdisjoint(words)):
-            return True
-    return False
+    return any(len(name) < 200 and _names_a_part(name) for name in (*attributes.get("class", "").split(), attributes.get("id", "")))
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
     """A path step: the tag, its classes and its id, digits generalised."""
-    names = sorted({re.sub(r"[0-9]+", "0", c) for c in attributes.get("class", "").split()})
-    own = re.sub(r"[0-9]+", "0", attributes.get("id", "").strip())
+    names = sorted({DIGITS.sub("0", c) for c in attributes.get("class", "").split()})
+    own = DIGITS.sub("0", attributes.get("id", "").strip())
     return ".".join([tag, *names]) + ("#" + own if own else "")
 
 
-def containers(page: str) -> list[Node]:
-    """The page's containers in page order, each with the blocks of main text in it.
+class Page:
+    """A page's elements by start tag, each after its parent, and its text runs in order.
 
-    Each block is (order, text); white space in it is one space. A name puts no element outside
-    that holds the page's article or main, or most of the text of a page without these.
+    Element 0 is the page itself. A run is (element, text, whether it is linked); None ends a block.
     """
-    keep: set[int] = set()
-    while True:
-        found, holds = _containers(page, frozenset(keep))
-        if holds is None:
-            return found
-        keep.add(holds)
-
-
-def _containers(page: str, keep: frozenset[int]) -> tuple[list[Node], int | None]:
-    """The containers, and an element that its name wrongly puts outside; ``keep`` is exempt."""
-    root = Node("", "", False)
-    stack: list[Node] = [root]
-    found: list[Node] = []
-    holders: list[int] = []
-    buffer: list[str] = []
-    linked = 0
-    blocks: list[tuple[int, str, int]] = []
-
-    def flush() -> None:
-        nonlocal linked
-        if buffer:
-            text = " ".join(unescape("".join(buffer)).split())
+
+    def __init__(self, html: str):
+        self.tags, self.parents, self.steps = [""], [-1], [""]
+        self.hard, self.named = [False], [False]
+        self.runs: list[tuple[int, str, bool] | None] = []
+        self._read(html)
+
+    def _read(self, html: str) -> None:
+        tags, parents, steps, hard, named, runs = self.tags, self.parents, self.steps, self.hard, self.named, self.runs
+        stack, open_ = [0], Counter()
+        links = at = 0
+        size = len(html)
+
+        def pop() -> None:
+            open_[tags[stack.pop()]] -= 1
+
+        while at <= size:
+            match = TOKEN.search(html, at)
+            text = html[at : match.start() if match else size]
             if text:
-                blocks.append((holders[-1] if holders else -1, text, min(linked, len(text))))
-            buffer.clear()
-        linked = 0
-
-    def pop() -> None:
-        node = stack.pop()
-        if node.order:
-            holders.pop()
-
-    links, tags, shown, article = 0, 0, 0, False
-    named_chars: dict[int, int] = {}
-    named_articles: set[int] = set()
-    at, size = 0, len(page)
-    while at <= size:
-        match = TOKEN.search(page, at)
-        text = page[at : match.start() if match else size]
-        if text and not stack[-1].outside:
-            buffer.append(text)
-            linked += len(text) if links else 0
-            shown += 0 if links else len(text.strip())
-        elif text and stack[-1].named >= 0 and not links:
-            named_chars[stack[-1].named] = named_chars.get(stack[-1].named, 0) + len(text.strip())
-        if not match:
-            break
-        at = match.end()
-        # the second form has a quote that isn't closed
-        closing, tag, inner = match[1] or match[4], (match[2] or match[5] or "").lower(), match[3] or match[6]
-        if not tag:
-            if match[0].startswith("<![CDATA[") and not stack[-1].outside:
-                buffer.append(match[0][9:].removesuffix("]]>"))
-            continue
-        block = tag in BLOCK
-        if closing:
-            if tag == "a":
-                links = max(0, links - 1)
-            if any(n.tag == tag for n in stack[1:]):
+                # references are decoded within a run: a tag inside one ends it
+                runs.append((stack[-1], unescape(text), links > 0))
+            if not match:
+                break
+            at = match.end()
+            # the second form has a quote that isn't closed
+            tag = (match[2] or match[5] or "").lower()
+            if not tag:
+                if match[0].startswith("<![CDATA["):
+                    runs.append((stack[-1], match[0][9:].removesuffix("]]>"), links > 0))
+                continue
+            block = tag in BLOCK
+            if match[1] or match[4]:
+                if tag == "a":
+                    links = max(0, links - 1)
                 if block:
-                    flush()
-                while True:
-                    last = stack[-1].tag
+                    runs.append(None)
+                while open_[tag]:
+                    last = tags[stack[-1]]
                     if last != tag and last in BLOCK and not block:
                         break  # a stray inline end tag doesn't close blocks
-                    if last != tag and last in BLOCK:
-                        flush()
                     pop()
                     if last == tag:
                         break
-            elif block:
-                flush()
-            continue
-        attributes = {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(inner)} if inner else {}
-        if block:
-            flush()
-            ends = CLOSES.get(tag, {"p"} if tag not in ("br",) else set())
-            stops = STOPS.get(tag, CONTAINER | {"table", "ul", "ol", "dl", "blockquote", "form"})
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    while len(stack) > i:
-                        pop()
-                    break
-                if stack[i].tag in stops:
-                    break
-        if tag in VOID:
-            continue
-        tags += 1
-        hard, named = _outside(tag, attributes), stack[-1].named
-        if stack[-1].outside and named < 0 or hard:
-            named = -1  # outside whatever the names around it are
-        elif named < 0 and tags not in keep and _named_outside(tag, attributes):
-            named = tags
-        outside = stack[-1].outside or hard or named >= 0
-        if tag in ("article", "main"):
-            article |= not outside
-            if named >= 0:
-                named_articles.add(named)
-        if tag in RAW:
-            # up to the end tag, whatever it holds
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else size
-            continue
-        if match[0].endswith("/>") and tag not in BLOCK:
+                continue
+            inner = match[3] or match[6]
+            attributes = {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(inner)} if inner else {}
+            if block:
+                runs.append(None)
+                ends = CLOSES.get(tag, PARAGRAPH if tag != "br" else ())
+                if any(open_[e] for e in ends):
+                    stops = STOPS.get(tag, AROUND)
+                    for i in range(len(stack) - 1, 0, -1):
+                        if tags[stack[i]] in ends:
+                            while len(stack) > i:
+                                pop()
+                            break
+                        if tags[stack[i]] in stops:
+                            break
+            if tag in VOID:
+                continue
+            # a tag that closes itself holds nothing; for HTML's own blocks and raw texts the slash means nothing
+            if match[0].endswith("/>") and not block and tag not in RAW:
+                continue
+            if tag in RAW:
+                # up to the end tag, whatever it holds
+                end = _end_of(tag).search(html, at)
+                at = end.end() if end else size
+                continue
+            links += tag == "a"
+            stack.append(len(tags))
+            open_[tag] += 1
+            tags.append(tag)
+            parents.append(stack[-2])
+            steps.append(_step(tag, attributes) if block else "")
+            hard.append(_outside(tag, attributes))
+            named.append(_named_outside(tag, attributes))
+        runs.append(None)
+
+    def _shown(self) -> list[bool]:
+        """Whether each element is main text, as far as tags and names say.
+
+        A name puts no element outside that holds the page's article or main, or most of the text
+        of a page without these.
+        """
+        n, tags, parents = len(self.tags), self.tags, self.parents
+        gone, part = [False] * n, [False] * n
+        for i in range(1, n):
+            gone[i] = gone[parents[i]] or self.hard[i]
+            part[i] = part[parents[i]] or self.named[i]
+        articles = [i for i in range(1, n) if tags[i] in ("article", "main") and not gone[i]]
+        exempt: set[int] = set()
+        if any(part) and not any(not part[i] for i in articles):
+            if articles:
+                i = articles[0]
+                while i > 0:
+                    exempt.add(i)
+                    i = parents[i]
+            else:
+                held = [0] * n
+                for run in self.runs:
+                    if run and not run[2] and not gone[run[0]]:
+                        held[run[0]] += len(run[1].strip())
+                for i in range(n - 1, 0, -1):
+                    held[parents[i]] += held[i]
+                exempt = {i for i in range(1, n) if 2 * held[i] > held[0]}
+        shown = [True] * n
+        for i in range(1, n):
+            shown[i] = shown[parents[i]] and not self.hard[i] and (not self.named[i] or i in exempt)
+        return shown
+
+    def _blocks(self, shown: list[bool]) -> tuple[list[int], list[str], list[int]]:
+        """The blocks of main text: holder (a container, or 0), text and linked characters."""
+        holder = [0] * len(self.tags)
+        for i in range(1, len(self.tags)):
+            holder[i] = i if self.tags[i] in CONTAINER else holder[self.parents[i]]
+        holders, texts, linked = [], [], []
+        buffer, links, first = [], 0, 0
+        for run in self.runs:
+            if run is None:
+                if buffer and (text := " ".join("".join(buffer).split())):
+                    holders.append(holder[first])
+                    texts.append(text)
+                    linked.append(min(links, len(text)))
+                buffer, links = [], 0
+            elif shown[run[0]]:
+                if not buffer:
+                    first = run[0]
+                buffer.append(run[1])
+                links += len(run[1]) if run[2] else 0
+        return holders, texts, linked
+
+    def path(self, element: int) -> str:
+        steps = []
+        while element > 0:
+            if self.steps[element]:
+                steps.append(self.steps[element])
+            element = self.parents[element]
+        return "".join(f"/{s}" for s in reversed(steps))
+
+
+@cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\s*>", re.IGNORECASE)
+
+
+@dataclass(slots=True)
+class Node:
+    """A container: its element, its blocks of the page (from, to) and the text credited to it."""
+
+    page: Page
+    texts: list[str]
+    element: int
+    order: int
+    begin: int
+    end: int
+    chars: int
+    linked: int
+    stops: int
+
+    @property
+    def tag(self) -> str:
+        return self.page.tags[self.element]
+
+    @property
+    def path(self) -> str:
+        return self.page.path(self.element)
+
+
+def containers(html: str) -> list[Node]:
+    """The page's containers in page order, each with the blocks of main text in it.
+
+    An article, or else main, has the credit for all within it; elsewhere all containers around a
+    text have it. A page without containers is one itself.
+    """
+    page = Page(html)
+    shown = page._shown()
+    holders, texts, linked = page._blocks(shown)
+    n, tags, parents = len(page.tags), page.tags, page.parents
+    article, main = [False] * n, [False] * n
+    for i in range(1, n):
+        article[i] = article[parents[i]] or tags[i] == "article"
+        main[i] = main[parents[i]] or tags[i] == "main"
+    # blocks of a container lie side by side
+    begin, end = [len(texts)] * n, [0] * n
+    for b, h in enumerate(holders):
+        begin[h] = min(begin[h], b)
+        end[h] = b + 1
+    for i in range(n - 1, 0, -1):
+        p = parents[i]
+        begin[p], end[p] = min(begin[p], begin[i]), max(end[p], end[i])
+    values = [(len(t), k, t.count(".") + t.count("!") + t.count("?") + t.count(",")) for t, k in zip(texts, linked, strict=True)]
+
+    def sums(counts: list[bool]) -> list[list[int]]:
+        return [list(accumulate((v[k] if c else 0 for v, c in zip(values, counts, strict=True)), initial=0)) for k in range(3)]
+
+    whole = sums([True] * len(texts))
+    no_article = sums([not article[h] for h in holders])
+    neither = sums([not article[h] and not main[h] for h in holders])
+    found: list[Node] = []
+    for i in range(1, n):
+        if tags[i] not in CONTAINER or not shown[i]:
             continue
-        links += tag == "a"
-        node = Node(tag, f"{stack[-1].path}/{_step(tag, attributes)}" if block else stack[-1].path, outside, named=named)
-        stack.append(node)
-        if tag in CONTAINER and not outside:
-            found.append(node)
-            node.order = len(found)
-            holders.append(node.order - 1)
-    flush()
-    parents = _parents(found)
-    for order, (holder, text, in_links) in enumerate(blocks):
-        if holder >= 0:
-            # an article, or else main, has the credit for all within it; elsewhere all around the text have it
-            chain = [holder]
-            while parents[chain[-1]] >= 0:
-                chain.append(parents[chain[-1]])
-            whole = [i for i in chain if found[i].tag == "article"] or [i for i in chain if found[i].tag == "main"]
-            for i in whole[-1:] or chain:
-                found[i].chars += len(text)
-                found[i].linked += in_links
-                found[i].stops += sum(map(text.count, ".!?,"))
-        while holder >= 0:
-            found[holder].blocks.append((order, text))
-            holder = parents[holder]
-    if not found or not found[0].blocks:
-        root.blocks = [(i, t) for i, (_, t, _) in enumerate(blocks)]
-    wrong = None
-    if not article:
-        top = max(named_chars, key=lambda k: (named_chars[k], -k), default=None)
-        wrong = min(named_articles, default=None)
-        if wrong is None and top is not None and 2 * named_chars[top] > shown + sum(named_chars.values()):
-            wrong = top
-    return found or [root], wrong
-
-
-def _parents(found: list[Node]) -> list[int]:
-    """The index of the container around each container, or -1, from their paths in page order."""
-    out: list[int] = []
-    open_: list[int] = []
-    for i, node in enumerate(found):
-        while open_ and not node.path.startswith(found[open_[-1]].path + "/"):
-            open_.pop()
-        out.append(open_[-1] if open_ else -1)
-        open_.append(i)
-    return out
+        p = parents[i]
+        if tags[i] == "article":
+            have = None if article[p] else whole
+        elif tags[i] == "main":
+            have = None if article[p] or main[p] else no_article
+        else:
+            have = None if article[i] or main[i] else neither
+        low, high = begin[i], max(begin[i], end[i])
+        credit = [s[high] - s[low] for s in have] if have else [0, 0, 0]
+        found.append(Node(page, texts, i, len(found) + 1, low, high, *credit))
+    return found or [Node(page, texts, 0, 0, 0, len(texts), *(s[-1] for s in whole))]
 
 
 def best(nodes: list[Node]) -> Node:
@@ -268,13 +342,27 @@ def weight(node: Node) -> float:
     return lift * (plain + 10 * min(node.stops, plain / 20)) + (0.001 if node.tag in ("article", "main") else 0)
 
 
-def text_at(nodes: list[Node], path: str | None) -> str:
-    """The text of the containers at ``path``, else of the page's own best one."""
-    chosen = [n for n in nodes if path and n.path == path and n.blocks]
-    blocks: dict[int, str] = {}
+def path_key(path: str) -> int:
+    """64 bits for a path: its CRC-32, which grows step by step, above half of its xxHash."""
+    return (zlib.crc32(path.encode("utf-8", "surrogatepass")) << 32 | xxhash.xxh32_intdigest(path.encode("utf-8", "surrogatepass"))) - (1 << 63)
+
+
+def text_at(nodes: list[Node], path: str | int | None) -> str:
+    """The text of the containers at ``path`` (or its key), else of the page's own best one."""
+    chosen: list[Node] = []
+    if path:
+        key = path_key(path) if isinstance(path, str) else path
+        page, want = nodes[0].page, (key + (1 << 63)) >> 32
+        crc = [0] * len(page.tags)
+        for i in range(1, len(page.tags)):
+            crc[i] = zlib.crc32(f"/{page.steps[i]}".encode("utf-8", "surrogatepass"), crc[page.parents[i]]) if page.steps[i] else crc[page.parents[i]]
+        chosen = [n for n in nodes if crc[n.element] == want and n.begin < n.end and path_key(n.path) == key]
+    # of containers in one another the outer has all blocks
+    parts, done = [], 0
     for node in chosen or [best(nodes)]:
-        blocks.update(node.blocks)
-    return " ".join(blocks[k] for k in sorted(blocks))
+        parts += node.texts[max(done, node.begin) : node.end]
+        done = max(done, node.end)
+    return " ".join(parts)
 
 
 def host_of(column: str = "url"):
@@ -282,26 +370,31 @@ def host_of(column: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(F.col(column), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def vote(html: str) -> tuple[int, int]:
+    """A page's vote: the key of its best container's path, and its weight, more the more text there is."""
+    top = best(containers(html))
+    path = top.path
+    return (path_key(path), round(UNIT * math.log1p(weight(top)))) if path else (0, 0)
+
+
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and path for every row of ``pages`` (page_id, url, html).
+    """page_id, url and text for every row of ``pages`` (page_id, url, html).
 
-    Null html is empty and has no text; pages with a null or odd url vote together as one host;
-    repeated rows give repeated rows; an empty table gives an empty result; further columns are
-    ignored.
+    The text leaves out header and footer elements wherever they are, in articles too. Null html is
+    empty and has no text; pages with a null or odd url vote together as one host; ties between
+    paths go to the larger key; repeated rows give repeated rows; an empty table gives an empty
+    result; further columns are ignored. A page is the unit, in time and memory linear in its length.
     """
-    small_batches(pages.sparkSession)
-    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host"))
+    rows = pages.select("page_id", "url", text_of("html").alias("html"), F.xxhash64(host_of()).alias("host"))
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tops = [best(containers(h)) for h in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n.path for n in tops], pa.string()), pa.array([weight(n) for n in tops], pa.float64())], names=["host", "path", "weight"])
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            cast = [vote(h) for h in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for k, _ in cast], pa.int64()), pa.array([v for _, v in cast], pa.int64())], names=["host", "path", "votes"])
 
-    votes = rows.select("host", "html").mapInArrow(vote, "host string, path string, weight double").where("path != ''")
-    # each page votes once, a little more the more text it has
-    summed = votes.groupBy("host", "path").agg(F.sum(F.log1p("weight")).alias("votes"))
+    summed = rows.select("host", "html").mapInArrow(votes, "host bigint, path bigint, votes bigint").where("votes > 0").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     winners = materialise(summed.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("path")), "paths")
-    small = checked_broadcast(winners, 100_000)
+    small = checked_broadcast(winners, MOST_HOSTS)
     if small is winners:
         # too many hosts for a broadcast: deal each host's pages over several keys
         salts = 32
@@ -311,9 +404,9 @@ def extract(pages: DataFrame) -> DataFrame:
         joined = rows.join(small, "host", "left")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [text_at(containers(h), p) for h, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(3)], names=["page_id", "url", "text", "path"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "path").mapInArrow(again, f"page_id {kind}, url string, text string, path string")
+    return joined.select("page_id", "url", "html", "path").mapInArrow(again, f"page_id {kind}, url string, text string")

@@ -49,3 +49,88 @@ def test_mixed_block_classes_are_whole():
 def test_all_classes_are_in_the_path():
     nodes = html_extract.containers(f"<body><div class='d c b a'><p>{BODY}</p></div></body>")
     assert html_extract.best(nodes).path.endswith("div.a.b.c.d")
+
+
+def test_elements_that_close_themselves_hold_nothing():
+    for tag in ("svg", "math", "path", "use"):
+        assert text(f'<p>One <{tag} class="i"/> two</p><p>Three.') == "One two Three."
+    assert text("<p>One <svg><title>no</title><path/><svg/></svg> two</p><p>Three.") == "One two Three."
+    assert text("<template><p>no</p><template>no</template></template><p>yes") == "yes"
+
+
+def test_a_form_around_the_page_is_no_part():
+    for name in ("", " class='search'", " id='aspnetForm' class='form'"):
+        page = f"<body><form{name}><div id=a><p>{BODY}</p><input></div></form></body>"
+        assert text(page) == BODY.strip()
+    assert text(f"<body><div><p>{BODY}</p></div><form><label>Your name, please.</label></form></body>") == BODY.strip()
+    assert text(f"<body><form><article><p>{BODY}</p></article></form></body>") == BODY.strip()
+
+
+@pytest.mark.parametrize("name", ["article-side-image", "form-text", "bottom-line", "border-bottom"])
+def test_names_of_content_keep_their_paragraph(name):
+    assert text(f"<body><div><p>{BODY}</p><div class={name}><p>One more, here.</p></div></div></body>") == BODY + "One more, here."
+
+
+def test_references_are_decoded_within_a_run_of_text():
+    assert text("<p>a &<b>lt;</b> c &amp;lt; &#65;&copy") == "a &lt; c &lt; A©"
+
+
+def test_headers_in_articles_go():
+    assert text(f"<article><header><h1>Title</h1></header><p>{BODY}</p></article>") == BODY.strip()
+
+
+def test_deep_pages_take_linear_time_and_memory():
+    import time
+    import tracemalloc
+
+    for page in ("<div>" * 20_000 + "x", "<div>" * 3000 + "<p>short. one</p>" * 9000 + "</div>" * 3000, "<div class=sidebar>" * 20_000 + "y", "<b>" * 20_000 + "<p>z"):
+        began = time.perf_counter()
+        html_extract.text_at(nodes := html_extract.containers(page), html_extract.path_key(html_extract.best(nodes).path))
+        assert time.perf_counter() - began < 5
+        tracemalloc.start()
+        html_extract.vote(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100 << 20
+
+
+def test_path_keys_of_steps():
+    nodes = html_extract.containers(f"<body><div class='w-1/2 x'><div id='é 9'><p>{BODY}</p></div></div></body>")
+    for node in nodes:
+        assert html_extract.text_at(nodes, html_extract.path_key(node.path)) == html_extract.text_at(nodes, node.path)
+
+
+#: Page layouts without an article element: what stands around the text, and how it is nested.
+LAYOUTS = [
+    ("<div id=page><div class='post post-{i}'>", "</div></div>"), ("<main>", "</main>"), ("<div class='content-sidebar-wrap'><div class=entry-content><section>", "</section></div></div>"),
+    ("<table><tr><td class=left><a href=x>Go</a></td><td class=text>", "</td></tr></table>"), ("<form id=f><div class=body>", "</div></form>"), ("<div><div><div><div id=story{i}>", "</div></div></div></div>"),
+]
+SPLIT = [("", ""), ("<div class=part>", "</div>"), ("<section id=s{k}>", "</section>")]
+CLUTTER = "<div class=sidebar><h3>More</h3><p>Read this too, and that, they say.</p></div><div class='comments'><p>I agree, with all of it. Nice, really.</p></div><div class=cookie-notice>We use cookies.</div>"
+
+
+def test_recall_and_precision_without_articles(spark, sf_dir):
+    """The fixture's pages, their article elements replaced by each host's own layout: words found and words wrong."""
+    import re
+    import zlib
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/pages.parquet")
+    whole = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    rows = []
+    for r in pages.collect():
+        host = zlib.crc32(re.sub("^[a-z]+://([^/]*).*", r"\1", r.url or "").encode())
+        (before, after), (head, tail) = LAYOUTS[host % 6], SPLIT[host // 6 % 3]
+        k = iter(range(10**6))
+        html = re.sub("(<p>.*?</p>)", lambda m: head.format(k=next(k)) + m[1] + tail, r.html or "", flags=re.DOTALL)
+        html = html.replace("<article>", "<div class=top><a href=a>Home</a></div>" + before.format(i=r.page_id)).replace("</article>", after + CLUTTER)
+        rows.append((r.page_id, r.url, html))
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).withColumn("n", F.length("text")).collect()
+    found = told = there = exact = 0
+    for r in got:
+        a, b = Counter(r.text.split()), Counter(whole[r.page_id].split())
+        found, told, there, exact = found + (a & b).total(), told + a.total(), there + b.total(), exact + (r.text == whole[r.page_id])
+    print("pages", len(got), "word recall", found / there, "word precision", found / told, "pages equal", exact / len(got))
+    assert found >= 0.98 * there and found >= 0.98 * told
