@@ -103,3 +103,44 @@ def test_fingerprints_of_texts_in_parts(monkeypatch, chunk):
     monkeypatch.setattr(simhash, "CHUNK", chunk)
     for text in ("", "  ", "one", "one two", " one  two ", "one two three", "a b c d e f g h i j k l m n o p " * 5, "é ü\n\nwide\tone", "x" * 100 + " y z", "end "):
         assert simhash.fingerprint(text) % 2**64 == brute.fingerprint(text)
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+@pytest.mark.parametrize("fan_out", [2, 3, 9])
+def test_batches_and_compactions_give_the_same_groups(spark, odd, keep, fan_out):
+    """However rows are batched and runs compacted, the groups are those of all rows at once."""
+    whole = exact_dedup.resolve(odd, keep)
+    columns = ("doc_id", "digest", "keep_id", "group_size", "kept")
+    index = exact_dedup.DigestIndex(spark, keep, fan_out)
+    part = F.pmod(F.hash("doc_id", "text"), F.lit(5))
+    for number in range(5):
+        index.add(odd.where(part == number))
+    assert key(rows_of(index.resolve(), *columns)) == key(rows_of(whole, *columns))
+    assert all(run.rows.groupBy("digest").count().where("count > 1").isEmpty() for run in index.runs)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_later_batch_is_probed_against_the_filters(spark, monkeypatch, small):
+    monkeypatch.setattr(exact_dedup, "FILTER_ROWS", 16_384 if small else 0)
+    index = exact_dedup.DigestIndex(spark, "largest", fan_out=3)
+    rows = [(i, f"text {i % 40}") for i in range(100)]
+    for at in range(0, 100, 25):
+        index.add(spark.createDataFrame(rows[at : at + 25], "doc_id bigint, text string"))
+    assert len(index.runs) == 2
+    asked = spark.createDataFrame([(1000 + i, f"text {i}") for i in range(80)] + [(None, None), (1000, "text 0")], "doc_id bigint, text string")
+    want = {f"text {k}": max(i for i, t in rows if t == f"text {k}") for k in range(40)}
+    got = {(r.doc_id, r.keep_id) for r in index.known(asked).collect()}
+    assert got == {(1000 + i, want.get(f"text {i}")) for i in range(80)} | {(None, None)}
+    assert index.known(asked).count() == 82 and index.known(asked.limit(0)).count() == 0
+    if small:
+        passed = index.runs[0].filter.probe(spark.createDataFrame([(bytes([i % 256, i // 256]) * 16,) for i in range(5000)], "digest binary")).where("__may").count()
+        assert passed < 500
+
+
+def test_filters_hold_all_their_digests(spark):
+    df = spark.range(20_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    held = exact_dedup.Filter(df)
+    assert held.bitmaps_wanted == 20 and held.probe(df).where("not __may").isEmpty()
+    other = spark.range(20_000, 60_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    assert held.probe(other).where("__may").count() < 0.05 * 40_000
+    assert exact_dedup.Filter(df.limit(0)).probe(df).where("__may").isEmpty()
