@@ -155,10 +155,9 @@ def remainder(doc_id: str = "doc_id") -> Column:
 
 def feature_rows(docs: DataFrame) -> DataFrame:
     """doc_id and x, the features as float32 bytes, for every row of ``docs`` (doc_id, text)."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             x = [features(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], names=["doc_id", "x"])
 
@@ -170,14 +169,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     """Fit on at most ``fit_rows`` labelled rows outside the held-out fold.
 
     They are the ones with the smallest hashes of doc_id, so the sample is the same at every run.
-    Rows without a label or with a null doc_id, and labels other than 0 and 1, are left out.
+    Of several texts under one doc_id the one with the smallest features counts, of several labels
+    the largest. Rows without a label or with a null doc_id, and labels other than 0 and 1, are left
+    out; null text is empty text; without rows the score is a constant; further columns are ignored.
     """
     marked = labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("y")).where("y in (0, 1)").groupBy("label_id").agg(F.max("y").alias("y"))
     chosen = marked.where(remainder("label_id") != 0).orderBy(F.xxhash64("label_id"), "label_id").limit(fit_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
     # repeated rows of a document would weigh more, and the bound counts rows
     keyed = feature_rows(rows.select(F.struct("doc_id", "y").alias("doc_id"), "text"))
-    got = keyed.select("doc_id.doc_id", "doc_id.y", "x").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(fit_rows).toArrow()
+    got = keyed.groupBy("doc_id.doc_id", "doc_id.y").agg(F.min("x").alias("x")).orderBy("doc_id").limit(fit_rows).toArrow()
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, SIZE)
     return FactorisationMachine.fit(x, np.array(got.column("y").to_pylist(), dtype=np.float32))
 
@@ -188,11 +189,10 @@ def score(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
     Null text is empty text and has a score too; repeated rows give repeated rows; an empty table
     gives an empty result; further columns are never read.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(1).to_pylist()
             values = model.score(np.stack([features(t) for t in texts])) if texts else []
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], names=["doc_id", "score"])
