@@ -114,13 +114,12 @@ def apply_rules(docs: DataFrame, rules: Rules = Rules(), clean_text: bool = True
     Null text is empty text, which fails; repeated rows give repeated rows, an empty table an empty
     result; further columns are ignored.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text"][: 8 if clean_text else 7]
     kinds = ([pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()])[: len(names)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out = [measure(t, rules)[: len(names)] for t in batch.column(1).to_pylist()]
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", *names])
@@ -130,13 +129,15 @@ def apply_rules(docs: DataFrame, rules: Rules = Rules(), clean_text: bool = True
 
 
 def keep_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they are (texts are not cut)."""
-    small_batches(docs.sparkSession)
+    """The rows of ``docs`` that the rules keep, all columns as they are (texts are not cut).
+
+    Null text is empty text and goes; repeated rows stay or go alike; an empty table stays empty.
+    """
     columns = docs.columns
 
     def verdict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index("text")
-        for batch in batches:
+        for batch in small_batches(batches):
             kept = [measure(t or "", rules)[6] for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 

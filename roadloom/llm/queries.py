@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,23 +75,15 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = tokenizer_path("byte_bpe_50k.json")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
-    formatted = chat_format.format_chats(rows.unionByName(extra), tokenizer)
 
-    def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                turns = chat_format.parse(row["formatted"])
-                loss = "".join(chat_format.loss_texts(row["ids"], row["mask"], tokenizer))
-                digest = hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in turns).encode()).hexdigest()
-                out.append((row["conv_id"], len(turns), digest, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(row["formatted"])))
-            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            kinds = [batch.schema.field("conv_id").type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            columns = list(zip(*out, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+    def read_back(x: chat_format.Formatted) -> tuple:
+        turns = chat_format.parse(x.formatted)
+        loss = "".join(chat_format.loss_texts(x.ids, x.mask, tokenizer))
+        digest = hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in turns).encode()).hexdigest()
+        return len(turns), digest, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(x.formatted)
 
-    kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.select("conv_id", "formatted", "ids", "mask").mapInArrow(read_back, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    fields = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+    return chat_format.map_formatted(rows.unionByName(extra), tokenizer, read_back, fields)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +108,8 @@ def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), clean_text=False)
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return judged.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
 
 
 OP10_SQL = r"""
@@ -134,30 +126,32 @@ counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, r
 judged AS (SELECT *, bars >= greatest(2, 0.3 * n) OR symbols > 0.5 * n OR (marks >= 0.5 * n AND n > 2 AND letters > 0 AND capitals >= 0.8 * letters)
     OR (n <= 25 AND regexp_matches(line, '(?i)\b(?:javascript|lorem ipsum|cookies?|terms of (?:use|service)|privacy policy|all rights reserved|sign (?:in|up)|log ?in|subscribe|read more|click here|copyright)\b'))
     OR (n < 5 AND NOT regexp_matches(line, '[.!?:;,"''”’»)\]…。！？]\s*$')) AS fails FROM counted WHERE n > 0),
+cleaned AS (SELECT rid, string_agg(line, chr(10) ORDER BY i) AS clean FROM (SELECT rid, i, line FROM counted WHERE n = 0 UNION ALL SELECT rid, i, line FROM judged WHERE NOT fails) GROUP BY rid),
 line_sums AS (SELECT rid, count(*) FILTER (seen > 1) AS n_dup_lines, coalesce(sum(n) FILTER (fails), 0) AS lost FROM judged GROUP BY rid),
 measured AS (SELECT d.doc_id, CAST(coalesce(w.n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(w.word_chars, 0) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(coalesce(l.n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(w.n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(l.lost, 0) AS lost FROM docs AS d LEFT JOIN word_sums AS w ON w.rid = d.rid LEFT JOIN line_sums AS l ON l.rid = d.rid)
+    CAST(coalesce(l.n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(w.n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(l.lost, 0) AS lost, coalesce(c.clean, '') AS clean FROM docs AS d LEFT JOIN word_sums AS w ON w.rid = d.rid LEFT JOIN line_sums AS l ON l.rid = d.rid LEFT JOIN cleaned AS c ON c.rid = d.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 * n_words AS kept FROM measured
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5 * n_words AS kept, sha256(clean) AS clean_sha256 FROM measured
 """
 
 
 def _op4_sql() -> str:
     def kind(number: int) -> str:
-        _, pattern, group, least, _ = secret_scan.KINDS[number]
-        p = "'" + pattern.replace("'", "''") + "'"
-        return f"SELECT rid, owner, {number} AS kind, {least} AS least, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}, 0) AS whole, regexp_extract_all(text, {p}, {group}) AS vals FROM docs WHERE regexp_matches(text, {p})"
+        k = secret_scan.KINDS[number]
+        p = "'" + k.pattern.replace("'", "''") + "'"
+        mixed = "regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]')" if k.mixed else "true"
+        return f"""SELECT rid, owner, repository, {number} AS kind, i, gaps[i] AS gap, whole[i] AS whole, vals[i] AS val, length(val) >= {k.least} AND {mixed} AS fits, length({"vals" if k.edged else "whole"}[i]) AS size FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM
+            (SELECT *, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}, 0) AS whole, regexp_extract_all(text, {p}, {k.group}) AS vals FROM docs WHERE regexp_matches(text, {p})))"""
 
-    names = "[" + ", ".join(f"'{k[0]}'" for k in secret_scan.KINDS) + "]"
+    names = "[" + ", ".join(f"'{k.name}'" for k in secret_scan.KINDS) + "]"
     base = len(secret_scan.BASE)
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner FROM documents),
-raw AS ({" UNION ALL ".join(map(kind, range(len(secret_scan.KINDS))))}),
-matches AS (SELECT rid, owner, kind, least, i, gaps[i] AS gap, whole[i] AS whole, vals[i] AS val FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM raw)),
-placed AS (SELECT rid, owner, kind, least, val, length(whole) AS size, sum(length(gap) + length(whole)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM matches),
-candidates AS (SELECT * FROM placed WHERE length(val) >= least),
-shared AS (SELECT val, count(DISTINCT owner) AS owners FROM candidates GROUP BY val),
-spans AS (SELECT rid, kind, CAST(stop - size AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, owners <= {secret_scan.MOST_OWNERS} AS live FROM candidates AS c JOIN shared AS s ON s.val = c.val WHERE kind < {base} OR owners <= {secret_scan.MOST_OWNERS}),
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, coalesce(lang, '') AS repository FROM documents),
+matches AS ({" UNION ALL ".join(map(kind, range(len(secret_scan.KINDS))))}),
+placed AS (SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM matches),
+candidates AS (SELECT * FROM placed WHERE fits),
+shared AS (SELECT val, count(DISTINCT owner) <= {secret_scan.MOST_OWNERS} AND count(DISTINCT (owner, repository)) <= {secret_scan.MOST_REPOSITORIES} AS live FROM candidates GROUP BY val),
+spans AS (SELECT rid, kind, CAST(stop - size AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, live FROM candidates AS c JOIN shared AS s ON s.val = c.val WHERE kind < {base} OR live),
 named AS (SELECT *, {names}[kind + 1] || ':' || start || ':' || stop AS span FROM spans),
 sums AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < {base}) AS base, string_agg(span, ',' ORDER BY start, kind, stop) AS spans, count(*) FILTER (live) AS n_live FROM named GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live FROM docs LEFT JOIN sums ON sums.rid = docs.rid

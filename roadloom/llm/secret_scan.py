@@ -1,33 +1,58 @@
 """Secret scans with corpus-wide ownership frequency, DataFrame functions only.
 
 Regular expressions propose candidates with code-point spans. Each candidate value's hash is
-counted over the whole corpus by distinct repositories and owners: values that many owners share
-are copied examples, values that few owners hold look like live credentials. The listed base kinds
-always stay; the further kinds are spans only where they look live.
+counted over the whole corpus by distinct owners and repositories: values that many owners or many
+repositories share are copied examples, values that few hold look like live credentials. The
+listed base kinds always stay; the further kinds are spans only where they look live.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import checked_broadcast, materialise, text_of
 
-#: name, expression, group that holds the value, least length of the value, whether it is a base kind
+#: What may stand before a key: the text's start, or a character that no key holds.
+EDGE = "(?:^|[^A-Za-z0-9_-])"
+
+
+class Kind(NamedTuple):
+    name: str
+    pattern: str
+    #: the group that holds the value, and its least length
+    group: int
+    least: int
+    base: bool
+    #: a cheap test that a text can hold the kind at all
+    probe: str
+    #: the span is the group alone, as the pattern takes in what stands before it
+    edged: bool = False
+    #: the value must have digits and letters of both cases
+    mixed: bool = False
+    #: its form alone marks a key: always, if it isn't a word, or never
+    masked: str = "always"
+
+
 KINDS = (
-    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, True),
-    ("access", r"AKIA[A-Z0-9]+", 0, 18, True),
-    ("hex", r"[0-9a-f]{16,}", 0, 16, True),
-    ("hosted", r"(?:gh[pousr]_|github_pat_|glpat-|xox[abpr]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}", 0, 20, False),
-    ("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 26, False),
-    ("pemkey", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]{16,}", 0, 32, False),
-)
-#: A cheap test that a text can hold the kind at all.
-PROBES = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA", "hex": r"[0-9a-f]{16}", "hosted": "gh[pousr]_|github_pat_|glpat-|xox|sk_live_|sk-", "webtoken": "eyJ", "pemkey": "-----BEGIN "}
-BASE = [k[0] for k in KINDS if k[4]]
-#: A value held by more owners than this is a widely copied example.
-MOST_OWNERS = 2
+    Kind("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, True, r"(?i)password|passwd|secret|token|api_?key", masked="no word"),
+    Kind("access", r"AKIA[A-Z0-9]+", 0, 18, True, "AKIA"),
+    Kind("hex", r"[0-9a-f]{16,}", 0, 16, True, r"[0-9a-f]{16}", masked="never"),
+    Kind(
+        "hosted", EDGE + r"((?:gh[pousr]|github_pat|sk_live)_[A-Za-z0-9_]{16,}|glpat-[A-Za-z0-9_-]{16,}|xox[abpr]-[A-Za-z0-9-]{16,}|sk-(?:[a-z0-9]{1,20}-){0,3}[A-Za-z0-9]{20,})", 1, 20, False,
+        r"gh[pousr]_|github_pat_|sk_live_|glpat-|xox[abpr]-|(?:^|[^A-Za-z0-9_-])sk-", edged=True, mixed=True,
+    ),
+    Kind("webtoken", EDGE + r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 26, False, "eyJ", edged=True),
+    Kind("pemkey", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]{16,}", 0, 32, False, "-----BEGIN "),
+)
+BASE = [k.name for k in KINDS if k.base]
+#: A value held by more owners or more repositories than these is a widely copied example.
+MOST_OWNERS, MOST_REPOSITORIES = 2, 4
+#: Letters in a row that no word has.
+LONG_WORD = 21
 
 
 def _proposals(text: Column, number: int) -> Column:
@@ -35,24 +60,48 @@ def _proposals(text: Column, number: int) -> Column:
 
     gap is the text between a match and the one before, so running sums give the offsets.
     """
-    name, pattern, group, _, _ = KINDS[number]
-    whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
+    kind = KINDS[number]
+    whole, value = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
+    zipped = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
     rows = F.transform(
         zipped,
         lambda x, i: F.struct(F.lit(number).alias("kind"), i.alias("i"), F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("length"), x["value"].alias("value")),
     )
     # the last gap has no match after it
-    return F.when(text.rlike(PROBES[name]), F.filter(rows, lambda x: x["length"].isNotNull()))
+    return F.when(text.rlike(kind.probe), F.filter(rows, lambda x: x["length"].isNotNull()))
+
+
+def _in(kind: Column, which: list[int]) -> Column:
+    return kind.isin(which) if which else F.lit(False)
+
+
+def _fits(kind: Column, value: Column) -> Column:
+    """Whether a match is a candidate of its kind: long enough and, where asked for, mixed."""
+    least = F.element_at(F.array(*[F.lit(k.least) for k in KINDS]), kind + 1)
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")
+    return (F.length(value) >= least) & (~_in(kind, [n for n, k in enumerate(KINDS) if k.mixed]) | mixed)
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "lang", most_owners: int = MOST_OWNERS) -> tuple[DataFrame, DataFrame]:
+def _is_words(value: Column) -> Column:
+    """Letters and signs alone, no long run and no capital within: prose after a colon, not a credential."""
+    return value.rlike("^[A-Za-z._/=+-]+$") & ~value.rlike(f"[A-Za-z]{{{LONG_WORD}}}") & ~value.rlike("[A-Za-z][A-Z]")
+
+
+def _maskable(kind: Column, value: Column) -> Column:
+    """Whether the form alone marks a key: a known form, or an assigned value that isn't of words."""
+    named = _in(kind, [n for n, k in enumerate(KINDS) if k.masked == "always"])
+    return named | (_in(kind, [n for n, k in enumerate(KINDS) if k.masked == "no word"]) & ~_is_words(value))
+
+
+def scan(docs: DataFrame, owner: str = "source", repository: str = "lang", most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES) -> tuple[DataFrame, DataFrame]:
     """(rows, spans) of ``docs`` (doc_id, text and the columns that name owner and repository).
 
     rows: row_id, doc_id and digest for every row of docs. spans: row_id, kind (position in
-    KINDS), start, end, value_start (code points, end exclusive), owners, repositories and live,
-    for every base candidate and every live candidate of the other kinds. A repository is named by
-    its owner and its own name; null names count as one name. Null text is empty text.
+    KINDS), start, end, value_start (code points, end exclusive), maskable, owners, repositories
+    and live, for every base candidate and every live candidate of the other kinds. Live is a value
+    of at most ``most_owners`` owners and ``most_repositories`` repositories. A repository is named
+    by its owner and its own name; null names count as one name. Null text is empty text and has no
+    span, as an empty table has none; repeated rows have spans each, and count once as holders.
     """
     text = F.col("text")
     scanned = docs.select(
@@ -61,58 +110,62 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "lang", most_
     )
     none = F.array().cast("array<struct<kind:int,i:int,gap:int,length:int,value:string>>")
     found = F.concat(*[F.coalesce(_proposals(text, n), none) for n in range(len(KINDS))])
-    hashed = F.transform(found, lambda x: F.struct(x["kind"].alias("kind"), x["i"].alias("i"), x["gap"].alias("gap"), x["length"].alias("length"), F.length(x["value"]).alias("value_length"), F.unhex(F.sha2(x["value"], 256)).alias("hash")))
+    hashed = F.transform(found, lambda x: F.struct(
+        x["kind"].alias("kind"), x["i"].alias("i"), x["gap"].alias("gap"), x["length"].alias("length"), F.length(x["value"]).alias("value_length"),
+        F.unhex(F.sha2(x["value"], 256)).alias("hash"), _fits(x["kind"], x["value"]).alias("fits"), _maskable(x["kind"], x["value"]).alias("maskable"),
+    ))
     # the ids are fixed by this table; no text in it
     rows = materialise(scanned.select("row_id", "doc_id", F.unhex(F.sha2(text, 256)).alias("digest"), "owner", "repository", hashed.alias("found")), "scanned")
     each = rows.where(F.size("found") > 0).select("row_id", "owner", "repository", F.explode("found").alias("x")).select("row_id", "owner", "repository", "x.*")
     before = Window.partitionBy("row_id", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(F.col("gap") + F.col("length")).over(before)
-    least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("kind") + 1)
-    placed = each.withColumn("end", end).where(F.col("value_length") >= least)
-    placed = placed.select("row_id", "owner", "repository", "hash", "kind", (F.col("end") - F.col("length")).alias("start"), "end", (F.col("end") - F.col("value_length")).alias("value_start"))
-    placed = materialise(placed, "candidates")
+    placed = each.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(before)).where("fits")
+    value_start = F.col("end") - F.col("value_length")
+    start = F.when(_in(F.col("kind"), [n for n, k in enumerate(KINDS) if k.edged]), value_start).otherwise(F.col("end") - F.col("length"))
+    placed = materialise(placed.select("row_id", "owner", "repository", "hash", "kind", start.alias("start"), "end", value_start.alias("value_start"), "maskable"), "candidates")
     # one row for each hash, owner and repository first: a value copied everywhere collapses before it moves
     held = placed.select("hash", "owner", "repository").distinct()
     frequency = held.groupBy("hash").agg(F.countDistinct("owner").alias("owners"), F.count(F.lit(1)).alias("repositories"))
     shared = materialise(frequency.where("owners > 1 or repositories > 1"), "ownership")
+    owners, repositories = F.coalesce("owners", F.lit(1)), F.coalesce("repositories", F.lit(1))
     spans = placed.join(checked_broadcast(shared), "hash", "left").select(
-        "row_id", "kind", "start", "end", "value_start", F.coalesce("owners", F.lit(1)).alias("owners"), F.coalesce("repositories", F.lit(1)).alias("repositories"),
+        "row_id", "kind", "start", "end", "value_start", "maskable", owners.alias("owners"), repositories.alias("repositories"),
+        ((owners <= most_owners) & (repositories <= most_repositories)).alias("live"),
     )
-    spans = spans.withColumn("live", F.col("owners") <= most_owners)
-    base = [n for n, k in enumerate(KINDS) if k[4]]
-    return rows.select("row_id", "doc_id", "digest"), spans.where(F.col("kind").isin(base) | F.col("live"))
+    return rows.select("row_id", "doc_id", "digest"), spans.where(_in(F.col("kind"), [n for n, k in enumerate(KINDS) if k.base]) | F.col("live"))
 
 
 def span_text(spans: Column) -> Column:
     """``kind:start:end`` comma-joined from an array of structs with start, kind and end, in order."""
-    names = F.array(*[F.lit(k[0]) for k in KINDS])
+    names = F.array(*[F.lit(k.name) for k in KINDS])
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,live:boolean,owners:bigint,repositories:bigint>>"
+
+
 def find_secrets(docs: DataFrame, **options) -> DataFrame:
-    """A row for each row of ``docs``: doc_id and spans, an array of (start, kind, end, live, owners).
+    """A row for each row of ``docs``: doc_id and spans, an array as SPANS, by start, then kind.
 
-    Repeated rows give repeated rows; an empty table gives an empty result.
+    Null text is empty text and has no spans; repeated rows give repeated rows; an empty table gives
+    an empty result; further columns are ignored.
     """
     rows, spans = scan(docs, **options)
-    packed = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "owners"))).alias("spans"))
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean,owners:bigint>>")
-    return rows.join(packed, "row_id", "left").select("doc_id", F.coalesce(F.col("spans").cast(empty_type()), empty).alias("spans"))
-
-
-def empty_type() -> str:
-    return "array<struct<start:bigint,kind:int,end:bigint,live:boolean,owners:bigint>>"
+    packed = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("spans"))
+    return rows.join(packed, "row_id", "left").select("doc_id", F.coalesce(F.col("spans").cast(SPANS), F.array().cast(SPANS)).alias("spans"))
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
-    """``docs`` with the values of live candidates masked, n_chars recounted, all columns kept.
+    """``docs`` with the values of live keys masked, n_chars recounted, all columns kept.
 
-    Widely copied examples stay as they are; so do all rows without a live candidate.
+    Masked are live candidates of a known key form, and live assigned values that aren't words;
+    runs of hexadecimal digits without such a name are commits and checksums as a rule and stay, as
+    do widely copied examples. Spans that overlap are masked once. Rows without a mask stay as they
+    are, null texts too; repeated rows stay repeated; an empty table stays empty.
     """
     columns = docs.columns
     rows, spans = scan(docs, **options)
     # spans depend on the text alone and verdicts on the value, so texts that are equal share them
-    live = spans.where("live").join(rows.select("row_id", "digest"), "row_id").select("digest", "value_start", "end").distinct()
+    live = spans.where("live and maskable").join(rows.select("row_id", "digest"), "row_id").select("digest", "value_start", "end").distinct()
     order = Window.partitionBy("digest").orderBy("value_start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = live.withColumn("new", (reach.isNull() | (F.col("value_start") >= reach)).cast("int"))

@@ -7,14 +7,16 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadloom.llm import chat_format, html_extract, packing, piece_codec, quality_fm, queries
+from roadloom.llm import chat_format, common, html_extract, packing, piece_codec, quality_fm, queries
 from roadloom.llm.packing import BLOCK, WordEncoder
 
 from . import brute
+from .test_near_copies import brute_components
 from .conftest import DOCS, ODD, key, rows_of
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class="no-sidebar">
@@ -275,8 +277,9 @@ def test_pipeline(spark, sf_dir, words):
     for r in rules:
         best[r.text] = max(best.get(r.text, -1), r.doc_id)
     assert sorted(r.doc_id for r in exact) == sorted(best.values())
-    parts = brute.components([(r.doc_id, r.text) for r in exact])
-    assert sorted(r.doc_id for r in near) == sorted({c for _, _, c in parts})
+    # near copies are those of five-word Jaccard 0.8 or more, by comparing all pairs
+    parts, _ = brute_components([(r.doc_id, r.text) for r in exact])
+    assert sorted(r.doc_id for r in near) == sorted(set(parts.values()))
     assert sorted(r.doc_id for r in masked) == sorted(r.doc_id for r in near)
     tokens = {r.doc_id: len(plain_ids(words, r.text)) + 1 for r in masked}
     total = defaultdict(int)
@@ -297,3 +300,36 @@ def test_pipeline_on_odd_rows(spark, sf_dir, which, request):
 
 def test_digest_helper():
     assert brute.sha("") == hashlib.sha256(b"").hexdigest()
+
+
+def test_rows_without_a_conversation_stand_alone(spark):
+    tokenizer = queries.tokenizer_path("byte_bpe_50k.json")
+    rows = [(None, 0, "user", "same")] * 5 + [(None, 1, "assistant", "other")] + [("b", 0, "user", "hi"), ("b", 1, "assistant", "ho"), ("", 0, "assistant", "")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").withColumn("formatted", F.lit("clash"))
+    got = [(r.conv_id, chat_format.parse(r.formatted)) for r in chat_format.format_chats(df, tokenizer).collect()]
+    want = [(None, [("user", "same")])] * 5 + [(None, [("assistant", "other")]), ("b", [("user", "hi"), ("assistant", "ho")]), ("", [("assistant", "")])]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "bigint", "decimal(10,0)", "date", "binary"])
+def test_conversations_with_ids_of_any_type(spark, kind):
+    value = "2024-01-02" if kind == "date" else "7"
+    df = spark.createDataFrame([(0, "user", "hi"), (1, "assistant", "ho")], "turn int, role string, text string").withColumn("conv_id", F.lit(value).cast(kind))
+    got = chat_format.format_chats(df, queries.tokenizer_path("byte_bpe_50k.json"))
+    assert got.schema["conv_id"].dataType.simpleString() == kind and got.first().n_turns == 2
+    assert chat_format.format_chats(df.limit(0), queries.tokenizer_path("byte_bpe_50k.json")).count() == 0
+
+
+def test_fit_is_the_same_under_repeated_ids(spark, docs):
+    rows = docs.limit(60).select("doc_id", "text")
+    twice = rows.unionByName(rows.select("doc_id", F.reverse("text").alias("text")))
+    labels = rows.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    a, b = (quality_fm.train(df, labels) for df in (twice.repartition(7), twice.repartition(3, "text")))
+    assert (a.weights == b.weights).all() and (a.factors == b.factors).all()
+
+
+def test_batches_leave_the_session_as_it_is(spark, docs):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = [b.num_rows for b in common.small_batches(iter([pa.record_batch({"x": list(range(1000))})]))]
+    quality_fm.feature_rows(docs).count()
+    assert seen == [256, 256, 256, 232] and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
