@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
 
-__all__ = ["checked_broadcast", "materialise", "small_batches", "table", "text_of"]
+__all__ = ["bound_batches", "checked_broadcast", "materialise", "small_batches", "table", "text_of"]
 
 #: Rows of a narrow side (ids and digests, at most about 100 bytes a row) that may be broadcast.
 BROADCAST_ROWS = 300_000
@@ -18,8 +18,20 @@ BROADCAST_ROWS = 300_000
 ARROW_ROWS = 256
 
 
+#: Bytes of an Arrow batch for the registered queries and the pipeline, unless the session says otherwise.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """For entry points: hold Arrow batches to ARROW_BYTES where the session has no bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's default
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table ``name`` of the data folder, through Spark's reader alone."""
+    """The table ``name`` of the data folder, through Spark's reader alone, for a registered query."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -27,7 +39,8 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) ->
     """Slices of at most ``rows`` rows, without a copy.
 
     Spark itself bounds a batch by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB
-    unless set), so long texts come few at a time; no setting of the session is changed.
+    unless set), so long texts come few at a time. No operator changes a setting of the session;
+    the registered queries lower that bound (``bound_batches``).
     """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
