@@ -75,3 +75,13 @@ def direction_abbreviation(direction: Column) -> Column:
     for name, short in known.items():
         found = F.when(F.upper(F.trim(direction)) == name, F.lit(short)).otherwise(found)
     return F.coalesce(found, title(direction))
+
+
+def display_name(road: str, direction: str) -> Column:
+    """``I-285 CW`` for the columns of a road and its direction."""
+    return F.trim(F.concat_ws(" ", F.col(road), direction_abbreviation(F.col(direction))))
+
+
+def slug(road: str, direction: str) -> Column:
+    """``i-75-no`` for I-75 northbound: a name for paths and addresses."""
+    return F.concat(F.lower(F.replace(F.col(road), F.lit("/"), F.lit("-"))), F.lit("-"), F.lower(F.left(F.col(direction), F.lit(2))))

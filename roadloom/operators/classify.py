@@ -2,39 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.columns import display_name, long_date_label, short_clock_label
 from ..params import DEFAULT, Params
 from ..sources.scratch import materialise
+from . import geo
 
 TIERS = ("Least Severe", "Low", "Moderate", "High", "Most Severe")
 #: Name and whether a higher value is worse.
 FEATURES = (("speed_drop_ratio", False), ("occurrence_pct", True), ("aadt", True), ("annual_queue_mile_hours", True))
+#: Rows up to which all fits work on one partition: each of their many steps is one short task then.
+ONE_PARTITION = 50_000
+RESTARTS = 10
+
+
+@contextmanager
+def _held(points: DataFrame) -> Iterator[DataFrame]:
+    """``points`` in memory for the fits that read them again and again; lost parts come from their files."""
+    few = points.limit(ONE_PARTITION + 1).count() <= ONE_PARTITION
+    held = (points.coalesce(1) if few else points).persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
 
 
-def _clusters(rows: DataFrame, columns: list[str], k: int, seed: int = 0, restarts: int = 5) -> DataFrame:
+def _clusters(rows: DataFrame, columns: list[str], k: int, seed: int = 0, restarts: int = RESTARTS) -> DataFrame:
     """``rows`` with cluster: the best of several K-means fits by their cost."""
     points = VectorAssembler(inputCols=columns, outputCol="__v").transform(rows)
-    n = points.select(*columns).distinct().limit(k).count()
-    if n < 2:
-        return rows.withColumn("cluster", F.lit(0))
-    fits = [KMeans(k=n, seed=seed + i, featuresCol="__v", predictionCol="cluster", maxIter=100).fit(points) for i in range(restarts)]
-    return min(fits, key=lambda m: m.summary.trainingCost).transform(points).drop("__v")
+    with _held(points) as held:
+        n = held.select(*columns).distinct().limit(k).count()
+        if n < 2:
+            return rows.withColumn("cluster", F.lit(0))
+        fits = [KMeans(k=n, seed=seed + i, featuresCol="__v", predictionCol="cluster", maxIter=100).fit(held) for i in range(restarts)]
+        best = min(fits, key=lambda m: m.summary.trainingCost)
+    return best.transform(points).drop("__v")
 
 
 def _ranked(clustered: DataFrame, by: str) -> DataFrame:
     """class_rank from 0 by the clusters' means; the cluster numbers themselves mean nothing."""
     means = clustered.groupBy("cluster").agg(F.avg(by).alias("mean"), F.min(by).alias("class_low"), F.max(by).alias("class_high"))
-    order = means.withColumn("class_rank", F.row_number().over(Window.orderBy("mean")) - 1)  # one row a cluster
+    order = means.withColumn("class_rank", F.row_number().over(Window.orderBy("mean", "class_low")) - 1)  # one row a cluster
     return clustered.join(order, "cluster").drop("cluster", "mean")
 
 
 def severity_classes(rows: DataFrame, value: str, params: Params = DEFAULT) -> DataFrame:
-    """``rows`` with a value, their class_rank and its label: the range of the class's values."""
+    """``rows`` with a value, their class_rank and its label: the range of the class's values.
+
+    Equal values have one class. Where there are fewer distinct values than classes, each is one.
+    """
     # the fits read the rows again and again
     points = materialise(rows.where(F.col(value).isNotNull()), "points")
     fitted = _ranked(_clusters(points, [value], params.classes), value)
@@ -70,3 +94,19 @@ def top_intersections(classed: DataFrame, params: Params = DEFAULT) -> DataFrame
 def reclassified(top: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Classes fitted anew on the chosen rows alone."""
     return multi_feature_classes(top.drop("class_score", "class_rank", "tier"), params)
+
+
+def map_records(mapped: DataFrame, segments: DataFrame, vertices: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The map's segments as a renderer takes them: offset points, one region-wide class, labels.
+
+    ``mapped`` is the table of map segments. The classes are fitted once over all its rows, so a
+    class means the same severity in every part of it; rows without a severity are left out.
+    """
+    lines = geo.offset(geo.polylines(segments, vertices), params)
+    classed = severity_classes(mapped, "severity", params)
+    return classed.join(lines, "tmc").select(
+        "bottleneck_id", "corridor_id", "segment_order", "tmc", display_name("road", "direction").alias("name"), "severity", "class_rank", "class_label", "width",
+        long_date_label(F.col("worst_date")).alias("worst_date_label"), short_clock_label(F.col("worst_time")).alias("worst_time_label"), "points",
+    )
+
+

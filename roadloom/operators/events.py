@@ -1,14 +1,15 @@
 """Congestion events on each corridor day's grid of 5-minute slots and segments.
 
-Cells are sparse rows. Closing and erosion are explodes and counts; only component labels need a
-group function, which gets one corridor day's closed cells.
+Cells are sparse rows. Masks, cores and labels of a corridor day are made in one group function on
+its dense grid (at most 288 slots by the corridor's segments), so the stored grid is shuffled once
+for them; the events then need one more shuffle by corridor day, of the closed cells alone.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,6 +18,7 @@ from ..params import DEFAULT, Params
 
 DAY = ["corridor_id", "analysis_date"]
 CELL = [*DAY, "slot", "segment_order"]
+CELL_TYPES = "corridor_id int, analysis_date date, slot int, segment_order int"
 
 
 def grid(joined: DataFrame, params: Params = DEFAULT) -> DataFrame:
@@ -25,51 +27,80 @@ def grid(joined: DataFrame, params: Params = DEFAULT) -> DataFrame:
     width is the largest segment order seen on that corridor day, by whatever reading.
     """
     minute = F.hour("measurement_tstamp") * 60 + F.minute("measurement_tstamp")
-    width = F.max("segment_order").over(Window.partitionBy(*DAY))
-    rows = joined.withColumns({"minute": minute, "width": width}).where(F.col("minute") % params.slot_minutes == 0)
+    width = joined.groupBy(*DAY).agg(F.max("segment_order").alias("width"))
+    rows = joined.withColumn("minute", minute).where(F.col("minute") % params.slot_minutes == 0)
     first = F.struct(F.col("speed").isNull(), "speed", F.col("reference_speed").isNull(), -F.col("reference_speed"))
     cells = rows.groupBy(*DAY, (F.col("minute") / params.slot_minutes).cast("int").alias("slot"), "segment_order").agg(
-        F.min_by("speed", first).alias("speed"), F.min_by("reference_speed", first).alias("reference_speed"), F.max("width").alias("width"),
+        F.min_by("speed", first).alias("speed"), F.min_by("reference_speed", first).alias("reference_speed"),
         F.max("tmc").alias("tmc"), F.max("intersection").alias("intersection"), F.max(F.coalesce("miles", F.lit(0.0))).alias("miles"),
     )
     seen = F.col("speed").isNotNull() & F.coalesce(F.col("reference_speed") > 0, F.lit(False))
-    return cells.withColumns({"observed": seen, "ratio": F.when(seen, ratio())})
+    named = cells.join(width, DAY).select(*CELL, "speed", "reference_speed", "width", "tmc", "intersection", "miles")
+    return named.withColumns({"observed": seen, "ratio": F.when(seen, ratio())})
+
+
+def _hot(params: Params) -> Column:
+    return F.col("observed") & (F.col("ratio") < params.congestion_ratio)
 
 
 def raw_mask(cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """The observed cells below the congestion ratio."""
-    return cells.where(F.col("observed") & (F.col("ratio") < params.congestion_ratio)).select(*CELL, "width")
+    return cells.where(_hot(params)).select(*CELL, "width")
 
 
-def _cross(mask: DataFrame) -> DataFrame:
-    """Each cell and its four neighbours, as rows."""
-    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 0), (1, 0), (-1, 0), (0, 1), (0, -1))])
-    moved = mask.withColumn("step", F.explode(steps))
-    return moved.select(*DAY, (F.col("slot") + F.col("step.a")).alias("slot"), (F.col("segment_order") + F.col("step.b")).alias("segment_order"), "width")
+def _cross(mask: np.ndarray) -> list[np.ndarray]:
+    """The mask and its moves by one cell along each side; beyond the grid nothing is set."""
+    edge = np.pad(mask, 1)
+    return [mask, edge[:-2, 1:-1], edge[2:, 1:-1], edge[1:-1, :-2], edge[1:-1, 2:]]
 
 
-def _inside(cells: DataFrame, params: Params) -> DataFrame:
-    return cells.where(F.col("slot").between(0, params.slots - 1) & F.col("segment_order").between(1, F.col("width")))
+def dilated(mask: np.ndarray) -> np.ndarray:
+    return np.logical_or.reduce(_cross(mask))
 
 
-def erode(mask: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Cells whose four neighbours are in the mask too; beyond the grid nothing is."""
-    counted = _inside(_cross(mask), params).groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), F.max("width").alias("width"))
-    return counted.where("n = 5").drop("n")
+def eroded(mask: np.ndarray) -> np.ndarray:
+    return np.logical_and.reduce(_cross(mask))
 
 
-def closed_mask(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def closed(mask: np.ndarray) -> np.ndarray:
     """Closing by a cross: dilate within the grid, then erode. The border cells always go."""
-    return erode(_inside(_cross(raw), params).distinct(), params)
+    return eroded(dilated(mask))
+
+
+def _dense(rows: pd.DataFrame, width: int, params: Params) -> np.ndarray:
+    """The cells ``rows`` as a boolean grid of slots by segments."""
+    mask = np.zeros((params.slots, width), bool)
+    slots, orders = rows["slot"].to_numpy(), rows["segment_order"].to_numpy()
+    within = (slots >= 0) & (slots < params.slots) & (orders >= 1) & (orders <= width)
+    mask[slots[within], orders[within] - 1] = True
+    return mask
+
+
+def _cells(rows: pd.DataFrame, mask: np.ndarray) -> pd.DataFrame:
+    """The set cells of a corridor day's grid, by slot, then segment."""
+    slots, columns = np.nonzero(mask)
+    day = rows[DAY].iloc[[0] * len(slots)].reset_index(drop=True)
+    return day.assign(slot=slots.astype("int32"), segment_order=(columns + 1).astype("int32"))
+
+
+def closed_mask(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The closed cells of each corridor day, with its width."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        width = int(rows["width"].max())
+        return _cells(rows, closed(_dense(rows, width, params))).assign(width=np.int32(width))
+
+    return raw.groupBy(*DAY).applyInPandas(run, f"{CELL_TYPES}, width int")
 
 
 def closed_and_cores(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """The closed mask with a flag for its cores, the cells that a further erosion leaves."""
-    closed = closed_mask(raw, params)
-    # one pass: a cell's own row marks it, rows of the cross count its neighbours
-    steps = _cross(closed.withColumn("slot", F.col("slot")))
-    near = steps.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
-    return closed.select(*CELL).join(near, CELL).select(*CELL, (F.col("n") == 5).alias("is_core"))
+    """The closed cells with a flag for the cores, which a further erosion leaves."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = closed(_dense(rows, int(rows["width"].max()), params))
+        return _cells(rows, whole).assign(is_core=eroded(whole)[whole])
+
+    return raw.groupBy(*DAY).applyInPandas(run, f"{CELL_TYPES}, is_core boolean")
 
 
 def components(mask: np.ndarray) -> np.ndarray:
@@ -124,7 +155,39 @@ def labelled_cells(marked: DataFrame) -> DataFrame:
         label = event_labels(rows["slot"].to_numpy(), rows["segment_order"].to_numpy(), rows["is_core"].to_numpy())
         return rows[CELL].assign(label=label.astype("int32"))
 
-    return marked.groupBy(*DAY).applyInPandas(run, "corridor_id int, analysis_date date, slot int, segment_order int, label int")
+    return marked.groupBy(*DAY).applyInPandas(run, f"{CELL_TYPES}, label int")
+
+
+#: What an event's cell carries besides its place and label; null where nothing was read.
+VALUES = ["speed", "reference_speed", "ratio", "miles", "start_mile", "end_mile"]
+
+
+def event_cells(cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The closed cells with their label and VALUES, from a corridor day's cells in one step.
+
+    Raw mask, closing, cores, labels and mileposts all need the corridor day whole and nothing
+    else, so the grid is shuffled by it once.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        width = int(rows["width"].max())
+        whole = closed(_dense(rows[rows["hot"]], width, params))
+        if not whole.any():
+            return pd.DataFrame(columns=[*CELL, "label", *VALUES])
+        out = _cells(rows, whole)
+        slots, orders = out["slot"].to_numpy(), out["segment_order"].to_numpy()
+        out["label"] = event_labels(slots, orders, eroded(whole)[whole]).astype("int32")
+        length = rows.groupby("segment_order")["miles"].max()
+        end = length.cumsum()
+        posts = pd.DataFrame({"miles": length, "start_mile": end - length, "end_mile": end})
+        read = rows.set_index(["slot", "segment_order"])[["speed", "reference_speed", "ratio"]]
+        found = read.reindex(pd.MultiIndex.from_arrays([slots, orders])).reset_index(drop=True)
+        return pd.concat([out, found, posts.reindex(orders).reset_index(drop=True)], axis=1)
+
+    narrow = cells.select(*CELL, "width", _hot(params).alias("hot"), "speed", "reference_speed", "ratio", "miles")
+    made = narrow.groupBy(*DAY).applyInPandas(run, f"{CELL_TYPES}, label int, {', '.join(f'{v} double' for v in VALUES)}")
+    # a number that isn't there comes back from the group function as NaN
+    return made.select(*CELL, "label", *[F.nanvl(F.col(v), F.lit(None).cast("double")).alias(v) for v in VALUES])
 
 
 def mileposts(cells: DataFrame) -> DataFrame:
@@ -134,55 +197,90 @@ def mileposts(cells: DataFrame) -> DataFrame:
     return seen.withColumn("end_mile", end).withColumn("start_mile", F.col("end_mile") - F.col("miles"))
 
 
-def slices(labels: DataFrame, posts: DataFrame) -> DataFrame:
-    """Each event's slots: total miles, longest contiguous run, first segment and its start mile."""
-    m = posts.select(*DAY, "segment_order", "miles", "start_mile")
-    rows = labels.join(m, [*DAY, "segment_order"], "left").withColumn("length", F.coalesce("miles", F.lit(0.0)))
+def with_values(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled cells with VALUES, joined from the grid and its mileposts."""
+    posts = mileposts(cells).select(*DAY, "segment_order", "miles", "start_mile", "end_mile")
+    return labels.join(cells.select(*CELL, "speed", "reference_speed", "ratio"), CELL, "left").join(posts, [*DAY, "segment_order"], "left").select(*CELL, "label", *VALUES)
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """Unbroken rows of segments of each event and slot, with sums of what their cells carry.
+
+    All keys begin with the corridor day, so one shuffle by it serves every window and aggregate
+    from here to the event.
+    """
+    dealt = rows.repartition(*DAY).withColumn("drop", F.col("reference_speed") - F.col("speed"))
     island = F.col("segment_order") - F.row_number().over(Window.partitionBy(*DAY, "label", "slot").orderBy("segment_order"))
-    runs = rows.withColumn("run", island).groupBy(*DAY, "label", "slot", "run").agg(F.sum("length").alias("length"), F.min(F.struct("segment_order", "start_mile")).alias("low"))
-    return runs.groupBy(*DAY, "label", "slot").agg(F.max("length").alias("run_miles"), F.sum("length").alias("total_miles"), F.min("low").alias("low")).select(*DAY, "label", "slot", "run_miles", "total_miles", F.col("low.segment_order").alias("first_order"), F.col("low.start_mile").alias("upstream_mile"))
+    fresh = F.row_number().over(Window.partitionBy(*DAY, "label", "segment_order").orderBy("slot")) == 1
+    return dealt.withColumns({"run": island, "fresh": fresh}).groupBy(*DAY, "label", "slot", "run").agg(
+        F.sum(F.coalesce("miles", F.lit(0.0))).alias("length"), F.min(F.struct("segment_order", "start_mile")).alias("low"), F.max(F.struct("segment_order", "end_mile")).alias("high"),
+        F.count(F.lit(1)).alias("cells"), F.count_if("fresh").alias("segments"), F.min("ratio").alias("lowest"), F.max("drop").alias("most"),
+        *[x for v in ("speed", "ratio", "drop") for x in (F.sum(v).alias(f"{v}_sum"), F.count(v).alias(f"{v}_n"))],
+    )
+
+
+SUMS = ["cells", "segments", *[f"{v}_{x}" for v in ("speed", "ratio", "drop") for x in ("sum", "n")]]
+
+
+def _slices(rows: DataFrame) -> DataFrame:
+    """Each event's slots: longest run, total miles, both ends and the sums of the runs."""
+    return _runs(rows).groupBy(*DAY, "label", "slot").agg(
+        F.max("length").alias("run_miles"), F.sum("length").alias("total_miles"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("lowest").alias("lowest"), F.max("most").alias("most"), *[F.sum(x).alias(x) for x in SUMS],
+    )
+
+
+def slices(rows: DataFrame) -> DataFrame:
+    """Each event's slots: total miles, longest contiguous run, first segment and its start mile."""
+    return _slices(rows).select(*DAY, "label", "slot", "run_miles", "total_miles", F.col("low.segment_order").alias("first_order"), F.col("low.start_mile").alias("upstream_mile"))
 
 
 def events(cells: DataFrame, labels: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """The retained events of each corridor day, numbered by label.
+    """The retained events of each corridor day: see ``summarised``; labels are joined to the grid."""
+    return summarised(with_values(cells, labels), cells, params)
+
+
+def summarised(rows: DataFrame, cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The retained events of labelled cells with VALUES, numbered by label on each corridor day.
 
     Closing adds cells that nothing was observed in: they count as cells, but not in averages. The
-    end time is the start of the last slot.
+    end time is the start of the last slot. Names of segments come from ``cells``.
     """
-    posts = mileposts(cells)
-    values = cells.select(*CELL, "speed", "reference_speed", "ratio")
-    key = [*DAY, "label"]
-    body = labels.join(values, CELL, "left").withColumn("drop", F.col("reference_speed") - F.col("speed")).groupBy(*key).agg(
-        F.count(F.lit(1)).alias("cell_count"), F.countDistinct("slot").alias("slots"), F.countDistinct("segment_order").alias("segment_count"),
-        F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.min("segment_order").alias("first_segment_order"), F.max("segment_order").alias("last_segment_order"),
-        F.avg("speed").alias("speed"), F.min("ratio").alias("low"), F.avg("ratio").alias("ratio"), F.avg("drop").alias("drop"), F.max("drop").alias("most"),
-    )
-    part = slices(labels, posts)
     hours = F.col("slot") * params.slot_minutes / 60.0
-    slope = F.when((F.count(F.lit(1)) >= 3) & (F.count("upstream_mile") == F.count(F.lit(1))), F.regr_slope("upstream_mile", hours))
-    extent = part.groupBy(*key).agg(
-        F.max("run_miles").alias("run_miles"), F.max("total_miles").alias("total_miles"), F.sum(F.least("total_miles", F.lit(params.slice_miles))).alias("sliced"), slope.alias("slope")
-    )
+    upstream = F.col("low.start_mile")
+    slope = F.when((F.count(F.lit(1)) >= 3) & (F.count(upstream) == F.count(F.lit(1))), F.regr_slope(upstream, hours))
+
+    def mean(of: str) -> Column:
+        return F.sum(f"{of}_sum") / F.nullif(F.sum(f"{of}_n"), F.lit(0))
+
+    found = _slices(rows).groupBy(*DAY, "label").agg(
+        F.sum("cells").alias("cell_count"), F.count(F.lit(1)).alias("slots"), F.sum("segments").alias("segment_count"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("run_miles").alias("run_miles"), F.max("total_miles").alias("total_miles"),
+        F.sum(F.least("total_miles", F.lit(params.slice_miles))).alias("sliced"), slope.alias("slope"),
+        mean("speed").alias("speed"), F.min("lowest").alias("lowest"), mean("ratio").alias("ratio"), mean("drop").alias("drop"), F.max("most").alias("most"),
+    )
     minutes = F.col("slots") * params.slot_minutes
-    kept = body.join(extent, key).where(
+    kept = found.where(
         (F.col("cell_count") >= params.event_cells) & (minutes >= params.event_minutes) & (F.col("segment_count") >= params.event_segments) & (F.least("run_miles", F.lit(params.slice_miles)) >= params.event_miles)
     ).withColumn("event_id", F.row_number().over(Window.partitionBy(*DAY).orderBy("label")))
-    at = posts.select(*DAY, F.col("segment_order").alias("o"), "tmc", "intersection", "start_mile", "end_mile")
-    first = at.select(*DAY, F.col("o").alias("first_segment_order"), F.col("tmc").alias("first_tmc"), F.col("intersection").alias("first_intersection"), F.col("start_mile").alias("a"))
-    last = at.select(*DAY, F.col("o").alias("last_segment_order"), F.col("tmc").alias("last_tmc"), F.col("intersection").alias("last_intersection"), F.col("end_mile").alias("b"))
-    placed = kept.join(first, [*DAY, "first_segment_order"], "left").join(last, [*DAY, "last_segment_order"], "left")
+    kept = kept.withColumns({"first_segment_order": F.col("low.segment_order"), "last_segment_order": F.col("high.segment_order")})
+    # as large as the network
+    names = cells.groupBy("corridor_id", "segment_order").agg(F.max("tmc").alias("tmc"), F.max("intersection").alias("intersection"))
+    first = names.select("corridor_id", F.col("segment_order").alias("first_segment_order"), F.col("tmc").alias("first_tmc"), F.col("intersection").alias("first_intersection"))
+    last = names.select("corridor_id", F.col("segment_order").alias("last_segment_order"), F.col("tmc").alias("last_tmc"), F.col("intersection").alias("last_intersection"))
+    placed = kept.join(first, ["corridor_id", "first_segment_order"], "left").join(last, ["corridor_id", "last_segment_order"], "left")
     midnight = F.to_timestamp_ntz(F.col("analysis_date").cast("string"))
 
-    def time(slot: str):
+    def time(slot: str) -> Column:
         return midnight + F.make_dt_interval(F.lit(0), F.lit(0), (F.col(slot) * params.slot_minutes).cast("int"), F.lit(0))
 
     return placed.select(
         *DAY, "event_id", time("first_slot").alias("start_time"), time("last_slot").alias("end_time"), minutes.alias("duration_minutes"), "cell_count", "segment_count",
         "first_segment_order", "last_segment_order", "first_tmc", "last_tmc", "first_intersection", "last_intersection",
         rounded(F.least("run_miles", F.lit(params.slice_miles)), 3).alias("maximum_contiguous_extent_miles"), rounded(F.least("total_miles", F.lit(params.slice_miles)), 3).alias("maximum_total_active_miles"),
-        rounded(F.col("sliced") * params.slot_minutes / 60.0, 3).alias("event_area_mile_hours"), rounded(F.col("speed"), 2).alias("average_speed_mph"), rounded(F.col("low"), 3).alias("minimum_speed_ratio"),
+        rounded(F.col("sliced") * params.slot_minutes / 60.0, 3).alias("event_area_mile_hours"), rounded(F.col("speed"), 2).alias("average_speed_mph"), rounded(F.col("lowest"), 3).alias("minimum_speed_ratio"),
         rounded(F.col("ratio"), 3).alias("average_speed_ratio"), rounded(F.col("drop"), 2).alias("average_speed_drop_mph"), rounded(F.col("most"), 2).alias("maximum_speed_drop_mph"),
-        rounded(F.col("slope"), 3).alias("estimated_upstream_boundary_speed_mph"), rounded(F.coalesce("a", F.lit(0.0)), 3).alias("corridor_start_mile"), rounded(F.coalesce("b", F.lit(0.0)), 3).alias("corridor_end_mile"),
+        rounded(F.col("slope"), 3).alias("estimated_upstream_boundary_speed_mph"), rounded(F.coalesce("low.start_mile", F.lit(0.0)), 3).alias("corridor_start_mile"), rounded(F.coalesce("high.end_mile", F.lit(0.0)), 3).alias("corridor_end_mile"),
     )
 
 

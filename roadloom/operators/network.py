@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import title
+from ..functions.columns import slug, title
 from ..params import DEFAULT, Params
 
 INTERSTATE = r"^I-[0-9]+(/I-[0-9]+)?$"
@@ -145,13 +145,22 @@ def next_intersections(watched: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def active_corridors(definitions: DataFrame, only: tuple[str, str] | None = None, group: str | None = None) -> DataFrame:
-    """Active corridors, all of them, one (road, direction) pair, or one group."""
+    """Active corridors with their slug: all of them, one (road, direction) pair, or one group."""
     found = definitions.where("is_active")
     if only:
         found = found.where((F.col("road") == only[0]) & (F.col("direction") == only[1]))
     if group:
         found = found.where(F.col("corridor_group") == group)
-    return found.select("corridor_id", "road", "direction", "corridor_name", "corridor_group")
+    return found.select("corridor_id", "road", "direction", "corridor_name", "corridor_group", slug("road", "direction").alias("slug"))
+
+
+def corridor(definitions: DataFrame, road: str, direction: str) -> Row:
+    """The one corridor of a (road, direction) pair, active or not; raises LookupError without one."""
+    rows = definitions.where((F.col("road") == road) & (F.col("direction") == direction))
+    found = rows.select("corridor_id", "road", "direction", "corridor_name", "corridor_group", slug("road", "direction").alias("slug")).orderBy("corridor_id").first()
+    if found is None:
+        raise LookupError(f"no corridor on {road} {direction}")
+    return found
 
 
 def corridor_extent(ordered: DataFrame) -> DataFrame:

@@ -173,7 +173,7 @@ def map_segments(bottlenecks: DataFrame, members: DataFrame, ranked: DataFrame,
     place = ordered.select("corridor_id", "segment_order", "tmc", "start_latitude", "start_longitude", "end_latitude", "end_longitude").where("start_latitude IS NOT NULL AND start_longitude IS NOT NULL AND end_latitude IS NOT NULL AND end_longitude IS NOT NULL")
     width = F.when(F.col("corridor_group") == "Interstate", 5.0).when(F.col("corridor_group") == "Expressway", 4.0).otherwise(3.0)
     return rows.join(place, ["corridor_id", "segment_order"]).join(worst, "bottleneck_id", "left").select(
-        "bottleneck_id", "corridor_id", "corridor_group", "corridor_name", "segment_order", "tmc", "start_latitude", "start_longitude", "end_latitude", "end_longitude",
+        "bottleneck_id", "corridor_id", F.col("corridor").alias("road"), "direction", "corridor_group", "corridor_name", "segment_order", "tmc", "start_latitude", "start_longitude", "end_latitude", "end_longitude",
         F.col("aadt_weighted_severity_index").alias("severity"), F.col("w.analysis_date").alias("worst_date"), F.col("w.peak_time").alias("worst_time"), width.alias("width"),
     )
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import columns as c
 from ..operators import bottlenecks, characterise, classify, events, geo, intersections, network, observations, profile, ranking, region
@@ -36,32 +38,57 @@ def register_raw(name: str, query: Query, select: str | None = None) -> None:
 # --- sources and sinks -------------------------------------------------------------------------
 
 READINGS = "tmc_code, measurement_tstamp, speed, historical_average_speed, reference_speed, travel_time_minutes, data_density"
-register_raw("s1_staged_load", lambda s, d: tables.typed_readings(fixtures.staged_table(s, d)), f"SELECT {READINGS} FROM probe")
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as staged text files, read and typed."""
+    path = scratch_path(spark, "staged")
+    fixtures.staged_table(spark, sf_dir).select(*READINGS.split(", ")).write.csv(path, header=True)
+    return tables.typed_readings(tables.read_staged(spark, path))
+
+
+register_raw("s1_staged_load", _staged, f"SELECT {READINGS} FROM probe")
 
 
 def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "readings")
     rows = fixtures.reading_table(spark, sf_dir).withColumn("analysis_date", F.to_date("measurement_tstamp"))
     sinks.write_partitioned(rows, path, "analysis_date")
-    back = spark.read.parquet(path).where("analysis_date < DATE '2024-01-15'")  # prunes to those folders
-    return back.groupBy("analysis_date").agg(F.count(F.lit(1)).alias("readings"), F.count("speed").alias("speeds"), c.rounded(F.sum("speed"), 2).alias("speed_sum"))
+    return spark.read.parquet(path).groupBy("analysis_date").agg(F.count(F.lit(1)).alias("readings"), F.count("speed").alias("speeds"), c.rounded(F.sum("speed"), 2).alias("speed_sum"))
 
 
-register_raw("s2_partitioned_readings", _partitioned, f"SELECT {o.DAY} AS analysis_date, count(*) AS readings, count(speed) AS speeds, {r('sum(speed)', 2)} AS speed_sum FROM probe WHERE {o.DAY} < DATE '2024-01-15' GROUP BY ALL")
+register_raw("s2_partitioned_readings", _partitioned, f"SELECT {o.DAY} AS analysis_date, count(*) AS readings, count(speed) AS speeds, {r('sum(speed)', 2)} AS speed_sum FROM probe GROUP BY ALL")
 register("s3_segment_metadata", lambda w: w.segments.select(*[F.round(x, 6).alias(x) if t == "double" else F.col(x) for x, t in w.segments.dtypes]), "SELECT * REPLACE (round(start_latitude, 6) AS start_latitude, round(start_longitude, 6) AS start_longitude, round(end_latitude, 6) AS end_latitude, round(end_longitude, 6) AS end_longitude, round(miles, 6) AS miles) FROM tmc")
 DAILY = "corridor_id, analysis_date, segment_order, congested_minutes"
 
 
 def _replaced(w: Warehouse) -> DataFrame:
-    old = w.daily.select(*DAILY.split(", ")).where("analysis_date < DATE '2024-01-20'")
-    slices = w.daily.where("analysis_date >= DATE '2024-01-15' AND corridor_id <= 2").select("corridor_id", "analysis_date").distinct()
-    # one slice comes back empty
-    new = w.daily.select(*DAILY.split(", ")).where("analysis_date > DATE '2024-01-15' AND corridor_id <= 2")
-    return sinks.replace_slices(old, new, slices)
+    """The daily table on disk by corridor and day; each corridor's last day comes anew, the even ones' without rows."""
+    rows = w.stage("daily").select(*DAILY.split(", "))
+    path = scratch_path(rows.sparkSession, "slices")
+    sinks.write_partitioned(rows, path, "corridor_id", "analysis_date")
+    last = rows.groupBy("corridor_id").agg(F.max("analysis_date").alias("analysis_date"))
+    new = rows.join(last, ["corridor_id", "analysis_date"], "left_semi").where("corridor_id % 2 = 1").withColumn("congested_minutes", F.col("congested_minutes") + 1)
+    sinks.overwrite_slices(new, path, last)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*DAILY.split(", "))
+
+
+register(
+    "s5_replace_slice", _replaced,
+    """SELECT corridor_id, analysis_date, segment_order, CASE WHEN analysis_date = last_day THEN congested_minutes + 1 ELSE congested_minutes END AS congested_minutes FROM (SELECT *, max(analysis_date) OVER (PARTITION BY corridor_id) AS last_day FROM daily) WHERE analysis_date < last_day OR corridor_id % 2 = 1""",
+)
+
 
+def _cascaded(w: Warehouse) -> DataFrame:
+    """Bottlenecks on disk by corridor; those of all but Arterial corridors come back empty, and their members go."""
+    parents = w.stage("bottlenecks")
+    path = scratch_path(parents.sparkSession, "parents")
+    sinks.write_partitioned(parents, path, "corridor_id")
+    sinks.overwrite_slices(parents.limit(0), path, parents.where("corridor_group <> 'Arterial'").select("corridor_id").distinct())
+    return sinks.drop_orphans(w.members, parents.sparkSession.read.schema(parents.schema).parquet(path), ["bottleneck_id"])
 
-register("s5_replace_slice", _replaced, f"""SELECT {DAILY} FROM daily WHERE (analysis_date < DATE '2024-01-20' AND NOT (analysis_date >= DATE '2024-01-15' AND corridor_id <= 2)) OR (analysis_date > DATE '2024-01-15' AND corridor_id <= 2)""")
-register("s6_cascade_children", lambda w: sinks.drop_orphans(w.members, w.stage("bottlenecks").where("corridor_group = 'Arterial'"), ["bottleneck_id"]), "SELECT bottleneck_id, segment_order FROM members WHERE bottleneck_id IN (SELECT bottleneck_id FROM bottlenecks WHERE corridor_group = 'Arterial')")
+
+register("s6_cascade_children", _cascaded, "SELECT bottleneck_id, segment_order FROM members WHERE bottleneck_id IN (SELECT bottleneck_id FROM bottlenecks WHERE corridor_group = 'Arterial')")
 
 
 def _pairs(w: Warehouse) -> tuple[DataFrame, DataFrame]:
@@ -72,38 +99,50 @@ def _pairs(w: Warehouse) -> tuple[DataFrame, DataFrame]:
 ART, EXP = "SELECT road, direction, 'Arterial' AS corridor_group, peak_aadt FROM cand_a", "SELECT road, direction, 'Expressway' AS corridor_group, peak_aadt FROM cand_e"
 register("s7_upsert", lambda w: sinks.upsert(*_pairs(w), ["road", "direction"]), f"{EXP} UNION ALL SELECT * FROM ({ART}) AS a WHERE (road, direction) NOT IN (SELECT (road, direction) FROM cand_e)")
 register("s8_insert_absent", lambda w: sinks.insert_absent(*_pairs(w), ["road", "direction"]), f"SELECT * FROM ({ART}) UNION ALL SELECT * FROM ({EXP}) AS a WHERE (road, direction) NOT IN (SELECT (road, direction) FROM cand_a)")
-EXPORTED = ("corridor_definitions", "corridor_segments", "segment_profile", "bottlenecks", "watch_segments", "tmc_metadata")
+#: Exported name, the SQL's part, what names a row, and a measure of it.
+EXPORTED = (
+    ("corridor_definitions", "registry", "corridor_id", "0"), ("corridor_segments", "segs", "corridor_id, segment_order", "miles"), ("segment_profile", "profile", "corridor_id, segment_order", "weekday_occurrence_pct"),
+    ("bottlenecks", "bottlenecks", "bottleneck_id", "peak_occurrence_pct"), ("watch_segments", "watch", "tmc", "aadt"), ("tmc_metadata", "tmc", "tmc", "miles"),
+)
 
 
 def _exported(w: Warehouse) -> DataFrame:
+    """All rows of the exported tables as they are read back: their keys and one measure."""
     spark = w.segments.sparkSession
     base = scratch_path(spark, "export")
-    sinks.export(dict(zip(EXPORTED, (w.definitions, w.ordered, w.stage("profile"), w.stage("bottlenecks"), w.watched, w.segments), strict=True)), base)
-    counts = [spark.read.parquet(f"{base}/{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows")) for n in EXPORTED]
-    out = counts[0]
-    for df in counts[1:]:
-        out = out.unionByName(df)
-    return out
+    sinks.export(dict(zip([x[0] for x in EXPORTED], (w.stage("definitions"), w.stage("ordered"), w.stage("profile"), w.stage("bottlenecks"), w.watched, w.segments), strict=True)), base)
+    back = [spark.read.parquet(f"{base}/{n}").selectExpr(f"'{n}' AS name", f"concat_ws(':', {key}) AS key", f"round(cast({value} as double), 6) AS value") for n, _, key, value in EXPORTED]
+    return reduce(DataFrame.unionByName, back)
 
 
-register("s9_export", _exported, " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows FROM {t}" for n, t in zip(EXPORTED, ("registry", "segs", "profile", "bottlenecks", "watch", "tmc"), strict=True)))
+register("s9_export", _exported, " UNION ALL ".join(f"SELECT '{n}' AS name, concat_ws(':', {key}) AS key, round(CAST({value} AS DOUBLE), 6) AS value FROM {t}" for n, t, key, value in EXPORTED))
 
 
 def _geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polygons written as a GeoJSON file and read again."""
+    """Polygons written as GeoJSON, a feature on each line, and read again."""
     rings = fixtures.polygon_table(fixtures.segment_table(spark, sf_dir)).groupBy("file_order", "name", "ring").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("v"))
     shapes = rings.select("file_order", "name", F.struct("ring", F.transform("v", lambda p: F.array(p["x"], p["y"])).alias("p")).alias("r")).groupBy("file_order", "name").agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["p"]).alias("c"))
-    feature = F.struct(F.struct("name").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geometry"))
-    text = shapes.agg(F.array_sort(F.collect_list(F.struct("file_order", feature.alias("f")))).alias("fs")).select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.transform("fs", lambda x: x["f"]).alias("features"))).alias("value"))
     path = scratch_path(spark, "geojson")
-    text.write.text(path)  # one file is one document of the format
-    rows = tables.read_polygons(spark, path)
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct("name", "file_order").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geometry"))
+    shapes.select(F.to_json(feature).alias("value")).write.text(path)
+    rows = tables.read_polygon_lines(spark, path)
     return rows.select("name", "ring", "i", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
 register_raw("s10_geojson_polygons", _geojson, "SELECT name, ring, i, round(x, 6) AS x, round(y, 6) AS y FROM polygons")
 register("s11_arc_store", lambda w: geo.arcs(geo.encode(fixtures.vertex_table(w.segments))).select("tmc", F.to_json("arc").alias("arc")), "SELECT tmc, '[' || string_agg('[' || dx || ',' || dy || ']', ',' ORDER BY i) || ']' AS arc FROM deltas GROUP BY tmc")
-register("s12_run_log", lambda w: sinks.run_log("segment_profile", w.profile), "SELECT 'segment_profile' AS stage, corridor_id, count(*) AS rows_written FROM profile GROUP BY corridor_id")
+
+
+def _logged(w: Warehouse) -> DataFrame:
+    """The log of two stages of all corridors, appended and read back; its times are only looked at for being there."""
+    spark = w.segments.sparkSession
+    log = scratch_path(spark, "runs")
+    for stage, name in (("segment_daily", "daily"), ("segment_profile", "profile")):
+        sinks.run_logged(spark, log, stage, lambda n=name: w.stage(n))
+    return sinks.read_log(spark, log).select("stage", "corridor_id", "rows_written", "status", "detail", (F.col("finished_at") >= F.col("started_at")).alias("finished"))
+
+
+register("s12_run_log", _logged, " UNION ALL ".join(f"SELECT '{s}' AS stage, corridor_id, count(*) AS rows_written, 'success' AS status, '' AS detail, true AS finished FROM {t} GROUP BY corridor_id" for s, t in (("segment_daily", "daily"), ("segment_profile", "profile"))))
 
 # --- network -----------------------------------------------------------------------------------
 
@@ -139,7 +178,7 @@ register(
     "n11_watch_next", lambda w: network.next_intersections(w.watched, w.segments).select("tmc", "from_intersection", "to_intersection", "road_class", "rank_in_class"),
     """SELECT w.tmc, w.intersection AS from_intersection, (SELECT arg_min(n.intersection, n.road_order) FROM tmc AS n WHERE n.road = w.road AND n.direction = w.direction AND n.road_order > t.road_order) AS to_intersection, w.road_class, w.rank_in_class FROM watch AS w JOIN tmc AS t ON t.tmc = w.tmc""",
 )
-register("n12_active_corridors", lambda w: network.active_corridors(w.definitions, group="Arterial"), "SELECT corridor_id, road, direction, corridor_name, corridor_group FROM registry WHERE is_active AND corridor_group = 'Arterial'")
+register("n12_active_corridors", lambda w: network.active_corridors(w.definitions), "SELECT corridor_id, road, direction, corridor_name, corridor_group, lower(replace(road, '/', '-')) || '-' || lower(left(direction, 2)) AS slug FROM registry WHERE is_active")
 register("n13_corridor_extent", lambda w: network.corridor_extent(w.ordered), "SELECT corridor_id, arg_min(intersection, segment_order) AS from_intersection, arg_max(intersection, segment_order) AS to_intersection FROM segs GROUP BY corridor_id")
 register(
     "n14_corridor_summary", lambda w: network.corridor_summary(w.definitions, w.ordered, w.daily, w.stage("events")),
@@ -181,17 +220,17 @@ register("s13_materialised_daily", _materialised, ROLLUP)
 register("d3_available_days", lambda w: observations.available_days(w.joined), "SELECT DISTINCT corridor_id, analysis_date FROM joined")
 # the ledger of this query: days on which the corridor had an event of 8 mile-hours or more
 register(
-    "d4_remaining_days", lambda w: observations.remaining_days(observations.available_days(w.joined), w.events.where("event_area_mile_hours >= 8"), day_limit=5),
-    "SELECT corridor_id, analysis_date FROM (SELECT DISTINCT corridor_id, analysis_date FROM joined) AS a WHERE NOT EXISTS (SELECT 1 FROM events AS e WHERE e.corridor_id = a.corridor_id AND e.analysis_date = a.analysis_date AND event_area_mile_hours >= 8) QUALIFY row_number() OVER (PARTITION BY corridor_id ORDER BY analysis_date) <= 5",
+    "d4_remaining_days", lambda w: observations.remaining_days(observations.available_days(w.joined), w.events.where("event_area_mile_hours >= 8")),
+    "SELECT corridor_id, analysis_date FROM (SELECT DISTINCT corridor_id, analysis_date FROM joined) AS a WHERE NOT EXISTS (SELECT 1 FROM events AS e WHERE e.corridor_id = a.corridor_id AND e.analysis_date = a.analysis_date AND event_area_mile_hours >= 8)",
 )
 
 
 def _days(w: Warehouse) -> DataFrame:
-    days = observations.available_days(w.joined).where("analysis_date < DATE '2024-01-10'")
+    days = observations.available_days(w.joined)
     return observations.corridor_day(w.joined, days).select("corridor_id", "analysis_date", "segment_order", "tmc", "measurement_tstamp", "speed", "reference_speed")
 
 
-register("d5_corridor_day", _days, "SELECT corridor_id, analysis_date, segment_order, tmc, measurement_tstamp, speed, reference_speed FROM joined WHERE analysis_date < DATE '2024-01-10'")
+register("d5_corridor_day", _days, "SELECT corridor_id, analysis_date, segment_order, tmc, measurement_tstamp, speed, reference_speed FROM joined")
 register("d6_hourly_curve", lambda w: observations.hourly_curve(w.readings), f"SELECT CAST(hour(measurement_tstamp) AS INTEGER) AS hour, {r('avg(speed)', 2)} AS avg_speed FROM probe WHERE speed > 0 GROUP BY ALL")
 register("d7_hourly_by_class", lambda w: observations.hourly_curve_by_class(w.readings, w.segments), "SELECT road_class, hour, avg_speed FROM class_curve")
 register("d8_extreme_hours", lambda w: w.extremes, "SELECT kind, hour FROM extremes")
@@ -209,13 +248,14 @@ register(
     "e5_components", lambda w: events.labelled_cells(w.marked.withColumn("is_core", F.lit(False))),
     f"SELECT {CELL}, CAST(dense_rank() OVER (PARTITION BY corridor_id, analysis_date ORDER BY whole) AS INTEGER) AS label FROM comp",
 )
-register("e6_event_labels", lambda w: w.labels, f"SELECT {CELL}, label FROM labels")
+register("e6_event_labels", lambda w: w.labels.select(*CELL.split(", "), "label"), f"SELECT {CELL}, label FROM labels")
 register("e7_mileposts", lambda w: events.mileposts(w.cells).select("corridor_id", "analysis_date", "segment_order", "tmc", c.rounded(F.col("start_mile"), 6).alias("start_mile"), c.rounded(F.col("end_mile"), 6).alias("end_mile")), f"SELECT corridor_id, analysis_date, segment_order, tmc, {r('start_mile', 6)} AS start_mile, {r('end_mile', 6)} AS end_mile FROM posts")
 SLICE = ("run_miles", "total_miles", "upstream_mile")
-register("e8_slices", lambda w: events.slices(w.labels, events.mileposts(w.stage("cells"))).select("corridor_id", "analysis_date", "label", "slot", "first_order", *[c.rounded(F.col(x), 6).alias(x) for x in SLICE]), f"SELECT corridor_id, analysis_date, label, slot, first_order, {', '.join(f'{r(x, 6)} AS {x}' for x in SLICE)} FROM slices")
+register("e8_slices", lambda w: events.slices(w.labels).select("corridor_id", "analysis_date", "label", "slot", "first_order", *[c.rounded(F.col(x), 6).alias(x) for x in SLICE]), f"SELECT corridor_id, analysis_date, label, slot, first_order, {', '.join(f'{r(x, 6)} AS {x}' for x in SLICE)} FROM slices")
 EVENT = "corridor_id, analysis_date, event_id, start_time, end_time, duration_minutes, cell_count, segment_count, first_segment_order, last_segment_order, first_tmc, last_tmc, first_intersection, last_intersection, maximum_contiguous_extent_miles, maximum_total_active_miles, event_area_mile_hours, average_speed_mph, minimum_speed_ratio, average_speed_ratio, average_speed_drop_mph, maximum_speed_drop_mph, corridor_start_mile, corridor_end_mile"
 register("e9_events", lambda w: w.events.select(*EVENT.split(", ")), f"SELECT {EVENT} FROM events")
-register("e10_retained_events", lambda w: w.events.groupBy("corridor_id").agg(F.count(F.lit(1)).alias("events"), F.min("cell_count").alias("least_cells"), F.min("duration_minutes").alias("least_minutes"), F.min("segment_count").alias("least_segments"), F.min("maximum_contiguous_extent_miles").alias("least_miles")), "SELECT corridor_id, count(*) AS events, min(cell_count) AS least_cells, min(duration_minutes) AS least_minutes, min(segment_count) AS least_segments, min(maximum_contiguous_extent_miles) AS least_miles FROM events GROUP BY corridor_id")
+RETAINED = "corridor_id, analysis_date, event_id, cell_count, duration_minutes, segment_count, maximum_contiguous_extent_miles"
+register("e10_retained_events", lambda w: w.events.select(*RETAINED.split(", ")), f"SELECT {RETAINED} FROM events")
 register("e11_boundary_speed", lambda w: w.events.select("corridor_id", "analysis_date", "event_id", "estimated_upstream_boundary_speed_mph"), "SELECT corridor_id, analysis_date, event_id, estimated_upstream_boundary_speed_mph FROM events")
 register("e12_event_order", lambda w: events.event_order(w.events), """SELECT corridor_id, analysis_date, event_id, CAST(row_number() OVER (PARTITION BY corridor_id, analysis_date ORDER BY event_area_mile_hours DESC, duration_minutes DESC, maximum_contiguous_extent_miles DESC, event_id) AS INTEGER) AS place, event_area_mile_hours, duration_minutes, maximum_contiguous_extent_miles FROM events""")
 
@@ -229,7 +269,18 @@ register("b1_smoothed_profile", lambda w: bottlenecks.smoothed_profile(w.profile
 register("b2_peaks", lambda w: w.extents.select("corridor_id", "peak_position", c.rounded(F.col("peak_smoothed"), 6).alias("peak_smoothed")), f"SELECT corridor_id, p AS peak_position, {r('v', 6)} AS peak_smoothed FROM peaks")
 EXTENT = "corridor_id, peak_position, start_position, end_position"
 register("b3_extents", lambda w: w.extents.select(*EXTENT.split(", ")), f"SELECT {EXTENT} FROM extents")
-register("b4_valley_cuts", lambda w: w.extents.groupBy("corridor_id").agg(F.count(F.lit(1)).alias("bottlenecks"), F.sum(F.col("end_position") - F.col("start_position") + 1).alias("segments"), F.max("end_position").alias("last_position")), "SELECT corridor_id, count(*) AS bottlenecks, CAST(sum(end_position - start_position + 1) AS BIGINT) AS segments, max(end_position) AS last_position FROM extents GROUP BY corridor_id")
+
+
+def _cuts(w: Warehouse) -> DataFrame:
+    """Each extent between its neighbours' ends."""
+    along = Window.partitionBy("corridor_id").orderBy("start_position", "peak_position")
+    return w.extents.select("corridor_id", "peak_position", F.lag("end_position").over(along).alias("end_before"), "start_position", "end_position", F.lead("start_position").over(along).alias("start_after"))
+
+
+register(
+    "b4_valley_cuts", _cuts,
+    "SELECT corridor_id, peak_position, lag(end_position) OVER w AS end_before, start_position, end_position, lead(start_position) OVER w AS start_after FROM extents WINDOW w AS (PARTITION BY corridor_id ORDER BY start_position, peak_position)",
+)
 register("b5_bottlenecks", lambda w: w.bottlenecks, "SELECT * FROM bottlenecks")
 register("b6_membership", lambda w: w.members, "SELECT bottleneck_id, segment_order FROM members")
 register("c1_queue_series", lambda w: w.queues.withColumns({x: F.round(x, 6) for x in ("average_congested_speed_ratio", "minimum_speed_ratio")}), "SELECT * REPLACE (round(average_congested_speed_ratio, 6) AS average_congested_speed_ratio, round(minimum_speed_ratio, 6) AS minimum_speed_ratio) FROM queues")
@@ -294,9 +345,16 @@ register(
 register("k16_watch_metrics", lambda w: w.watch, "SELECT * FROM watch_metrics")
 register("k17_severity_bins", lambda w: w.profile.select("corridor_id", "segment_order", c.severity_bin(F.col("weekday_occurrence_pct")).alias("severity_bin")), "SELECT corridor_id, segment_order, CAST(CASE WHEN weekday_occurrence_pct IS NULL THEN -1 WHEN weekday_occurrence_pct < 0 OR weekday_occurrence_pct >= 80 THEN 4 ELSE floor(weekday_occurrence_pct / 20) END AS INTEGER) AS severity_bin FROM profile")
 register("k18_severity_classes", lambda w: classify.severity_classes(w.ranked.where("ranking_eligible").select("bottleneck_id", "aadt_weighted_severity_index"), "aadt_weighted_severity_index"))
+def _mapped(w: Warehouse) -> DataFrame:
+    return ranking.map_segments(w.stage("bottlenecks"), w.members, w.ranked, w.stage("ordered"), w.stage("metrics"))
+
+
+register("k19_map_records", lambda w: classify.map_records(_mapped(w), w.segments, fixtures.vertex_table(w.segments)).withColumn("points", F.to_json("points")))
 register(
-    "k19_map_segments", lambda w: ranking.map_segments(w.stage("bottlenecks"), w.members, w.ranked, w.ordered, w.stage("metrics")).select("bottleneck_id", "corridor_id", "corridor_group", "corridor_name", "segment_order", "tmc", "severity", "worst_date", "worst_time", "width"),
-    """SELECT k.bottleneck_id, k.corridor_id, k.corridor_group, k.corridor_name, m.segment_order, s.tmc, aadt_weighted_severity_index AS severity, x.analysis_date AS worst_date, x.peak_time AS worst_time, CAST(CASE k.corridor_group WHEN 'Interstate' THEN 5.0 WHEN 'Expressway' THEN 4.0 ELSE 3.0 END AS DOUBLE) AS width
+    "k19_map_segments",
+    lambda w: _mapped(w).select("bottleneck_id", "corridor_id", "corridor_group", "corridor_name", "segment_order", "tmc", "severity", "worst_date", "worst_time", "width", c.display_name("road", "direction").alias("name"), c.long_date_label(F.col("worst_date")).alias("worst_date_label"), c.short_clock_label(F.col("worst_time")).alias("worst_time_label")),
+    """SELECT k.bottleneck_id, k.corridor_id, k.corridor_group, k.corridor_name, m.segment_order, s.tmc, aadt_weighted_severity_index AS severity, x.analysis_date AS worst_date, x.peak_time AS worst_time, k.corridor || CASE k.direction WHEN 'NORTHBOUND' THEN ' NB' WHEN 'SOUTHBOUND' THEN ' SB' END AS name,
+    coalesce(strftime(x.analysis_date, '%B %-d, %Y'), 'N/A') AS worst_date_label, coalesce(strftime(x.peak_time, '%-I:%M %p'), 'N/A') AS worst_time_label, CAST(CASE k.corridor_group WHEN 'Interstate' THEN 5.0 WHEN 'Expressway' THEN 4.0 ELSE 3.0 END AS DOUBLE) AS width
     FROM ranked AS k JOIN members AS m ON m.bottleneck_id = k.bottleneck_id JOIN segs AS s ON s.corridor_id = k.corridor_id AND s.segment_order = m.segment_order
     LEFT JOIN (SELECT * FROM metrics WHERE occurrence QUALIFY row_number() OVER (PARTITION BY bottleneck_id ORDER BY queue_mile_hours DESC, analysis_date) = 1) AS x ON x.bottleneck_id = k.bottleneck_id WHERE k.ranking_eligible""",
 )
@@ -337,4 +395,12 @@ register("g3_offset_lines", lambda w: geo.exploded(geo.offset(geo.polylines(w.se
 register("g4_polylines", lambda w: geo.exploded(geo.polylines(w.segments, fixtures.vertex_table(w.segments))), "SELECT tmc, i, round(lat, 9) AS lat, round(lon, 9) AS lon FROM lines")
 register("g5_encoded", lambda w: geo.encode(fixtures.vertex_table(w.segments)), "SELECT tmc, i, dx, dy FROM deltas")
 register("g6_decoded", lambda w: geo.decode(geo.arcs(geo.encode(fixtures.vertex_table(w.segments)))).select("tmc", "i", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")), "SELECT tmc, i, round(round_even(lon * 1e6, 0) / 1e6, 6) AS lon, round(round_even(lat * 1e6, 0) / 1e6, 6) AS lat FROM vertices")
-register("g7_rings", lambda w: geo.ring_table(w.polygons).select("name", "n_points"), "SELECT name, CAST(count(*) AS INTEGER) AS n_points FROM polygons WHERE ring = 0 GROUP BY name, file_order")
+
+
+def _rings(w: Warehouse) -> DataFrame:
+    """The rings' vertices as read back from their stored text."""
+    rows = geo.ring_table(w.polygons).select("name", "n_points", F.posexplode(F.from_json("ring", "array<array<double>>")).alias("i", "p"))
+    return rows.select("name", "n_points", "i", F.round(F.col("p")[0], 6).alias("lat"), F.round(F.col("p")[1], 6).alias("lon"))
+
+
+register("g7_rings", _rings, "SELECT name, CAST(count(*) OVER (PARTITION BY file_order, name) AS INTEGER) AS n_points, i, round(y, 6) AS lat, round(x, 6) AS lon FROM polygons WHERE ring = 0")

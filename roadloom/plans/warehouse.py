@@ -41,7 +41,7 @@ class Warehouse:
 
     @cached_property
     def ordered(self) -> DataFrame:
-        return network.corridor_segments(self.definitions, self.segments)
+        return network.corridor_segments(self.stage("definitions"), self.segments)
 
     @cached_property
     def watched(self) -> DataFrame:
@@ -49,7 +49,7 @@ class Warehouse:
 
     @cached_property
     def joined(self) -> DataFrame:
-        return observations.corridor_readings(self.readings, self.ordered)
+        return observations.corridor_readings(self.readings, self.stage("ordered"))
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -65,15 +65,15 @@ class Warehouse:
 
     @cached_property
     def bottlenecks(self) -> DataFrame:
-        return bottlenecks.bottlenecks(self.stage("extents"), self.stage("profile"), self.definitions, self.params)
+        return bottlenecks.bottlenecks(self.stage("extents"), self.stage("profile"), self.stage("definitions"), self.params)
 
     @cached_property
     def members(self) -> DataFrame:
-        return bottlenecks.membership(self.stage("extents"), self.stage("profile"), self.definitions, self.params)
+        return bottlenecks.membership(self.stage("extents"), self.stage("profile"), self.stage("definitions"), self.params)
 
     @cached_property
     def queues(self) -> DataFrame:
-        return characterise.queue_series(self.stage("bottlenecks"), self.ordered, self.readings, self.params)
+        return characterise.queue_series(self.stage("bottlenecks"), self.stage("ordered"), self.readings, self.params)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -85,15 +85,15 @@ class Warehouse:
 
     @cached_property
     def eligibility(self) -> DataFrame:
-        return observations.overnight_share(self.stage("bottlenecks"), self.ordered, self.readings, self.params)
+        return observations.overnight_share(self.stage("bottlenecks"), self.stage("ordered"), self.readings, self.params)
 
     @cached_property
     def ranked(self) -> DataFrame:
-        return ranking.ranked_dashboard(self.annual, self.definitions, self.eligibility, self.ordered, self.segments, self.params)
+        return ranking.ranked_dashboard(self.annual, self.stage("definitions"), self.eligibility, self.stage("ordered"), self.segments, self.params)
 
     @cached_property
     def districts(self) -> DataFrame:
-        return geo.districts_of(geo.midpoints(self.ordered, self.watched, self.segments), self.polygons)
+        return geo.districts_of(geo.midpoints(self.stage("ordered"), self.watched, self.segments), self.polygons)
 
     @cached_property
     def cells(self) -> DataFrame:
@@ -105,11 +105,11 @@ class Warehouse:
 
     @cached_property
     def labels(self) -> DataFrame:
-        return events.labelled_cells(self.marked)
+        return events.event_cells(self.stage("cells"), self.params)
 
     @cached_property
     def events(self) -> DataFrame:
-        return region.active_events(events.events(self.stage("cells"), self.stage("labels"), self.params), self.definitions)
+        return region.active_events(events.summarised(self.labels, self.stage("cells"), self.params), self.stage("definitions"))
 
     @cached_property
     def watch(self) -> DataFrame:
@@ -126,7 +126,7 @@ class Warehouse:
     @cached_property
     def chosen(self) -> DataFrame:
         named = intersections.named_segments(self.filled, fixtures.named_road_table(self.segments))
-        return intersections.combined(named, intersections.corridor_arterials(self.filled, self.definitions, self.ordered))
+        return intersections.combined(named, intersections.corridor_arterials(self.filled, self.stage("definitions"), self.stage("ordered")))
 
     @cached_property
     def hourly(self) -> DataFrame:

@@ -2,15 +2,45 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, *keys: str, mode: str = "overwrite") -> None:
-    """Parquet by partition columns; ``mode='overwrite'`` replaces the partitions in ``df`` only."""
-    df.repartition(*keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    """Parquet by partition columns; ``mode='overwrite'`` replaces the partitions in ``df`` only.
+
+    Rows are rebalanced by the keys: small partitions share a task, and one that outgrows the
+    advisory partition size is dealt over several, so no day has to fit one task.
+    """
+    df.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def _folder(spark: SparkSession, keys: dict[str, object]) -> str:
+    """The relative folder of a partition, named as Spark names it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{escape(k)}={'__HIVE_DEFAULT_PARTITION__' if v is None or v == '' else escape(str(v))}" for k, v in keys.items())
+
+
+def overwrite_slices(new: DataFrame, path: str, slices: DataFrame) -> None:
+    """Replace the slices (rows of key columns) of the table at ``path``, partitioned by these keys.
+
+    Only the folders of ``slices`` are touched: those with new rows are rewritten, those without
+    are removed. ``new`` may not hold rows of other slices. Names of emptied folders alone come to
+    the driver, one at a time; a run that is broken off can be repeated.
+    """
+    spark, keys = new.sparkSession, slices.columns
+    if not new.join(slices.distinct(), keys, "left_anti").isEmpty():
+        raise ValueError("rows outside the slices that are to be replaced")
+    write_partitioned(new, path, *keys)
+    gone = slices.distinct().join(new.select(*keys).distinct(), keys, "left_anti")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in gone.toLocalIterator():
+        store.delete(hadoop(f"{path.rstrip('/')}/{_folder(spark, row.asDict())}"), True)
 
 
 def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
@@ -18,7 +48,7 @@ def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
 
 
 def replace_slices(old: DataFrame, new: DataFrame, slices: DataFrame) -> DataFrame:
-    """``old`` without the slices (rows of key columns), then ``new``.
+    """``old`` without the slices (rows of key columns), then ``new``: for tables without partitions.
 
     A slice without new rows is cleared all the same.
     """
@@ -48,6 +78,32 @@ def export(tables: dict[str, DataFrame], base: str) -> None:
         df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
 
 
-def run_log(stage: str, df: DataFrame, corridor: str = "corridor_id") -> DataFrame:
-    """A row for each corridor of a stage's output: stage, corridor and rows, to be appended."""
-    return df.groupBy(corridor).agg(F.count(F.lit(1)).alias("rows_written")).select(F.lit(stage).alias("stage"), corridor, "rows_written")
+LOG = "stage string, corridor_id int, rows_written bigint, started_at timestamp, finished_at timestamp, status string, detail string"
+
+
+def run_logged(spark: SparkSession, log: str, stage: str, work: Callable[[], DataFrame], corridor: str = "corridor_id") -> DataFrame | None:
+    """The table that ``work`` writes and returns, with the run appended to the log at ``log``.
+
+    A row for each corridor of the table where it succeeds (status success); one row with the
+    error's text where it fails (status error), and None is returned, so that later stages go on.
+    """
+    began = dt.datetime.now(dt.timezone.utc)
+
+    def rows(counted: DataFrame, status: str, detail: str) -> DataFrame:
+        times = {"stage": F.lit(stage), "started_at": F.lit(began).cast("timestamp"), "finished_at": F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp"), "status": F.lit(status), "detail": F.lit(detail[:2000])}
+        names = [x.split()[0] for x in LOG.split(", ")]
+        return counted.withColumns(times).select(*names)
+
+    try:
+        table = work()
+        counted = table.groupBy(F.col(corridor).cast("int").alias("corridor_id")).agg(F.count(F.lit(1)).alias("rows_written"))
+        rows(counted, "success", "").write.mode("append").parquet(log)
+        return table
+    except Exception as error:  # noqa: BLE001
+        failed = spark.range(1).select(F.lit(None).cast("int").alias("corridor_id"), F.lit(0).cast("long").alias("rows_written"))
+        rows(failed, "error", f"{type(error).__name__}: {error}").write.mode("append").parquet(log)
+        return None
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    return spark.read.schema(LOG).parquet(log)
