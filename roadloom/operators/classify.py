@@ -108,5 +108,3 @@ def map_records(mapped: DataFrame, segments: DataFrame, vertices: DataFrame, par
         "bottleneck_id", "corridor_id", "segment_order", "tmc", display_name("road", "direction").alias("name"), "severity", "class_rank", "class_label", "width",
         long_date_label(F.col("worst_date")).alias("worst_date_label"), short_clock_label(F.col("worst_time")).alias("worst_time_label"), "points",
     )
-
-

@@ -345,7 +345,10 @@ register(
 register("k16_watch_metrics", lambda w: w.watch, "SELECT * FROM watch_metrics")
 register("k17_severity_bins", lambda w: w.profile.select("corridor_id", "segment_order", c.severity_bin(F.col("weekday_occurrence_pct")).alias("severity_bin")), "SELECT corridor_id, segment_order, CAST(CASE WHEN weekday_occurrence_pct IS NULL THEN -1 WHEN weekday_occurrence_pct < 0 OR weekday_occurrence_pct >= 80 THEN 4 ELSE floor(weekday_occurrence_pct / 20) END AS INTEGER) AS severity_bin FROM profile")
 register("k18_severity_classes", lambda w: classify.severity_classes(w.ranked.where("ranking_eligible").select("bottleneck_id", "aadt_weighted_severity_index"), "aadt_weighted_severity_index"))
+
+
 def _mapped(w: Warehouse) -> DataFrame:
+    """A row for each segment of each ranked bottleneck, with its worst day."""
     return ranking.map_segments(w.stage("bottlenecks"), w.members, w.ranked, w.stage("ordered"), w.stage("metrics"))
 
 
