@@ -47,13 +47,19 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) ->
             yield batch.slice(at, rows)
 
 
-def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS, items: str | None = None) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most`` rows, else as it is.
 
-    Give it materialised, narrow tables: the rows are counted here. Beyond the bound the join
-    shuffles, with the same rows as its result.
+    Give it materialised, narrow tables: the rows are counted here. Where ``items`` names an array
+    column, its items count as rows. Beyond the bound the join shuffles, with the same rows as its
+    result.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    some = df.limit(most + 1)
+    if items is None:
+        return F.broadcast(df) if some.count() <= most else df
+    # a null array or an empty one is a row too
+    size = some.agg(F.sum(F.greatest(F.size(items), F.lit(1)).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def text_of(column: str = "text") -> Column:

@@ -174,7 +174,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
     packed = merged.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("__cut"))
     packed = materialise(packed.withColumnRenamed("digest", "__digest"), "cuts")
     text = text_of()
-    joined = docs.withColumn("__own", F.unhex(F.sha2(text, 256))).join(checked_broadcast(packed, 100_000), F.col("__own") == F.col("__digest"), "left")
+    joined = docs.withColumn("__own", F.unhex(F.sha2(text, 256))).join(checked_broadcast(packed, items="__cut"), F.col("__own") == F.col("__digest"), "left")
     n = F.size("__cut")
     pieces = F.transform(F.sequence(F.lit(0), n), lambda i: F.substring(
         text,

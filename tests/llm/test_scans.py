@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadloom.llm import pii, quality_rules, secret_scan
+from roadloom.llm.common import checked_broadcast
 
 from . import brute
 from .conftest import DOCS, key, rows_of
@@ -206,3 +207,13 @@ def test_recall_and_precision_of_the_further_kinds():
     for kind in pii.KINDS[4:]:
         print(kind, "recall", hit[kind] / there[kind], "precision", hit[kind] / told[kind])
         assert hit[kind] >= 0.95 * there[kind] and hit[kind] >= 0.95 * told[kind]
+
+
+def test_items_of_arrays_count_before_a_broadcast(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3]), (2, []), (3, None)], "k int, a array<int>")
+
+    def hinted(most):
+        return "broadcast" in checked_broadcast(df, most, items="a")._jdf.queryExecution().logical().toString().lower()
+
+    assert [hinted(n) for n in (2, 4, 5)] == [False, False, True]
+    assert checked_broadcast(df.limit(0), 0, items="a").count() == 0
