@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, html_extract, packing, piece_codec, pii, quality_fm, quality_rules, secret_scan, simhash
+from . import chat_format, conversation_repair, exact_dedup, hard_negatives, html_extract, packing, piece_codec, pii, quality_fm, quality_rules, secret_scan, sharding, simhash
 from .common import table
 
 
@@ -158,5 +158,67 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_html_extract, op3_simhash, op4_secret_scan, op5_pii, op6_chat_format, op7_packing, op8_sentencepiece, op9_quality_fm, op10_quality_rules)}
-ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op4_secret_scan": _op4_sql(), "op10_quality_rules": OP10_SQL}
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, anchor=F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH vectors AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, c.rid, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score FROM vectors AS a JOIN vectors AS c ON a.vec_id % 100 = 0 AND a.rid <> c.rid),
+positives AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, rid) AS k FROM scores WHERE same) WHERE k <= 5),
+pairs AS (SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY n.score DESC, n.vec_id NULLS LAST, n.rid) AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives AS p JOIN scores AS n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM pairs WHERE rank <= 5
+"""
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations")).select(*conversation_repair.RESULT)
+
+
+def _op13_sql() -> str:
+    """The same by a walk over the rows with whole strings: c is the cost, a the edits, t the lines so far."""
+    never = 1_000_000_000
+
+    def step(state: str, cost: str, letter: str, line: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+    def insert(state: str, role: str) -> str:
+        return step(state, "5", "I", f"chr(10) || '{role}:'")
+
+    def take(state: str, initial: str, role: str) -> str:
+        keep = step(state, f"CASE WHEN initial = '{initial}' THEN kept ELSE {never} END", "K", "chr(10) || role || ':' || text")
+        return keep if role == "system" else f"{keep}, {step(state, '1 + kept', 'R', f"chr(10) || '{role}:' || text")}"
+
+    closing = f"SELECT *, least(a1, {insert('u', 'assistant')}) AS a FROM (SELECT * RENAME (a0 AS a1), least(u0, {insert('s', 'user')}, {insert('y', 'user')}, {insert('a0', 'user')}) AS u FROM"
+    empty = "{'c': %d, 'a': '', 't': ''}"
+    return rf"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+damage AS (SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 20 AS kind FROM keyed),
+damaged AS (SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM damage WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial FROM damaged),
+judged AS (SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again, NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS open, lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair FROM placed),
+rows AS MATERIALIZED (SELECT *, CASE WHEN blank OR again THEN {never} WHEN open THEN 5 ELSE 0 END AS kept FROM judged),
+walk AS (SELECT conv, CAST(0 AS BIGINT) AS i, {empty % 0} AS s, {empty % never} AS y, {empty % never} AS u0, {empty % never} AS a0 FROM (SELECT DISTINCT conv FROM damage)
+    UNION ALL SELECT conv, i, {step("s", "2", "D")} AS s, least({step("y", "2", "D")}, {take("s", "s", "system")}) AS y, least({step("u", "2", "D")}, {take("s", "u", "user")}, {take("y", "u", "user")}, {take("a", "u", "user")}) AS u0, least({step("a", "2", "D")}, {take("u", "a", "assistant")}) AS a0
+    FROM ({closing} (SELECT w.conv, r.i, w.s, w.y, w.u0, w.a0, r.role, r.text, r.initial, r.kept FROM walk AS w JOIN rows AS r ON r.conv = w.conv AND r.i = w.i + 1)))),
+ended AS (SELECT conv, least(s, a) AS best FROM ({closing} (SELECT * FROM walk QUALIFY i = max(i) OVER (PARTITION BY conv))))),
+counts AS (SELECT conv, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (open AND NOT again AND NOT blank) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit, sha256(substr(best.t, 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM damage) AS c JOIN ended USING (conv) LEFT JOIN counts USING (conv)
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_html_extract, op3_simhash, op4_secret_scan, op5_pii, op6_chat_format, op7_packing, op8_sentencepiece, op9_quality_fm, op10_quality_rules, op11_sharding, op12_hard_negatives, op13_conversation_repair)}
+ORACLE_SQL = {"op1_exact_dedup": OP1_SQL, "op4_secret_scan": _op4_sql(), "op10_quality_rules": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_conversation_repair": _op13_sql()}
