@@ -57,6 +57,53 @@ def _picks(hot: str, key: str) -> str:
 
 HOUR_DOW = "CAST(hour(measurement_tstamp) AS INTEGER) AS hour, CAST(isodow(measurement_tstamp) AS INTEGER) AS dow"
 
+FEATURES = ("speed_drop_ratio", "occurrence_pct", "aadt", "annual_queue_mile_hours")
+
+
+def _tiers(name: str, source: str) -> dict[str, str]:
+    """Parts that end in ``name``: the rows of ``source`` with class_score, class_rank and tier."""
+    z = [f"z{i}" for i in range(1, 5)]
+    zs = ", ".join(z)
+    scaled = [f"coalesce({'-' if i == 0 else ''}round(({f} - avg({f}) OVER ()) / (CASE WHEN round(stddev_pop({f}) OVER (), 9) = 0 THEN 1.0 ELSE round(stddev_pop({f}) OVER (), 9) END), 9), 0.0) AS z{i + 1}" for i, f in enumerate(FEATURES)]
+
+    def apart(other: str) -> str:
+        return " + ".join(f"(p.{x} - {other}.{x}) * (p.{x} - {other}.{x})" for x in z)
+
+    part = ", ".join(f"(row_number() OVER (ORDER BY {o}, {zs}) - 1) * k // n AS part{i}" for i, o in enumerate(["class_score", *z]))
+    quantiles = " UNION ALL ".join(f"SELECT {i + 2} AS run, CAST(part{i} AS INTEGER) AS c, {', '.join(f'round(avg({x}), 9) AS {x}' for x in z)} FROM {name}_parts GROUP BY part{i}" for i in range(5))
+    far = f"""SELECT f.run, f.c + 1 AS c, p.{', p.'.join(z)}, f.seen || [{{{', '.join(f"'{x}': p.{x}" for x in z)}}}] AS seen FROM {name}_far AS f JOIN {name}_points AS p ON f.c + 1 < p.k
+        QUALIFY row_number() OVER (PARTITION BY f.run ORDER BY list_min(list_transform(f.seen, lambda s: {apart('s')})) DESC, p.{', p.'.join(z)}) = 1"""
+    return {
+        f"{name}_scored": f"SELECT *, round(({' + '.join(z)}) / 4, 9) AS class_score FROM (SELECT *, row_number() OVER () AS rid, {', '.join(scaled)} FROM {source})",
+        f"{name}_points": f"SELECT rid, class_score, {zs}, count(*) OVER () AS n, least(5, (SELECT count(*) FROM (SELECT DISTINCT {zs} FROM {name}_scored))) AS k FROM {name}_scored",
+        f"{name}_parts": f"SELECT {zs}, {part} FROM {name}_points",
+        f"{name}_far": f"""SELECT run, 0 AS c, {zs}, [{{{', '.join(f"'{x}': {x}" for x in z)}}}] AS seen FROM (SELECT *, 0 AS run FROM (SELECT * FROM {name}_points ORDER BY class_score, {zs} LIMIT 1) UNION ALL SELECT *, 1 FROM (SELECT * FROM {name}_points ORDER BY {' + '.join(f'{x} * {x}' for x in z)}, {zs} LIMIT 1))
+            UNION ALL {far}""",
+        f"{name}_seeds": f"SELECT run, c, {zs} FROM {name}_far UNION ALL {quantiles}",
+        f"{name}_steps": f"""SELECT 0 AS step, run, c, {zs}, true AS moved FROM {name}_seeds
+            UNION ALL SELECT step + 1, run, c, {zs}, bool_or(changed) OVER (PARTITION BY run) AS moved FROM
+            (SELECT step, run, c, {', '.join(f'coalesce(round(avg({x}) FILTER (own), 9), any_value(c{x})) AS {x}' for x in z)}, {' OR '.join(f'coalesce(round(avg({x}) FILTER (own), 9), any_value(c{x})) <> any_value(c{x})' for x in z)} AS changed FROM
+                (SELECT s.step, s.run, s.c, {', '.join(f'p.{x}, s.{x} AS c{x}' for x in z)}, row_number() OVER (PARTITION BY s.run, p.rid ORDER BY {apart('s')}, s.c) = 1 AS own FROM {name}_steps AS s CROSS JOIN {name}_points AS p WHERE s.moved AND s.step < 100) GROUP BY step, run, c)""",
+        f"{name}_near": f"""SELECT run, rid, c, d FROM (SELECT s.run, p.rid, s.c, {apart('s')} AS d, row_number() OVER (PARTITION BY s.run, p.rid ORDER BY {apart('s')}, s.c) AS place
+            FROM (SELECT * FROM {name}_steps QUALIFY step = max(step) OVER (PARTITION BY run)) AS s CROSS JOIN {name}_points AS p) WHERE place = 1""",
+        f"{name}_best": f"SELECT run FROM {name}_near GROUP BY run ORDER BY round(sum(d), 6), run LIMIT 1",
+        f"{name}_ranks": f"SELECT c, CAST(row_number() OVER (ORDER BY round(avg(class_score), 6), min(class_score)) - 1 AS INTEGER) AS class_rank FROM {name}_near JOIN {name}_scored USING (rid) WHERE run = (SELECT run FROM {name}_best) GROUP BY c",
+        name: f"""SELECT s.* EXCLUDE (rid, {zs}), r.class_rank, ['Least Severe', 'Low', 'Moderate', 'High', 'Most Severe'][r.class_rank + 1] AS tier FROM {name}_scored AS s JOIN {name}_near AS x ON x.rid = s.rid AND x.run = (SELECT run FROM {name}_best) JOIN {name}_ranks AS r ON r.c = x.c""",
+    }
+
+
+def _classes(name: str, source: str, value: str) -> dict[str, str]:
+    """Parts that end in ``name``: units of the value with class_rank, by the best last run of each prefix of the distinct values."""
+    return {
+        f"{name}_sums": f"SELECT row_number() OVER (ORDER BY u) AS j, u, v0, v9, CAST(sum(n) OVER (ORDER BY u) AS HUGEINT) AS n, sum(n * u) OVER (ORDER BY u) AS s, sum(n * u * u) OVER (ORDER BY u) AS q FROM (SELECT CAST(round({value} * 1000) AS HUGEINT) AS u, count(*) AS n, min({value}) AS v0, max({value}) AS v9 FROM {source} WHERE {value} IS NOT NULL GROUP BY 1)",
+        f"{name}_levels": f"""SELECT 1 AS level, j, [CAST(0 AS BIGINT)] AS starts, CAST(n * q - s * s AS DOUBLE) / n AS cost FROM {name}_sums
+            UNION ALL SELECT level, j, starts, cost FROM (SELECT a.level + 1 AS level, b.j, list_append(a.starts, a.j) AS starts, a.cost + CAST((b.n - i.n) * (b.q - i.q) - (b.s - i.s) * (b.s - i.s) AS DOUBLE) / (b.n - i.n) AS cost, a.j AS i
+                FROM {name}_levels AS a JOIN {name}_sums AS i ON i.j = a.j JOIN {name}_sums AS b ON b.j > a.j WHERE a.level < 5 QUALIFY row_number() OVER (PARTITION BY b.j ORDER BY 4, a.j) = 1)""".replace("ORDER BY 4", "ORDER BY a.cost + CAST((b.n - i.n) * (b.q - i.q) - (b.s - i.s) * (b.s - i.s) AS DOUBLE) / (b.n - i.n)"),
+        name: f"""SELECT u, class_rank, format('{{:,.0f}}', round_even(min(v0) OVER w, 0)) || '–' || format('{{:,.0f}}', round_even(max(v9) OVER w, 0)) AS class_label FROM
+            (SELECT x.*, CAST(len(list_filter(starts, lambda i: i < x.j)) - 1 AS INTEGER) AS class_rank FROM {name}_sums AS x CROSS JOIN (SELECT starts FROM {name}_levels ORDER BY j DESC, level DESC LIMIT 1)) WINDOW w AS (PARTITION BY class_rank)""",
+    }
+
+
 PARTS: dict[str, str] = {
     "tmc": """SELECT 'T' || lpad(CAST(k AS VARCHAR), 6, '0') AS tmc,
         CASE cls WHEN 0 THEN 'I-' || (20 + rd) WHEN 1 THEN 'GA-' || (400 + rd) WHEN 2 THEN 'US-' || (20 + rd) WHEN 3 THEN 'SR-' || (20 + rd) ELSE 'LOCAL RD ' || rd END AS road,
@@ -259,9 +306,18 @@ PARTS: dict[str, str] = {
     "shifts": """SELECT tmc, 12.0 * cos(t) / 111320.0 AS up, 12.0 * sin(t) / (111320.0 * greatest(0.1, cos(radians(mid)))) AS east FROM (SELECT tmc, atan2(arg_max(lon, i) - arg_min(lon, i), arg_max(lat, i) - arg_min(lat, i)) + pi() / 2 AS t, (arg_min(lat, i) + arg_max(lat, i)) / 2.0 AS mid FROM lines GROUP BY tmc)""",
     "deltas": """SELECT tmc, i, x - coalesce(lag(x) OVER w, 0) AS dx, y - coalesce(lag(y) OVER w, 0) AS dy FROM (SELECT tmc, i, CAST(round_even(lon * 1e6, 0) AS BIGINT) AS x, CAST(round_even(lat * 1e6, 0) AS BIGINT) AS y FROM vertices) WINDOW w AS (PARTITION BY tmc ORDER BY i)""",
 }
+PARTS["eligible"] = "SELECT bottleneck_id, aadt_weighted_severity_index FROM ranked WHERE ranking_eligible"
+PARTS["mapped"] = """SELECT k.bottleneck_id, k.corridor_id, k.corridor_group, k.corridor_name, m.segment_order, s.tmc, aadt_weighted_severity_index AS severity, x.analysis_date AS worst_date, x.peak_time AS worst_time, k.corridor || CASE k.direction WHEN 'NORTHBOUND' THEN ' NB' WHEN 'SOUTHBOUND' THEN ' SB' END AS name,
+    coalesce(strftime(x.analysis_date, '%B %-d, %Y'), 'N/A') AS worst_date_label, coalesce(strftime(x.peak_time, '%-I:%M %p'), 'N/A') AS worst_time_label, CAST(CASE k.corridor_group WHEN 'Interstate' THEN 5.0 WHEN 'Expressway' THEN 4.0 ELSE 3.0 END AS DOUBLE) AS width
+    FROM ranked AS k JOIN members AS m ON m.bottleneck_id = k.bottleneck_id JOIN segs AS s ON s.corridor_id = k.corridor_id AND s.segment_order = m.segment_order
+    LEFT JOIN (SELECT * FROM metrics WHERE occurrence QUALIFY row_number() OVER (PARTITION BY bottleneck_id ORDER BY queue_mile_hours DESC, analysis_date) = 1) AS x ON x.bottleneck_id = k.bottleneck_id WHERE k.ranking_eligible"""
+PARTS["shifted"] = "SELECT l.tmc, '[' || string_agg('{\"lat\":' || CAST(round(lat + up, 6) AS VARCHAR) || ',\"lon\":' || CAST(round(lon + east, 6) AS VARCHAR) || '}', ',' ORDER BY i) || ']' AS points FROM lines AS l JOIN shifts AS s ON s.tmc = l.tmc GROUP BY l.tmc"
+PARTS |= _classes("bottleneck_classes", "eligible", "aadt_weighted_severity_index") | _classes("map_classes", "mapped", "severity") | _tiers("tiers", "severity")
+PARTS["top_tiers"] = "SELECT * FROM tiers ORDER BY class_rank DESC, severity_index DESC, tmc LIMIT 50"
+PARTS |= _tiers("display_tiers", "(SELECT * EXCLUDE (class_score, class_rank, tier) FROM top_tiers)")
 
 #: Parts that refer to themselves, or that many others read.
-KEPT = {"probe", "joined", "daily", "profile", "smooth", "bottlenecks", "extents", "queues", "metrics", "ranked", "cells", "closed", "labels", "events", "comp", "core_comp", "hourly", "flagged", "candidates", "districts", "registry", "segs", "tmc"}
+KEPT = {"probe", "joined", "daily", "profile", "smooth", "bottlenecks", "extents", "queues", "metrics", "ranked", "cells", "closed", "labels", "events", "comp", "core_comp", "hourly", "flagged", "candidates", "districts", "registry", "segs", "tmc"} | {f"{x}_{y}" for x in ("tiers", "display_tiers") for y in ("scored", "points", "near", "best")} | {"tiers", "top_tiers", "severity", "mapped"}
 
 
 def sql(select: str) -> str:

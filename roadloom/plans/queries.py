@@ -97,7 +97,18 @@ def _pairs(w: Warehouse) -> tuple[DataFrame, DataFrame]:
 
 
 ART, EXP = "SELECT road, direction, 'Arterial' AS corridor_group, peak_aadt FROM cand_a", "SELECT road, direction, 'Expressway' AS corridor_group, peak_aadt FROM cand_e"
-register("s7_upsert", lambda w: sinks.upsert(*_pairs(w), ["road", "direction"]), f"{EXP} UNION ALL SELECT * FROM ({ART}) AS a WHERE (road, direction) NOT IN (SELECT (road, direction) FROM cand_e)")
+
+
+def _merged(w: Warehouse) -> DataFrame:
+    """Arterials on disk in several files; the expressways are merged into those that hold their keys."""
+    old, new = _pairs(w)
+    path = scratch_path(old.sparkSession, "merged")
+    old.repartitionByRange(4, "road", "direction").write.parquet(path)
+    sinks.merge_files(new, path, ["road", "direction"])
+    return old.sparkSession.read.schema(new.schema).parquet(path)
+
+
+register("s7_upsert", _merged, f"{EXP} UNION ALL SELECT * FROM ({ART}) AS a WHERE (road, direction) NOT IN (SELECT (road, direction) FROM cand_e)")
 register("s8_insert_absent", lambda w: sinks.insert_absent(*_pairs(w), ["road", "direction"]), f"SELECT * FROM ({ART}) UNION ALL SELECT * FROM ({EXP}) AS a WHERE (road, direction) NOT IN (SELECT (road, direction) FROM cand_a)")
 #: Exported name, the SQL's part, what names a row, and a measure of it.
 EXPORTED = (
@@ -344,7 +355,10 @@ register(
 )
 register("k16_watch_metrics", lambda w: w.watch, "SELECT * FROM watch_metrics")
 register("k17_severity_bins", lambda w: w.profile.select("corridor_id", "segment_order", c.severity_bin(F.col("weekday_occurrence_pct")).alias("severity_bin")), "SELECT corridor_id, segment_order, CAST(CASE WHEN weekday_occurrence_pct IS NULL THEN -1 WHEN weekday_occurrence_pct < 0 OR weekday_occurrence_pct >= 80 THEN 4 ELSE floor(weekday_occurrence_pct / 20) END AS INTEGER) AS severity_bin FROM profile")
-register("k18_severity_classes", lambda w: classify.severity_classes(w.ranked.where("ranking_eligible").select("bottleneck_id", "aadt_weighted_severity_index"), "aadt_weighted_severity_index"))
+register(
+    "k18_severity_classes", lambda w: classify.severity_classes(w.ranked.where("ranking_eligible").select("bottleneck_id", "aadt_weighted_severity_index"), "aadt_weighted_severity_index"),
+    "SELECT e.bottleneck_id, e.aadt_weighted_severity_index, c.class_rank, c.class_label FROM eligible AS e JOIN bottleneck_classes AS c ON c.u = round(aadt_weighted_severity_index * 1000)",
+)
 
 
 def _mapped(w: Warehouse) -> DataFrame:
@@ -352,14 +366,20 @@ def _mapped(w: Warehouse) -> DataFrame:
     return ranking.map_segments(w.stage("bottlenecks"), w.members, w.ranked, w.stage("ordered"), w.stage("metrics"))
 
 
-register("k19_map_records", lambda w: classify.map_records(_mapped(w), w.segments, fixtures.vertex_table(w.segments)).withColumn("points", F.to_json("points")))
+def _map_records(w: Warehouse) -> DataFrame:
+    found = classify.map_records(_mapped(w), w.segments, fixtures.vertex_table(w.segments))
+    lines = F.transform("points", lambda p: F.struct(F.round(p["lat"], 6).alias("lat"), F.round(p["lon"], 6).alias("lon")))
+    return found.withColumn("points", F.to_json(lines))
+
+
+register(
+    "k19_map_records", _map_records,
+    "SELECT m.bottleneck_id, m.corridor_id, m.segment_order, m.tmc, m.name, m.severity, c.class_rank, c.class_label, m.width, m.worst_date_label, m.worst_time_label, l.points FROM mapped AS m JOIN map_classes AS c ON c.u = round(severity * 1000) JOIN shifted AS l ON l.tmc = m.tmc",
+)
 register(
     "k19_map_segments",
     lambda w: _mapped(w).select("bottleneck_id", "corridor_id", "corridor_group", "corridor_name", "segment_order", "tmc", "severity", "worst_date", "worst_time", "width", c.display_name("road", "direction").alias("name"), c.long_date_label(F.col("worst_date")).alias("worst_date_label"), c.short_clock_label(F.col("worst_time")).alias("worst_time_label")),
-    """SELECT k.bottleneck_id, k.corridor_id, k.corridor_group, k.corridor_name, m.segment_order, s.tmc, aadt_weighted_severity_index AS severity, x.analysis_date AS worst_date, x.peak_time AS worst_time, k.corridor || CASE k.direction WHEN 'NORTHBOUND' THEN ' NB' WHEN 'SOUTHBOUND' THEN ' SB' END AS name,
-    coalesce(strftime(x.analysis_date, '%B %-d, %Y'), 'N/A') AS worst_date_label, coalesce(strftime(x.peak_time, '%-I:%M %p'), 'N/A') AS worst_time_label, CAST(CASE k.corridor_group WHEN 'Interstate' THEN 5.0 WHEN 'Expressway' THEN 4.0 ELSE 3.0 END AS DOUBLE) AS width
-    FROM ranked AS k JOIN members AS m ON m.bottleneck_id = k.bottleneck_id JOIN segs AS s ON s.corridor_id = k.corridor_id AND s.segment_order = m.segment_order
-    LEFT JOIN (SELECT * FROM metrics WHERE occurrence QUALIFY row_number() OVER (PARTITION BY bottleneck_id ORDER BY queue_mile_hours DESC, analysis_date) = 1) AS x ON x.bottleneck_id = k.bottleneck_id WHERE k.ranking_eligible""",
+    "SELECT * FROM mapped",
 )
 BIN = "CAST(CASE WHEN severity_pct IS NULL THEN -1 WHEN severity_pct < 0 OR severity_pct >= 80 THEN 4 ELSE floor(severity_pct / 20) END AS INTEGER) AS severity_bin"
 register(
@@ -385,10 +405,21 @@ register("i10_candidates", lambda w: w.candidates.select(*CAND.split(", ")), f"S
 GROUP = "arterial_name, direction, intersection, speed_drop_ratio, occurrence_pct, aadt, county, tmc, analyzed_days, annual_queue_mile_hours, max_queue_mile_hours, peak_hour, onset_hour, busiest_dow, busiest_date, busiest_hour, min_speed"
 register("i11_grouped", lambda w: intersections.grouped(w.candidates).select(*GROUP.split(", ")), f"SELECT {GROUP} FROM grouped")
 register("i12_severity", lambda w: w.severity.select("arterial_name", "direction", "intersection", "severity_index"), "SELECT arterial_name, direction, intersection, severity_index FROM severity")
-CLASSED = ("arterial_name", "direction", "intersection", "severity_index", "class_score", "class_rank", "tier")
-register("i13_severity_tiers", lambda w: classify.multi_feature_classes(w.severity).select(*CLASSED))
-register("i14_top_intersections", lambda w: classify.top_intersections(classify.multi_feature_classes(w.severity)).select(*CLASSED))
-register("i15_display_tiers", lambda w: classify.reclassified(classify.top_intersections(classify.multi_feature_classes(w.severity))).select(*CLASSED))
+CLASSED = "arterial_name, direction, intersection, severity_index, class_score, class_rank, tier"
+
+
+def _tiers(w: Warehouse) -> DataFrame:
+    return classify.multi_feature_classes(w.severity)
+
+
+def _shown(classed: DataFrame) -> DataFrame:
+    return classed.select(*CLASSED.split(", ")).withColumn("class_score", F.round("class_score", 6))
+
+
+SHOWN = CLASSED.replace("class_score", "round(class_score, 6) AS class_score")
+register("i13_severity_tiers", lambda w: _shown(_tiers(w)), f"SELECT {SHOWN} FROM tiers")
+register("i14_top_intersections", lambda w: _shown(classify.top_intersections(_tiers(w))), f"SELECT {SHOWN} FROM top_tiers")
+register("i15_display_tiers", lambda w: _shown(classify.reclassified(classify.top_intersections(_tiers(w)))), f"SELECT {SHOWN} FROM display_tiers")
 
 # --- places --------------------------------------------------------------------------------------
 

@@ -1,13 +1,29 @@
-"""Writers and table maintenance: partitions, slices, upserts, exports, the run log."""
+"""Writers and table maintenance: partitions, slices, upserts, exports, the run log.
+
+Changes of a table on disk are made in three steps: what is to be written is written beside the
+table, once; the change is announced in a small file of the table's folder; the announced change is
+carried out. A run that is broken off before the announcement leaves the table as it was, one that is broken off
+later is finished by ``finish`` (which every change calls first), whatever became of the tables
+that the new rows were made from. Readers that come in between may see a part of a change, as
+plain folders of files have no snapshots.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .scratch import materialise, scratch_path
+
+#: The file that announces a change, hidden from Spark's readers.
+PENDING = "_pending"
 
 
 def write_partitioned(df: DataFrame, path: str, *keys: str, mode: str = "overwrite") -> None:
@@ -25,22 +41,103 @@ def _folder(spark: SparkSession, keys: dict[str, object]) -> str:
     return "/".join(f"{escape(k)}={'__HIVE_DEFAULT_PARTITION__' if v is None or v == '' else escape(str(v))}" for k, v in keys.items())
 
 
+def _path(spark: SparkSession, name: str, uri: bool = False):
+    """A path and its file system; ``uri`` for names as Spark's metadata columns give them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name) if uri else name)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _announce(spark: SparkSession, path: str, change: dict) -> None:
+    """Write the announcement whole or not at all."""
+    draft, store = _path(spark, f"{path.rstrip('/')}/{PENDING}-{uuid.uuid4().hex}")
+    out = store.create(draft)
+    out.write(bytearray(json.dumps(change).encode()))
+    out.close()
+    if not store.rename(draft, _path(spark, f"{path.rstrip('/')}/{PENDING}")[0]):
+        raise RuntimeError(f"another change of {path} is pending")
+
+
+def finish(spark: SparkSession, path: str) -> bool:
+    """Carry out the announced change of the table at ``path``, if there is one; it may be repeated."""
+    note, store = _path(spark, f"{path.rstrip('/')}/{PENDING}")
+    if not store.exists(note):
+        return False
+    stream = store.open(note)
+    change = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    {"slices": _swap_slices, "files": _swap_files}[change["kind"]](spark, path.rstrip("/"), change)
+    store.delete(note, False)
+    return True
+
+
+def _named(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the keys that its partition folders give back: empty text is null there."""
+    return df.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in keys if dict(df.dtypes)[k] == "string"})
+
+
 def overwrite_slices(new: DataFrame, path: str, slices: DataFrame) -> None:
     """Replace the slices (rows of key columns) of the table at ``path``, partitioned by these keys.
 
     Only the folders of ``slices`` are touched: those with new rows are rewritten, those without
-    are removed. ``new`` may not hold rows of other slices. Names of emptied folders alone come to
-    the driver, one at a time; a run that is broken off can be repeated.
+    are removed. ``new`` may be made from the same table, but may not hold rows of other slices; it
+    is evaluated once. Null keys are a slice like others. Names of emptied folders alone come to the
+    driver, one at a time.
     """
     spark, keys = new.sparkSession, slices.columns
-    if not new.join(slices.distinct(), keys, "left_anti").isEmpty():
+    finish(spark, path)
+    staged, marks = scratch_path(spark, "staged"), materialise(_named(slices, keys).distinct(), "slices")
+    write_partitioned(new, staged, *keys)
+    rows = spark.read.schema(new.schema).parquet(staged)
+    if not rows.join(marks, _same(keys, rows, marks), "left_anti").isEmpty():
         raise ValueError("rows outside the slices that are to be replaced")
-    write_partitioned(new, path, *keys)
-    gone = slices.distinct().join(new.select(*keys).distinct(), keys, "left_anti")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    store = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in gone.toLocalIterator():
-        store.delete(hadoop(f"{path.rstrip('/')}/{_folder(spark, row.asDict())}"), True)
+    emptied = materialise(marks.join(rows, _same(keys, marks, rows), "left_anti"), "emptied")
+    _announce(spark, path, {"kind": "slices", "staged": staged, "schema": new.schema.json(), "keys": keys, "emptied": emptied.inputFiles(), "emptied_schema": emptied.schema.json()})
+    finish(spark, path)
+
+
+def _swap_slices(spark: SparkSession, path: str, change: dict) -> None:
+    rows = spark.read.schema(StructType.fromJson(json.loads(change["schema"]))).parquet(change["staged"])
+    write_partitioned(rows, path, *change["keys"])
+    if change["emptied"]:
+        emptied = spark.read.schema(StructType.fromJson(json.loads(change["emptied_schema"]))).parquet(*change["emptied"])
+        for row in emptied.toLocalIterator():
+            folder, store = _path(spark, f"{path}/{_folder(spark, row.asDict())}")
+            store.delete(folder, True)
+
+
+def merge_files(new: DataFrame, path: str, keys: list[str]) -> int:
+    """Put the rows of ``new`` into the table at ``path`` in place of those with the same keys.
+
+    ``path`` is a folder of Parquet files without partitions. Its keys alone are read to find the
+    files that hold a key of ``new`` (null keys are equal); only these are rewritten, the others stay
+    as they are. Returns the number of rewritten files. Their names come to the driver, like a
+    listing's.
+    """
+    spark = new.sparkSession
+    finish(spark, path)
+    rows = materialise(new, "merge")
+    found = rows.select(*keys).distinct()
+    old = spark.read.schema(new.schema).parquet(path)
+    keyed = old.select(*keys, F.col("_metadata.file_path").alias("__file"))
+    names = [r[0] for r in keyed.join(found, _same(keys, keyed, found), "left_semi").select("__file").distinct().toLocalIterator()]
+    touched = [_path(spark, n, uri=True)[0].toString() for n in names]
+    fresh = f"{path.rstrip('/')}/_merge-{uuid.uuid4().hex}"
+    (upsert(spark.read.schema(new.schema).parquet(*touched), rows, keys) if touched else rows).write.parquet(fresh)
+    _announce(spark, path, {"kind": "files", "fresh": fresh, "touched": touched})
+    finish(spark, path)
+    return len(touched)
+
+
+def _swap_files(spark: SparkSession, path: str, change: dict) -> None:
+    """The new files first, then the old ones' removal; what is done already is passed over."""
+    folder, store = _path(spark, change["fresh"])
+    for status in store.listStatus(folder) if store.exists(folder) else []:
+        file = status.getPath()
+        if not file.getName().startswith(("_", ".")) and not store.rename(file, _path(spark, f"{path}/{file.getName()}")[0]):
+            raise RuntimeError(f"could not move {file}")
+    for name in change["touched"]:
+        store.delete(_path(spark, name)[0], False)
+    store.delete(folder, True)
 
 
 def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +28,76 @@ def test_slices_are_rewritten_or_cleared_on_disk(spark, tmp_path):
         sinks.overwrite_slices(old, path, slices)
 
 
+def test_slices_may_be_made_from_their_own_table(spark, tmp_path):
+    """Also where the new rows leave some slices empty; null and empty text are the same slice."""
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(d, v) for d in ("a", "b", "c", None) for v in (1, 2)], "d string, v int")
+    sinks.write_partitioned(old, path, "d")
+    table = spark.read.schema("v int, d string").parquet(path)
+    slices = spark.createDataFrame([("a",), ("b",), ("",)], "d string")
+    sinks.overwrite_slices(table.where("d = 'a' or d is null").withColumn("v", F.col("v") * 10), path, slices)
+    got = sorted(((r.d, r.v) for r in spark.read.schema("v int, d string").parquet(path).collect()), key=repr)
+    assert got == sorted([("a", 10), ("a", 20), ("c", 1), ("c", 2), (None, 10), (None, 20)], key=repr)
+
+
+def test_a_broken_change_is_finished_later(spark, tmp_path, monkeypatch):
+    """Broken off before, while and after rows are swapped: the next call ends with the announced rows, whatever its own are made from."""
+    slices = spark.createDataFrame([("a",), ("b",)], "d string")
+    for step in ("write", "delete"):
+        path = str(tmp_path / step)
+        sinks.write_partitioned(spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "d string, v int"), path, "d")
+        new = spark.read.schema("v int, d string").parquet(path).where("d = 'a'").withColumn("v", F.col("v") + 1)
+        with monkeypatch.context() as m:
+            if step == "write":
+                original, calls = sinks.write_partitioned, []
+
+                def once(df, to, *keys, **kw):
+                    calls.append(to)
+                    if to == path:
+                        raise OSError("lost")
+                    original(df, to, *keys, **kw)
+
+                m.setattr(sinks, "write_partitioned", once)
+            else:
+                m.setattr(sinks, "_folder", lambda *a: 1 / 0)
+            with pytest.raises((OSError, ZeroDivisionError)):
+                sinks.overwrite_slices(new, path, slices)
+        assert sinks.finish(spark, path) and not sinks.finish(spark, path)
+        assert sorted(map(tuple, spark.read.schema("v int, d string").parquet(path).select("d", "v").collect())) == [("a", 2), ("c", 1)]
+
+
+def test_merging_rewrites_the_touched_files_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(k, f"k{k}", k) for k in range(800)] + [(None, None, -1)], "k int, s string, v int")
+    old.repartitionByRange(8, "k").write.parquet(path)
+    before = {p.name for p in (tmp_path / "t").glob("*.parquet")}
+    assert len(before) == 8
+    new = spark.createDataFrame([(5, "k5", 1), (6, "other", 1), (7, "k7", 2), (7, "k7", 3), (None, None, 9), (9000, "new", 4)], "k int, s string, v int")
+    assert sinks.merge_files(new, path, ["k", "s"]) == 1
+    want = sorted([tuple(r) for r in old.collect() if (r.k, r.s) not in ((5, "k5"), (7, "k7"), (None, None))] + [tuple(r) for r in new.collect()], key=repr)
+    got = lambda: sorted((tuple(r) for r in spark.read.schema("k int, s string, v int").parquet(path).collect()), key=repr)
+    assert got() == want
+    assert len(before & {p.name for p in (tmp_path / "t").glob("*.parquet")}) == 7
+    assert sinks.merge_files(new, path, ["k", "s"]) >= 1 and got() == want  # again
+    assert sinks.merge_files(new.limit(0), path, ["k", "s"]) == 0 and got() == want
+    own = spark.read.schema("k int, s string, v int").parquet(path).where("k < 3").withColumn("v", F.lit(7))
+    sinks.merge_files(own, path, ["k", "s"])  # made from the table itself
+    assert got() == sorted([(*r[:2], 7) if r[0] in (0, 1, 2) else r for r in want], key=repr)
+
+
+def test_a_broken_merge_is_finished_later(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(k, 0) for k in range(100)], "k int, v int").repartitionByRange(4, "k").write.parquet(path)
+    new = spark.createDataFrame([(3, 1), (99, 1), (200, 1)], "k int, v int")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_swap_files", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.merge_files(new, path, ["k"])
+    assert spark.read.parquet(path).count() == 100  # as it was
+    assert sinks.finish(spark, path)
+    assert sorted(map(tuple, spark.read.schema("k int, v int").parquet(path).collect())) == [(k, int(k in (3, 99))) for k in range(100)] + [(200, 1)]
+
+
 def test_a_large_day_is_no_single_task(spark, tmp_path):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
@@ -117,15 +188,48 @@ def best_cost(values, k):
     return least[n]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_severity_classes_are_near_the_best_partition(spark, seed):
+@pytest.mark.parametrize("seed, n, places", [(1, 60, 2), (2, 60, 2), (3, 40, 0), (4, 9, -1), (5, 5, 2), (6, 3, 2)])
+def test_severity_classes_are_the_best_partition(spark, seed, n, places):
+    """With ties and with fewer distinct values than classes."""
     rng = random.Random(seed)
-    values = [round(rng.lognormvariate(3, 1.5), 2) for _ in range(60)]
-    rows = classify.severity_classes(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double"), "v").collect()
-    groups = [[r.v for r in rows if r.class_rank == n] for n in range(5)]
-    assert all(max(a) <= min(b) for a, b in zip(groups, groups[1:], strict=False))
+    values = [round(rng.lognormvariate(3, 1.5), places) for _ in range(n)] + [7.5] * 3
+    rows = classify.severity_classes(spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, v double"), "v").collect()
+    groups = [[r.v for r in rows if r.class_rank == k] for k in range(5)]
+    groups = [g for g in groups if g]
+    assert len(rows) == len(values) and len(groups) == min(5, len(set(values))) and {r.class_label for r in rows} == {f"{min(g):,.0f}–{max(g):,.0f}" for g in groups}
+    assert all(max(a) < min(b) for a, b in zip(groups, groups[1:], strict=False))
     got = sum(sum((v - sum(g) / len(g)) ** 2 for v in g) for g in groups)
-    assert got <= 1.05 * best_cost(values, 5)  # Lloyd steps end in a local optimum
+    assert got == pytest.approx(best_cost(values, len(groups)), rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_runs_equal_a_full_search(seed):
+    rng = random.Random(seed)
+    values = sorted(rng.sample(range(200), rng.randrange(1, 25)))
+    counts = [rng.choice([1, 1, 2, 50]) for _ in values]
+    k = rng.randrange(1, min(6, len(values)) + 1)
+    ends = classify.runs(values, counts, k)
+    assert ends[-1] == len(values) and all(a < b for a, b in zip([0, *ends], ends, strict=False)) and len(ends) == k
+    flat = lambda a, b: [v for v, c in zip(values[a:b], counts[a:b], strict=True) for _ in range(c)]
+    spread = lambda part: sum((v - sum(part) / len(part)) ** 2 for v in part)
+    assert sum(spread(flat(a, b)) for a, b in zip([0, *ends], ends, strict=False)) == pytest.approx(best_cost(flat(0, len(values)), k), rel=1e-9, abs=1e-9)
+
+
+def test_tiers_cost_little_more_than_many_random_starts(spark):
+    """Lloyd steps from 200 random starts on the same standardised features."""
+    df = features(spark, 90, seed=4)
+    rows = classify.multi_feature_classes(df).toPandas()
+    x = rows[[n for n, _ in classify.FEATURES]].to_numpy()
+    x = (x - x.mean(0)) / x.std(0)
+    cost = sum(((x[rows.class_rank == k] - x[rows.class_rank == k].mean(0)) ** 2).sum() for k in range(5))
+    rng, best = np.random.default_rng(0), np.inf
+    for _ in range(200):
+        centres = x[rng.choice(len(x), 5, replace=False)]
+        for _ in range(60):
+            near = ((x[:, None] - centres) ** 2).sum(2).argmin(1)
+            centres = np.array([x[near == k].mean(0) if (near == k).any() else centres[k] for k in range(5)])
+        best = min(best, ((x[:, None] - centres) ** 2).sum(2).min(1).sum())
+    assert cost <= 1.02 * best
 
 
 def test_map_records(spark):
