@@ -11,10 +11,11 @@ from pyspark.sql.window import Window
 
 from ..functions import columns as c
 from ..operators import bottlenecks, characterise, classify, events, geo, intersections, network, observations, profile, ranking, region
-from ..sources import fixtures, sinks, tables
+from ..sources import database, fixtures, sinks, tables
 from ..sources.scratch import scratch_path
 from . import oracle as o
 from .oracle import HOT, RATIO, clock, r, sql, weekday
+from .runs import EventRun
 from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,17 @@ def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register_raw("s2_partitioned_readings", _partitioned, f"SELECT {o.DAY} AS analysis_date, count(*) AS readings, count(speed) AS speeds, {r('sum(speed)', 2)} AS speed_sum FROM probe GROUP BY ALL")
 register("s3_segment_metadata", lambda w: w.segments.select(*[F.round(x, 6).alias(x) if t == "double" else F.col(x) for x, t in w.segments.dtypes]), "SELECT * REPLACE (round(start_latitude, 6) AS start_latitude, round(start_longitude, 6) AS start_longitude, round(end_latitude, 6) AS end_latitude, round(end_longitude, 6) AS end_longitude, round(miles, 6) AS miles) FROM tmc")
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings in a relational store, its slow ones read back in eight even ranges of time."""
+    url = database.embedded(spark)
+    database.load(fixtures.reading_table(spark, sf_dir), url, "readings", "tmc_code VARCHAR(16), data_density VARCHAR(8)")
+    rows = database.read_even(spark, url, "readings", "measurement_tstamp", 8)
+    return rows.where("reference_speed > 0 AND speed < 30").select(*READINGS.split(", "))
+
+
+register_raw("s4_database_readings", _stored, f"SELECT {READINGS} FROM probe WHERE reference_speed > 0 AND speed < 30")
 DAILY = "corridor_id, analysis_date, segment_order, congested_minutes"
 
 
@@ -265,6 +277,20 @@ SLICE = ("run_miles", "total_miles", "upstream_mile")
 register("e8_slices", lambda w: events.slices(w.labels).select("corridor_id", "analysis_date", "label", "slot", "first_order", *[c.rounded(F.col(x), 6).alias(x) for x in SLICE]), f"SELECT corridor_id, analysis_date, label, slot, first_order, {', '.join(f'{r(x, 6)} AS {x}' for x in SLICE)} FROM slices")
 EVENT = "corridor_id, analysis_date, event_id, start_time, end_time, duration_minutes, cell_count, segment_count, first_segment_order, last_segment_order, first_tmc, last_tmc, first_intersection, last_intersection, maximum_contiguous_extent_miles, maximum_total_active_miles, event_area_mile_hours, average_speed_mph, minimum_speed_ratio, average_speed_ratio, average_speed_drop_mph, maximum_speed_drop_mph, corridor_start_mile, corridor_end_mile"
 register("e9_events", lambda w: w.events.select(*EVENT.split(", ")), f"SELECT {EVENT} FROM events")
+
+
+def _resumed(w: Warehouse) -> DataFrame:
+    """Events of all days by two runs: one up to the end of January, one for what is missing then."""
+    spark = w.segments.sparkSession
+    readings, out = scratch_path(spark, "days"), scratch_path(spark, "run")
+    sinks.write_partitioned(w.readings.select(*READINGS.split(", ")).withColumn("analysis_date", F.to_date("measurement_tstamp")), readings, "analysis_date")
+    run = EventRun(spark, readings, out, w.stage("ordered"), w.stage("definitions"), w.params)
+    run.run(until="2024-01-31")
+    run.run()
+    return run.events(w.events.schema).select(*EVENT.split(", "))
+
+
+register("d4_resumed_events", _resumed, f"SELECT {EVENT} FROM events")
 RETAINED = "corridor_id, analysis_date, event_id, cell_count, duration_minutes, segment_count, maximum_contiguous_extent_miles"
 register("e10_retained_events", lambda w: w.events.select(*RETAINED.split(", ")), f"SELECT {RETAINED} FROM events")
 register("e11_boundary_speed", lambda w: w.events.select("corridor_id", "analysis_date", "event_id", "estimated_upstream_boundary_speed_mph"), "SELECT corridor_id, analysis_date, event_id, estimated_upstream_boundary_speed_mph FROM events")
