@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import checked_broadcast, materialise, small_batches, text_of
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>", re.DOTALL)
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([A-Za-z_:-]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text for a program, up to their end tag.
@@ -53,6 +53,23 @@ LAYOUT = frozenset("layout wrap wrapper wrapped container page content main body
 ALONE = frozenset("bottom side hidden".split())
 #: Words that name a part at a name's end (login-form), but at its head only what is in one (form-text).
 TAIL = frozenset("form overlay skip".split())
+#: Words that only say what kind of part it is behind a word of OUTSIDE (comment-list, share-buttons, footer-left).
+GENERIC = frozenset(
+    "list item items box bar area block section panel module region zone slot unit holder left right top bottom inner outer middle link links button buttons icon icons post posts article articles story stories title heading label count counter meta author avatar thread message messages text col column columns group strip feed info bg toggle close open icon image images logo small large sticky fixed primary secondary"
+    .split()
+)
+#: Reader comments: outside whatever they hold, on sections too.
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Words whose parts may hold the whole page all the same, where a layout is named oddly.
+ROOMY = frozenset("sidebar aside rail widget widgets header masthead topbar toolbar form overlay modal popup search banner notice notices alert".split())
+#: Elements whose classes and ids name parts; of others a whole class that is a word of OUTSIDE does, and for headings a class.
+NAMED = frozenset("div ul ol dl table tbody tr td th fieldset figure center details".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTROLS = frozenset("input select textarea button".split())
+#: Characters of a block outside named parts that is article enough.
+ARTICLE_CHARS = 80
+#: Levels of a name: it needs links or forms to prevail (a heading's words may be its id), or it is enough.
+MAYBE, SURELY = 1, 2
 #: An element that closes others of its kind when it begins.
 CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select"}}
@@ -77,22 +94,48 @@ def _outside(tag: str, attributes: dict[str, str]) -> bool:
 
 
 @lru_cache(maxsize=1 << 16)
-def _names_a_part(name: str) -> bool:
+def _level(name: str) -> int:
+    """Whether a class or id names a part outside: by a word of OUTSIDE at its end, or at its head before words of GENERIC; before others maybe."""
     words = [w.lower() for w in WORD.findall(name)]
-    if not words or words[0] in ABOUT:
-        return False
+    if not words or len(name) >= 200 or words[0] in ABOUT:
+        return 0
     if name.lower() in ALONE or name.lower() in OUTSIDE:
-        return True
-    return (words[-1] in OUTSIDE or words[0] in OUTSIDE - TAIL) and LAYOUT.isdisjoint(words)
+        return SURELY
+    if not LAYOUT.isdisjoint(words):
+        return 0
+    if words[-1] in OUTSIDE:
+        return SURELY
+    if words[0] not in OUTSIDE - TAIL:
+        return 0
+    return SURELY if all(w in GENERIC or w in OUTSIDE or w.isdigit() for w in words[1:]) else MAYBE
+
+
+def _named_outside(tag: str, attributes: dict[str, str]) -> int:
+    """The level at which an element's class or id names a part outside.
+
+    A section's id is its heading's words as a rule, as in documents made from markup, so it needs
+    links or forms to prevail, unless it is of comments; so does that of a div of class section.
+    Ids of headings, paragraphs and inline elements name nothing.
+    """
+    if tag == "form":
+        return SURELY
+    if not attributes:
+        return 0
+    classes, own = attributes.get("class", "").split(), attributes.get("id", "")
+    if tag == "section" or tag == "div" and "section" in classes:
+        by_id = SURELY if own.lower() in COMMENTS else min(_level(own), MAYBE)
+        return max([by_id, *(_level(c) for c in classes if c != "section")])
+    if tag in NAMED:
+        return max([_level(own), *map(_level, classes)])
+    if tag in HEADINGS:
+        return SURELY if any(_level(c) == SURELY for c in classes) else 0
+    return SURELY if tag in ("p", "li") and any(c.lower() in OUTSIDE for c in classes) else 0
 
 
-def _named_outside(tag: str, attributes: dict[str, str]) -> bool:
-    """Whether a class or id names a part outside: a word of OUTSIDE at its head or end."""
-    if tag == "form":
-        return True
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return False
-    return any(len(name) < 200 and _names_a_part(name) for name in (*attributes.get("class", "").split(), attributes.get("id", "")))
+def _roomy(attributes: dict[str, str]) -> bool:
+    """Whether the words of OUTSIDE in an element's names leave room for a page's text."""
+    words = {w.lower() for name in (*attributes.get("class", "").split(), attributes.get("id", "")) for w in WORD.findall(name)}
+    return words & OUTSIDE <= ROOMY
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -110,12 +153,12 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.steps = [""], [-1], [""]
-        self.hard, self.named = [False], [False]
+        self.hard, self.named, self.roomy, self.controls = [False], [0], [True], [0]
         self.runs: list[tuple[int, str, bool] | None] = []
         self._read(html)
 
     def _read(self, html: str) -> None:
-        tags, parents, steps, hard, named, runs = self.tags, self.parents, self.steps, self.hard, self.named, self.runs
+        tags, parents, steps, hard, named, roomy, controls, runs = self.tags, self.parents, self.steps, self.hard, self.named, self.roomy, self.controls, self.runs
         stack, open_ = [0], Counter()
         links = at = 0
         size = len(html)
@@ -166,6 +209,7 @@ class Page:
                             break
                         if tags[stack[i]] in stops:
                             break
+            controls[stack[-1]] += tag in CONTROLS
             if tag in VOID:
                 continue
             # a tag that closes itself holds nothing; for HTML's own blocks and raw texts the slash means nothing
@@ -184,40 +228,70 @@ class Page:
             steps.append(_step(tag, attributes) if block else "")
             hard.append(_outside(tag, attributes))
             named.append(_named_outside(tag, attributes))
+            roomy.append(_roomy(attributes))
+            controls.append(0)
         runs.append(None)
 
+    def _parts(self) -> list[bool]:
+        """Whether each element's name puts it outside: surely, or where its links or form controls prevail."""
+        n, parents = len(self.tags), self.parents
+        if MAYBE not in self.named:
+            return [level == SURELY for level in self.named]
+        plain, linked, controls = [0] * n, [0] * n, list(self.controls)
+        for run in self.runs:
+            if run:
+                (linked if run[2] else plain)[run[0]] += len(run[1].strip())
+        for i in range(n - 1, 0, -1):
+            for counts in (plain, linked, controls):
+                counts[parents[i]] += counts[i]
+        return [level == SURELY or level == MAYBE and (linked[i] > plain[i] or 200 * controls[i] > plain[i]) for i, level in enumerate(self.named)]
+
     def _shown(self) -> list[bool]:
         """Whether each element is main text, as far as tags and names say.
 
-        A name puts no element outside that holds the page's article or main, or most of the text
-        of a page without these.
+        A name puts no element outside that holds the page's article or main. On a page without
+        these, and without a block of text outside named parts, the parts that hold most of the
+        text stay, but for those that never are main text, such as comments, footers and menus.
         """
         n, tags, parents = len(self.tags), self.tags, self.parents
+        own = self._parts()
         gone, part = [False] * n, [False] * n
         for i in range(1, n):
             gone[i] = gone[parents[i]] or self.hard[i]
-            part[i] = part[parents[i]] or self.named[i]
+            part[i] = part[parents[i]] or own[i]
         articles = [i for i in range(1, n) if tags[i] in ("article", "main") and not gone[i]]
         exempt: set[int] = set()
         if any(part) and not any(not part[i] for i in articles):
-            if articles:
-                i = articles[0]
+            held, longest, chars = [0] * n, 0, 0
+            for run in self.runs:
+                if run is None:
+                    longest, chars = max(longest, chars), 0
+                elif not run[2] and not gone[run[0]]:
+                    held[run[0]] += len(run[1].strip())
+                    chars += 0 if part[run[0]] else len(run[1].strip())
+            for i in range(n - 1, 0, -1):
+                held[parents[i]] += held[i]
+            inside = [i for i in articles if not self._never(i, own)]
+            if inside:
+                i = inside[0]
                 while i > 0:
                     exempt.add(i)
                     i = parents[i]
-            else:
-                held = [0] * n
-                for run in self.runs:
-                    if run and not run[2] and not gone[run[0]]:
-                        held[run[0]] += len(run[1].strip())
-                for i in range(n - 1, 0, -1):
-                    held[parents[i]] += held[i]
-                exempt = {i for i in range(1, n) if 2 * held[i] > held[0]}
+            elif longest < ARTICLE_CHARS:
+                exempt = {i for i in range(1, n) if 2 * held[i] > held[0] and self.roomy[i]}
         shown = [True] * n
         for i in range(1, n):
-            shown[i] = shown[parents[i]] and not self.hard[i] and (not self.named[i] or i in exempt)
+            shown[i] = shown[parents[i]] and not self.hard[i] and (not own[i] or i in exempt)
         return shown
 
+    def _never(self, element: int, own: list[bool]) -> bool:
+        """Whether an element lies in a part that is never main text."""
+        while element > 0:
+            if own[element] and not self.roomy[element]:
+                return True
+            element = self.parents[element]
+        return False
+
     def _blocks(self, shown: list[bool]) -> tuple[list[int], list[str], list[int]]:
         """The blocks of main text: holder (a container, or 0), text and linked characters."""
         holder = [0] * len(self.tags)
@@ -250,7 +324,7 @@ class Page:
 
 @cache
 def _end_of(tag: str) -> re.Pattern:
-    return re.compile(rf"</{tag}\s*>", re.IGNORECASE)
+    return re.compile(rf"</{tag}(?:[\s/][^>]*)?>", re.IGNORECASE)
 
 
 @dataclass(slots=True)
@@ -380,7 +454,9 @@ def vote(html: str) -> tuple[int, int]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text for every row of ``pages`` (page_id, url, html).
 
-    The text leaves out header and footer elements wherever they are, in articles too. Null html is
+    The text leaves out header and footer elements wherever they are, in articles too, and headings
+    of a main element before its article; of several articles on a page it is the best one, with
+    those at the same path. Null html is
     empty and has no text; pages with a null or odd url vote together as one host; ties between
     paths go to the larger key; repeated rows give repeated rows; an empty table gives an empty
     result; further columns are ignored. A page is the unit, in time and memory linear in its length.

@@ -134,3 +134,73 @@ def test_recall_and_precision_without_articles(spark, sf_dir):
         found, told, there, exact = found + (a & b).total(), told + a.total(), there + b.total(), exact + (r.text == whole[r.page_id])
     print("pages", len(got), "word recall", found / there, "word precision", found / told, "pages equal", exact / len(got))
     assert found >= 0.98 * there and found >= 0.98 * told
+
+
+COMMENT = "<div class=comment><p>I read this twice, and I don't agree at all. What about the others, please?</p></div>"
+
+
+@pytest.mark.parametrize("before, after", [("<div id=comments>", "</div>"), ("<ol class=commentlist>", "</ol>"), ("<section id=comments><h2>Comments</h2>", "</section>"), ("<div class='comments-area'>", "</div>"), ("<div id=disqus_thread>", "</div>"), ("<div class=post-comments>", "</div>")])
+@pytest.mark.parametrize("entry", ["<div class=entry><p>{}</p></div>", "<div class=post><div class=body><p>{}</p></div></div>", "<p>{}</p>"])
+def test_comments_longer_than_the_article_stay_outside(before, after, entry):
+    article = "Only one paragraph, which is the whole of the article. It has two sentences, or three. This is it."
+    for n in (3, 6, 60):
+        assert text(f"<body><div id=page>{entry.format(article)}{before}{COMMENT * n}{after}</div></body>") == article
+
+
+@pytest.mark.parametrize("name", ["related-work", "search-trees", "linear-search", "social-impact", "comment-syntax", "navigation", "widgets", "the-menu", "advertising-and-law", "cookies"])
+@pytest.mark.parametrize("before, after", [("<section id='{}'>", "</section>"), ("<div class='section' id='{}'>", "</div>"), ("<section id='{}' class='level2'>", "</section>")])
+def test_ids_made_from_headings_keep_their_sections(name, before, after):
+    """As documentation tools and converters write them."""
+    inner = f"{before.format(name)}<h2 id='{name}-1'>A heading</h2><p id='share-prices-fell'>{BODY}</p>{after}"
+    for outer in ("article", "main", "div"):
+        assert text(f"<body><{outer}><p>{BODY}</p>{inner}</{outer}><div class=site-footer><p>Us, here.</p></div></body>") == f"{BODY}A heading {BODY}".strip()
+
+
+@pytest.mark.parametrize("part", ["<div class='cookie-recipe'>{}</div>", "<div class='ad-hoc-networks'>{}</div>", "<p class='menu-item'>{}</p>", "<h2 id='social-impact'>{}</h2>", "<p id='share-prices-fell'>{}</p>", "<span class='comment'>{}</span>", "<h3><span id='Related_topics'>{}</span></h3>"])
+def test_names_of_content_in_articles_stay(part):
+    assert text(f"<body><article><p>{BODY}</p>{part.format('One more, here.')}</article></body>") == BODY + "One more, here."
+
+
+@pytest.mark.parametrize("part", ["<section id=related><a href=a>One story here</a> <a href=b>Another one</a></section>", "<div class='search-our-archive'><input name=q>Find it</div>", "<div class='social-networks-bar'><a href=x>Ours, there</a></div>", "<p class=advertisement>Buy this, now.</p>", "<div class='share-buttons'><p>Share this.</p></div>", "<ul class='footer-links'><li>Us</li></ul>"])
+def test_parts_in_articles_go(part):
+    assert text(f"<body><article><p>{BODY}</p>{part}</article></body>") == BODY.strip()
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!-- a --!>", "<!-- a > b -->", "<!---- -->", "<!-- <p>no</p> -->"])
+def test_comments_of_the_markup_end_as_in_html(comment):
+    assert text(f"<body><article><p>{BODY}</p>{comment}<p>One more.</p><!-- x --></article></body>") == BODY + "One more."
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea"])
+@pytest.mark.parametrize("end", ["</{}>", "</{} >", "</{}\n>", "</{} foo>", "</{}/>", "</{} a='b'>"])
+def test_raw_elements_end_as_in_html(tag, end):
+    page = f"<body><article><p>{BODY}</p><{tag}>var a = '</{tag}x>' + '<p>no</p>';{end.format(tag.upper())}<p>One more.</p></article></body>"
+    assert text(page) == BODY + "One more."
+
+
+def test_recall_with_long_comments_and_ids_from_headings(spark, sf_dir):
+    """The fixture's pages without article elements: sections named after their words, comments longer than the article."""
+    import re
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/pages.parquet")
+    whole = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    kinds = {"markup": "<section id='{}'>", "converter": "<div class='section level2' id='{}'>", "wiki": "<h2><span id='{}'></span></h2><div>"}
+    words = ["related-work", "search-trees", "social-impact", "share-prices", "cookie-law", "header-files", "on-navigation", "menu-planning"]
+    for name, head in kinds.items():
+        rows = []
+        for r in pages.collect():
+            k = iter(range(10**6))
+            tail = "</section>" if head.startswith("<section") else "</div>"
+            html = re.sub("(<p>.*?</p>)", lambda m, k=k, head=head, tail=tail: head.format(words[next(k) % 8]) + m[1] + tail, r.html or "", flags=re.DOTALL)
+            size = max(1, 2 * len(whole[r.page_id]) // len(COMMENT))
+            rows.append((r.page_id, r.url, html.replace("<article>", "<div class=entry>").replace("</article>", f"</div><div id=comments>{COMMENT * size}</div>")))
+        got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).withColumn("n", F.length("text")).collect()
+        found = told = there = 0
+        for r in got:
+            a, b = Counter(r.text.split()), Counter(whole[r.page_id].split())
+            found, told, there = found + (a & b).total(), told + a.total(), there + b.total()
+        print(name, "pages", len(got), "word recall", found / there, "word precision", found / told)
+        assert found >= 0.98 * there and found >= 0.98 * told
