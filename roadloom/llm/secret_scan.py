@@ -33,12 +33,12 @@ class Kind(NamedTuple):
     edged: bool = False
     #: the value must have digits and letters of both cases
     mixed: bool = False
-    #: its form alone marks a key: always, if it isn't a word, or never
+    #: its form alone marks a key: always, if it has the part of one, or never
     masked: str = "always"
 
 
 KINDS = (
-    Kind("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, True, r"(?i)password|passwd|secret|token|api_?key", masked="no word"),
+    Kind("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12, True, r"(?i)password|passwd|secret|token|api_?key", masked="key part"),
     Kind("access", r"AKIA[A-Z0-9]+", 0, 18, True, "AKIA"),
     Kind("hex", r"[0-9a-f]{16,}", 0, 16, True, r"[0-9a-f]{16}", masked="never"),
     Kind(
@@ -51,8 +51,14 @@ KINDS = (
 BASE = [k.name for k in KINDS if k.base]
 #: A value held by more owners or more repositories than these is a widely copied example.
 MOST_OWNERS, MOST_REPOSITORIES = 2, 4
-#: Letters in a row that no word has.
-LONG_WORD = 21
+#: Parts of letters and digits alone that dotted names, dates, addresses, versions and compounds don't have: letters and digits mixed,
+#: long ones or those of both cases; longer letters of one case than words have; and the groups of a universally unique identifier.
+KEY_PARTS = (
+    "(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{12,}(?![A-Za-z0-9])",
+    "(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[A-Z0-9]*[a-z])(?=[a-z0-9]*[A-Z])[A-Za-z0-9]{8,}(?![A-Za-z0-9])",
+    "(?<![A-Za-z0-9])(?:[a-z]{21,}|[A-Z]{21,})(?![A-Za-z0-9])",
+    "(?<![A-Za-z0-9])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![A-Za-z0-9])",
+)
 
 
 def _proposals(text: Column, number: int) -> Column:
@@ -82,15 +88,15 @@ def _fits(kind: Column, value: Column) -> Column:
     return (F.length(value) >= least) & (~_in(kind, [n for n, k in enumerate(KINDS) if k.mixed]) | mixed)
 
 
-def _is_words(value: Column) -> Column:
-    """Letters and signs alone, no long run and no capital within: prose after a colon, not a credential."""
-    return value.rlike("^[A-Za-z._/=+-]+$") & ~value.rlike(f"[A-Za-z]{{{LONG_WORD}}}") & ~value.rlike("[A-Za-z][A-Z]")
+def _is_key(value: Column) -> Column:
+    """Whether an assigned value has a part, between signs, that only a credential has: see KEY_PARTS."""
+    return value.rlike("|".join(KEY_PARTS))
 
 
 def _maskable(kind: Column, value: Column) -> Column:
-    """Whether the form alone marks a key: a known form, or an assigned value that isn't of words."""
+    """Whether the form alone marks a key: a known form, or an assigned value with the part of one."""
     named = _in(kind, [n for n, k in enumerate(KINDS) if k.masked == "always"])
-    return named | (_in(kind, [n for n, k in enumerate(KINDS) if k.masked == "no word"]) & ~_is_words(value))
+    return named | (_in(kind, [n for n, k in enumerate(KINDS) if k.masked == "key part"]) & _is_key(value))
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "lang", most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES) -> tuple[DataFrame, DataFrame]:
@@ -157,8 +163,8 @@ def find_secrets(docs: DataFrame, **options) -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with the values of live keys masked, n_chars recounted, all columns kept.
 
-    Masked are live candidates of a known key form, and live assigned values that aren't words;
-    runs of hexadecimal digits without such a name are commits and checksums as a rule and stay, as
+    Masked are live candidates of a known key form, and live assigned values with a part that only
+    keys have, so that names, paths, dates, addresses and versions in code and prose stay; runs of hexadecimal digits without such a name are commits and checksums as a rule and stay, as
     do widely copied examples. Spans that overlap are masked once. Rows without a mask stay as they
     are, null texts too; repeated rows stay repeated; an empty table stays empty.
     """

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadloom.llm import exact_dedup, queries, simhash
+from roadloom.llm import components
 from roadloom.llm.components import connected_components
 
 from . import brute
@@ -87,13 +88,25 @@ def test_near_dedup_keeps_one_row_of_each_component(which, request):
         assert sorted(ids) == sorted({c for _, _, c in brute.components(rows_of(df, "doc_id", "text"))})
 
 
-def test_chain_component(spark):
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_chain_component(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_EDGES", few)
     n = 300
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "u bigint, v bigint")
     got = connected_components(edges)
     assert got.count() == n + 1 and got.where("component != 0").isEmpty()
 
 
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_components_of_bytes(spark, monkeypatch, few):
+    """The smallest vertex as Spark orders bytes; separate edges, loops and repeats; no edges."""
+    monkeypatch.setattr(components, "FEW_EDGES", few)
+    pairs = [(b"\xff", b"a"), (b"a", b"\x00b"), (b"z", b"zz"), (b"z", b"z"), (b"zz", b"z"), (b"q", b"q")]
+    got = {bytes(r.vertex): bytes(r.component) for r in connected_components(spark.createDataFrame(pairs, "u binary, v binary")).collect()}
+    assert got == {b"\xff": b"\x00b", b"a": b"\x00b", b"\x00b": b"\x00b", b"z": b"z", b"zz": b"z"}
+    assert connected_components(spark.createDataFrame([], "u binary, v binary")).collect() == []
+
+
 def test_query_columns(spark, sf_dir):
     assert queries.op3_simhash(spark, sf_dir).columns == ["doc_id", "fingerprint", "component_id"]
 
