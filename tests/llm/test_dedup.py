@@ -5,8 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from roadloom.llm import exact_dedup, queries, simhash
-from roadloom.llm import components
+from roadloom.llm import components, exact_dedup, queries, simhash
 from roadloom.llm.components import connected_components
 
 from . import brute
