@@ -7,8 +7,11 @@ for them; the events then need one more shuffle by corridor day, of the closed c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,15 +30,17 @@ def grid(joined: DataFrame, params: Params = DEFAULT) -> DataFrame:
     width is the largest segment order seen on that corridor day, by whatever reading.
     """
     minute = F.hour("measurement_tstamp") * 60 + F.minute("measurement_tstamp")
-    width = joined.groupBy(*DAY).agg(F.max("segment_order").alias("width"))
-    rows = joined.withColumn("minute", minute).where(F.col("minute") % params.slot_minutes == 0)
+    slot = F.when(minute % params.slot_minutes == 0, minute / params.slot_minutes).cast("int")
     first = F.struct(F.col("speed").isNull(), "speed", F.col("reference_speed").isNull(), -F.col("reference_speed"))
-    cells = rows.groupBy(*DAY, (F.col("minute") / params.slot_minutes).cast("int").alias("slot"), "segment_order").agg(
+    # dealt by corridor day, which serves the aggregation and the window; readings off the slots have a cell of their own, for the width
+    rows = joined.withColumn("slot", slot).repartition(*DAY)
+    cells = rows.groupBy(*CELL).agg(
         F.min_by("speed", first).alias("speed"), F.min_by("reference_speed", first).alias("reference_speed"),
         F.max("tmc").alias("tmc"), F.max("intersection").alias("intersection"), F.max(F.coalesce("miles", F.lit(0.0))).alias("miles"),
     )
+    width = F.max("segment_order").over(Window.partitionBy(*DAY))
     seen = F.col("speed").isNotNull() & F.coalesce(F.col("reference_speed") > 0, F.lit(False))
-    named = cells.join(width, DAY).select(*CELL, "speed", "reference_speed", "width", "tmc", "intersection", "miles")
+    named = cells.withColumn("width", width).where("slot is not null").select(*CELL, "speed", "reference_speed", "width", "tmc", "intersection", "miles")
     return named.withColumns({"observed": seen, "ratio": F.when(seen, ratio())})
 
 
@@ -160,34 +165,87 @@ def labelled_cells(marked: DataFrame) -> DataFrame:
 
 #: What an event's cell carries besides its place and label; null where nothing was read.
 VALUES = ["speed", "reference_speed", "ratio", "miles", "start_mile", "end_mile"]
-
-
-def event_cells(cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """The closed cells with their label and VALUES, from a corridor day's cells in one step.
+#: Cells of an output batch, about.
+BATCH_ROWS = 20_000
+
+
+def _corridor_days(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each corridor day in turn, from rows sorted by it; one that goes on in the next batch is held back."""
+    held: dict[str, np.ndarray] | None = None
+    for batch in batches:
+        table = {n: (c.cast(pa.int32()) if pa.types.is_date(c.type) else c).to_numpy(zero_copy_only=False) for n, c in zip(names, batch.columns, strict=True)}
+        if held is not None:
+            table = {n: np.concatenate([held[n], table[n]]) for n in names}
+        if not batch.num_rows:
+            continue
+        ids, days = table[DAY[0]], table[DAY[1]]
+        starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (days[1:] != days[:-1])))
+        for start, stop in zip(starts, starts[1:], strict=False):
+            yield {n: v[start:stop] for n, v in table.items()}
+        held = {n: v[starts[-1] :] for n, v in table.items()}
+    if held is not None:
+        yield held
+
+
+def _day_values(day: dict[str, np.ndarray], slots: np.ndarray, orders: np.ndarray, shape: tuple[int, int]) -> list[np.ndarray]:
+    """VALUES of the cells (slots, orders) of a corridor day; NaN where nothing was read."""
+    at = day["slot"], day["segment_order"] - 1
+    found = []
+    for name in VALUES[:3]:
+        grid = np.full(shape, np.nan)
+        grid[at] = day[name]
+        found.append(grid[slots, orders - 1])
+    length = np.full(shape[1], -np.inf)
+    np.maximum.at(length, at[1], day["miles"])
+    seen = np.isfinite(length)
+    end = np.cumsum(np.where(seen, length, 0.0))
+    length, end = np.where(seen, length, np.nan), np.where(seen, end, np.nan)
+    return [*found, *(x[orders - 1] for x in (length, end - length, end))]
+
+
+def event_cells(cells: DataFrame, params: Params = DEFAULT, values: bool = True) -> DataFrame:
+    """The closed cells with their label and, where wanted, VALUES, from a corridor day's cells in one step.
 
     Raw mask, closing, cores, labels and mileposts all need the corridor day whole and nothing
-    else, so the grid is shuffled by it once.
+    else, so the grid is shuffled by it once; days follow each other in a sorted partition, many to
+    a batch.
     """
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        width = int(rows["width"].max())
-        whole = closed(_dense(rows[rows["hot"]], width, params))
-        if not whole.any():
-            return pd.DataFrame(columns=[*CELL, "label", *VALUES])
-        out = _cells(rows, whole)
-        slots, orders = out["slot"].to_numpy(), out["segment_order"].to_numpy()
-        out["label"] = event_labels(slots, orders, eroded(whole)[whole]).astype("int32")
-        length = rows.groupby("segment_order")["miles"].max()
-        end = length.cumsum()
-        posts = pd.DataFrame({"miles": length, "start_mile": end - length, "end_mile": end})
-        read = rows.set_index(["slot", "segment_order"])[["speed", "reference_speed", "ratio"]]
-        found = read.reindex(pd.MultiIndex.from_arrays([slots, orders])).reset_index(drop=True)
-        return pd.concat([out, found, posts.reindex(orders).reset_index(drop=True)], axis=1)
-
-    narrow = cells.select(*CELL, "width", _hot(params).alias("hot"), "speed", "reference_speed", "ratio", "miles")
-    made = narrow.groupBy(*DAY).applyInPandas(run, f"{CELL_TYPES}, label int, {', '.join(f'{v} double' for v in VALUES)}")
-    # a number that isn't there comes back from the group function as NaN
-    return made.select(*CELL, "label", *[F.nanvl(F.col(v), F.lit(None).cast("double")).alias(v) for v in VALUES])
+    wanted = VALUES if values else []
+    names = [*CELL, "width", "hot", *([*VALUES[:3], "miles"] if values else [])]
+    kinds = [pa.int32(), pa.date32(), pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * len(wanted)]
+    schema = pa.schema(list(zip([*CELL, "label", *wanted], kinds, strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list[np.ndarray]] = []
+        rows = 0
+
+        def record() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            # NaN is what isn't there
+            return pa.RecordBatch.from_arrays([pa.array(c, k if k != pa.date32() else pa.int32(), from_pandas=True).cast(k) for c, k in zip(columns, kinds, strict=True)], schema=schema)
+
+        for day in _corridor_days(batches, names):
+            shape = params.slots, int(day["width"][0])
+            hot = day["hot"].astype(bool)
+            mask = np.zeros(shape, bool)
+            mask[day["slot"][hot], day["segment_order"][hot] - 1] = True
+            whole = closed(mask)
+            if not whole.any():
+                continue
+            slots, columns = np.nonzero(whole)
+            orders = columns + 1
+            place = [np.full(len(slots), day[k][0], "int32") for k in DAY] + [slots.astype("int32"), orders.astype("int32")]
+            parts.append([*place, event_labels(slots, orders, eroded(whole)[whole]).astype("int32"), *(_day_values(day, slots, orders, shape) if values else [])])
+            rows += len(slots)
+            if rows >= BATCH_ROWS:
+                yield record()
+                parts, rows = [], 0
+        if parts:
+            yield record()
+
+    narrow = cells.withColumn("hot", _hot(params)).select(*names)
+    dealt = narrow.repartition(*DAY).sortWithinPartitions(*DAY)
+    return dealt.mapInArrow(run, f"{CELL_TYPES}, label int{''.join(f', {v} double' for v in wanted)}")
 
 
 def mileposts(cells: DataFrame) -> DataFrame:

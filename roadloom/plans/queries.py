@@ -271,7 +271,7 @@ register(
     "e5_components", lambda w: events.labelled_cells(w.marked.withColumn("is_core", F.lit(False))),
     f"SELECT {CELL}, CAST(dense_rank() OVER (PARTITION BY corridor_id, analysis_date ORDER BY whole) AS INTEGER) AS label FROM comp",
 )
-register("e6_event_labels", lambda w: w.labels.select(*CELL.split(", "), "label"), f"SELECT {CELL}, label FROM labels")
+register("e6_event_labels", lambda w: events.event_cells(w.stage("cells"), w.params, values=False).select(*CELL.split(", "), "label"), f"SELECT {CELL}, label FROM labels")
 register("e7_mileposts", lambda w: events.mileposts(w.cells).select("corridor_id", "analysis_date", "segment_order", "tmc", c.rounded(F.col("start_mile"), 6).alias("start_mile"), c.rounded(F.col("end_mile"), 6).alias("end_mile")), f"SELECT corridor_id, analysis_date, segment_order, tmc, {r('start_mile', 6)} AS start_mile, {r('end_mile', 6)} AS end_mile FROM posts")
 SLICE = ("run_miles", "total_miles", "upstream_mile")
 register("e8_slices", lambda w: events.slices(w.labels).select("corridor_id", "analysis_date", "label", "slot", "first_order", *[c.rounded(F.col(x), 6).alias(x) for x in SLICE]), f"SELECT corridor_id, analysis_date, label, slot, first_order, {', '.join(f'{r(x, 6)} AS {x}' for x in SLICE)} FROM slices")
