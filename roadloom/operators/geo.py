@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,20 +22,49 @@ def ring_edges(polygons: DataFrame) -> DataFrame:
     return nxt.where("x2 IS NOT NULL").select("file_order", "name", F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2")
 
 
+#: Edges of a polygon to a band of latitude, about, and copies of an edge in bands, on average, at most.
+BAND_EDGES, COPIES = 8, 4
+
+
+def banded(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bands, edges): each polygon's box with its number of bands, and its edges in each band they touch.
+
+    Bands are as many as the edges allow, so that a point meets few of them whatever a polygon's
+    size, but no more than keeps long edges from being copied without bound.
+    """
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    box = edges.groupBy("file_order").agg(
+        F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x9"), F.min(low).alias("y0"), F.max(high).alias("y9"), F.count(F.lit(1)).alias("n"), F.sum(high - low).alias("rise")
+    )
+    tall = F.col("y9") - F.col("y0")
+    most = F.least(F.col("n") / BAND_EDGES, COPIES * F.col("n") * tall / F.nullif("rise", F.lit(0.0)))
+    bands = box.withColumns({"bands": F.greatest(F.lit(1), F.floor(F.coalesce(most, F.lit(1.0)))), "tall": tall})
+    of = bands.select("file_order", "bands", "tall", "y0")
+    first, last = (_band(y) for y in (low, high))
+    return bands, edges.join(of, "file_order").select("file_order", "name", "x1", "y1", "x2", "y2", F.explode(F.sequence(first, last)).alias("band"))
+
+
+def _band(y: Column) -> Column:
+    """The band of a latitude; it only grows with it, so a point's band is between those of an edge's ends at its height."""
+    at = F.floor((y - F.col("y0")) / F.nullif("tall", F.lit(0.0)) * F.col("bands"))
+    return F.least(F.coalesce(at, F.lit(0)), F.col("bands") - 1)
+
+
 def districts_of(points: DataFrame, polygons: DataFrame, cell: float = 0.25) -> DataFrame:
     """(tmc, cid_name): the first polygon in file order that holds the point, or null.
 
     Even-odd over all rings, so holes are outside. Points and polygon boxes meet on grid cells, and
-    a ray to the east counts the edges of those polygons alone.
+    a ray to the east counts the edges of those polygons in the point's band of latitude alone.
     """
-    box = polygons.groupBy("file_order").agg(F.min("x").alias("x0"), F.max("x").alias("x9"), F.min("y").alias("y0"), F.max("y").alias("y9"))
+    box, edges = banded(ring_edges(polygons))
+
     def cells(low: str, high: str):
         return F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
 
     tiles = box.withColumn("cx", cells("x0", "x9")).withColumn("cy", cells("y0", "y9"))
     p = points.withColumns({"cx": F.floor(F.col("lon") / cell), "cy": F.floor(F.col("lat") / cell)})
-    near = p.join(tiles, ["cx", "cy"]).where(F.col("lon").between(F.col("x0"), F.col("x9")) & F.col("lat").between(F.col("y0"), F.col("y9"))).select("tmc", "lat", "lon", "file_order")
-    rows = near.join(ring_edges(polygons), "file_order")
+    near = p.join(tiles, ["cx", "cy"]).where(F.col("lon").between(F.col("x0"), F.col("x9")) & F.col("lat").between(F.col("y0"), F.col("y9"))).select("tmc", "lat", "lon", "file_order", _band(F.col("lat")).alias("band"))
+    rows = near.join(edges, ["file_order", "band"])
     crosses = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) + F.col("x1"))
     inside = rows.groupBy("tmc", "file_order", "name").agg(F.count_if(crosses).alias("n")).where("n % 2 = 1")
     first = inside.groupBy("tmc").agg(F.min_by("name", "file_order").alias("cid_name"))

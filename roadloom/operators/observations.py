@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,6 +29,29 @@ def daily_rollup(observed_rows: DataFrame, params: Params = DEFAULT) -> DataFram
     )
 
 
+def rollup_states(observed_rows: DataFrame) -> DataFrame:
+    """Sums and counts of each segment and day from which ``merged_rollup`` makes the daily rollup.
+
+    States of parts of a day's readings add up, so readings that come late are aggregated alone.
+    """
+    day = F.to_date("measurement_tstamp").alias("analysis_date")
+    sums = [x for v in ("speed", "speed_drop") for x in (F.sum(v).alias(f"{v}_sum"), F.count(v).alias(f"{v}_n"))]
+    return observed_rows.groupBy("tmc_code", day).agg(F.count(F.lit(1)).alias("readings"), F.count_if("is_congested").alias("congested_readings"), *sums, F.max("speed_drop").alias("speed_drop_max"))
+
+
+def merged_rollup(states: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The rows of ``daily_rollup`` from states, however many there are of a segment and day."""
+
+    def mean(v: str) -> Column:
+        return rounded(F.sum(f"{v}_sum") / F.nullif(F.sum(f"{v}_n"), F.lit(0)), 3)
+
+    hot = F.sum("congested_readings")
+    return states.groupBy("tmc_code", "analysis_date").agg(
+        F.sum("readings").alias("readings"), hot.alias("congested_readings"), (hot * params.slot_minutes).alias("congested_minutes"),
+        mean("speed").alias("avg_speed"), mean("speed_drop").alias("avg_speed_drop"), rounded(F.max("speed_drop_max"), 3).alias("max_speed_drop"),
+    )
+
+
 def corridor_readings(readings: DataFrame, ordered: DataFrame) -> DataFrame:
     """Every reading of every corridor's segments with its corridor, order and day."""
     s = ordered.select("corridor_id", "segment_order", "tmc", "intersection", "miles")

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from ..functions import columns as c
 from ..operators import bottlenecks, characterise, classify, events, geo, intersections, network, observations, profile, ranking, region
-from ..sources import database, fixtures, sinks, tables
+from ..sources import database, fixtures, sinks, tables, topology
 from ..sources.scratch import scratch_path
 from . import oracle as o
 from .oracle import HOT, RATIO, clock, r, sql, weekday
@@ -156,6 +156,20 @@ register_raw("s10_geojson_polygons", _geojson, "SELECT name, ring, i, round(x, 6
 register("s11_arc_store", lambda w: geo.arcs(geo.encode(fixtures.vertex_table(w.segments))).select("tmc", F.to_json("arc").alias("arc")), "SELECT tmc, '[' || string_agg('[' || dx || ',' || dy || ']', ',' ORDER BY i) || ']' AS arc FROM deltas GROUP BY tmc")
 
 
+def _topology(w: Warehouse) -> DataFrame:
+    """The network's lines by way of a topology document: each vertex as read back, with the number of its arc."""
+    path = scratch_path(w.segments.sparkSession, "topology")
+    topology.write_topology(geo.arcs(geo.encode(fixtures.vertex_table(w.segments))), path, w.params)
+    return topology.read_topology(w.segments.sparkSession, path).select("tmc", "arc", "i", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
+register(
+    "s11_topology_document", _topology,
+    """SELECT v.tmc, n.arc, v.i, round(round_even(lon * 1e6, 0) / 1e6, 6) AS lon, round(round_even(lat * 1e6, 0) / 1e6, 6) AS lat FROM vertices AS v JOIN
+    (SELECT tmc, dense_rank() OVER (ORDER BY first) - 1 AS arc FROM (SELECT tmc, min(tmc) OVER (PARTITION BY steps) AS first FROM (SELECT tmc, string_agg(dx || ' ' || dy, ',' ORDER BY i) AS steps FROM deltas GROUP BY tmc))) AS n ON n.tmc = v.tmc""",
+)
+
+
 def _logged(w: Warehouse) -> DataFrame:
     """The log of two stages of all corridors, appended and read back; its times are only looked at for being there."""
     spark = w.segments.sparkSession
@@ -240,6 +254,19 @@ def _materialised(w: Warehouse) -> DataFrame:
 
 register("d2_daily_rollup", _rollup, ROLLUP)
 register("s13_materialised_daily", _materialised, ROLLUP)
+
+
+def _refreshed(w: Warehouse) -> DataFrame:
+    """The rollup from states by day: those of most readings first, then those of the ones of density R, which come late."""
+    spark, late = w.segments.sparkSession, F.col("data_density") == "R"
+    path = scratch_path(spark, "states")
+    for part in (w.readings.where(~late), w.readings.where(late)):
+        states = observations.rollup_states(observations.observations(part, w.segments))
+        sinks.append_states(states, path, "analysis_date")
+    return observations.merged_rollup(spark.read.schema(states.schema).parquet(path))
+
+
+register("s13_refreshed_daily", _refreshed, ROLLUP)
 register("d3_available_days", lambda w: observations.available_days(w.joined), "SELECT DISTINCT corridor_id, analysis_date FROM joined")
 # the ledger of this query: days on which the corridor had an event of 8 mile-hours or more
 register(

@@ -140,6 +140,19 @@ def _swap_files(spark: SparkSession, path: str, change: dict) -> None:
     store.delete(folder, True)
 
 
+def append_states(states: DataFrame, path: str, key: str) -> None:
+    """Add states to the table at ``path``, partitioned by ``key``: files of the keys at hand, and no other is touched."""
+    finish(states.sparkSession, path)
+    write_partitioned(states, path, key, mode="append")
+
+
+def compact_states(path: str, keys: DataFrame, merge: Callable[[DataFrame], DataFrame], schema: StructType) -> None:
+    """Rewrite the slices ``keys`` of a table of states with ``merge`` of their rows, so that reads stay short."""
+    spark, names = keys.sparkSession, keys.columns
+    table = spark.read.schema(schema).parquet(path)
+    overwrite_slices(merge(table.join(keys, _same(names, table, keys), "left_semi")), path, keys)
+
+
 def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
