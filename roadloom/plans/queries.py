@@ -267,6 +267,16 @@ def _refreshed(w: Warehouse) -> DataFrame:
 
 
 register("s13_refreshed_daily", _refreshed, ROLLUP)
+
+
+def _bucketed(w: Warehouse) -> DataFrame:
+    """The rollup from readings in buckets of segments: their one shuffle is that of the writing."""
+    path = scratch_path(w.segments.sparkSession, "buckets")
+    readings = sinks.write_bucketed(w.readings.select(*READINGS.split(", ")), path, "tmc_code", 8, "measurement_tstamp")
+    return observations.daily_rollup(observations.observations(readings, w.segments))
+
+
+register("s2_bucketed_readings", _bucketed, ROLLUP)
 register("d3_available_days", lambda w: observations.available_days(w.joined), "SELECT DISTINCT corridor_id, analysis_date FROM joined")
 # the ledger of this query: days on which the corridor had an event of 8 mile-hours or more
 register(

@@ -35,6 +35,18 @@ def write_partitioned(df: DataFrame, path: str, *keys: str, mode: str = "overwri
     df.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, *order: str) -> DataFrame:
+    """``df`` as an external table below ``path``, in ``buckets`` by the hash of ``key`` and sorted by it, then by ``order``; returns the table.
+
+    Joins and groups by the key, alone or with further columns, read it without a shuffle. A task
+    writes one bucket, so take enough of them for a bucket to fit a task; the key is to be spread
+    evenly, as segments are in readings.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key, *order).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def _folder(spark: SparkSession, keys: dict[str, object]) -> str:
     """The relative folder of a partition, named as Spark names it."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName

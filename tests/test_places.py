@@ -1,4 +1,4 @@
-"""Districts in bands of latitude, the topology document, and states of a rollup."""
+"""Districts in bands of latitude, the topology document, states of a rollup, and readings in buckets."""
 
 import datetime as dt
 import json
@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from roadloom.operators import geo, observations
+from roadloom.operators import geo, observations, profile
 from roadloom.plans.warehouse import Warehouse
 from roadloom.sources import fixtures, sinks, topology
 
@@ -109,3 +109,35 @@ def test_late_readings_touch_their_day_alone(spark, sf_dir, tmp_path):
 
     sinks.compact_states(path, spark.createDataFrame([(dt.date(2024, 1, 3),)], "analysis_date date"), merge, schema)
     assert table() == whole and all(p.stat().st_mtime_ns == t for p, t in others.items() if "2024-01-03" not in str(p))
+
+
+def shuffled(df, scan):
+    """Whether a shuffle of the plan lies above a scan whose line holds ``scan``."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines))
+            if any(scan in x for x in lines[i:below]):
+                return True
+    return False
+
+
+def test_bucketed_readings_are_not_shuffled(spark, sf_dir, tmp_path):
+    """Neither for the rollup nor for the days of corridors' segments, joins without broadcasts: only the network's tables move."""
+    w = Warehouse.of(spark, sf_dir)
+    plain = fixtures.reading_table(spark, sf_dir)
+    readings = sinks.write_bucketed(plain, str(tmp_path / "buckets"), "tmc_code", 4, "measurement_tstamp")
+    made = [
+        lambda rows: observations.daily_rollup(observations.observations(rows, w.segments)),
+        lambda rows: profile.segment_daily(observations.corridor_readings(rows, w.stage("ordered")), w.params),
+    ]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for make in made:
+            df = make(readings)
+            assert not shuffled(df, "bucketed_") and shuffled(make(plain), "lineitem")
+            assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, make(plain).select(*df.columns).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
