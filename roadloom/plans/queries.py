@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from ..functions import columns as c
 from ..operators import bottlenecks, characterise, classify, events, geo, intersections, network, observations, profile, ranking, region
-from ..sources import database, fixtures, sinks, tables, topology
+from ..sources import database, features, fixtures, sinks, tables, topology
 from ..sources.scratch import scratch_path
 from . import oracle as o
 from .oracle import HOT, RATIO, clock, r, sql, weekday
@@ -141,18 +141,34 @@ def _exported(w: Warehouse) -> DataFrame:
 register("s9_export", _exported, " UNION ALL ".join(f"SELECT '{n}' AS name, concat_ws(':', {key}) AS key, round(CAST({value} AS DOUBLE), 6) AS value FROM {t}" for n, t, key, value in EXPORTED))
 
 
-def _geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polygons written as GeoJSON, a feature on each line, and read again."""
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file_order and value: each polygon of the fixture as a GeoJSON feature."""
     rings = fixtures.polygon_table(fixtures.segment_table(spark, sf_dir)).groupBy("file_order", "name", "ring").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("v"))
     shapes = rings.select("file_order", "name", F.struct("ring", F.transform("v", lambda p: F.array(p["x"], p["y"])).alias("p")).alias("r")).groupBy("file_order", "name").agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["p"]).alias("c"))
-    path = scratch_path(spark, "geojson")
     feature = F.struct(F.lit("Feature").alias("type"), F.struct("name", "file_order").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geometry"))
-    shapes.select(F.to_json(feature).alias("value")).write.text(path)
+    return shapes.select("file_order", F.to_json(feature).alias("value"))
+
+
+def _geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons written as GeoJSON, a feature on each line, and read again."""
+    path = scratch_path(spark, "geojson")
+    _shapes(spark, sf_dir).select("value").write.text(path)
     rows = tables.read_polygon_lines(spark, path)
     return rows.select("name", "ring", "i", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons written as one GeoJSON document (one file, so one task) and read again by ranges of bytes."""
+    path = scratch_path(spark, "document")
+    shapes = _shapes(spark, sf_dir).select("file_order", F.concat(F.when(F.col("file_order") == F.min("file_order").over(Window.partitionBy()), F.lit("")).otherwise(F.lit(",")), "value").alias("value"))
+    edges = spark.createDataFrame([(-1, '{"type":"FeatureCollection","features":['), (2**31 - 1, "]}")], "file_order int, value string")
+    shapes.unionByName(edges).coalesce(1).sortWithinPartitions("file_order").select("value").write.text(path)
+    rows = features.read_polygon_ranges(spark, path)
+    return rows.select("name", "file_order", "ring", "i", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 register_raw("s10_geojson_polygons", _geojson, "SELECT name, ring, i, round(x, 6) AS x, round(y, 6) AS y FROM polygons")
+register_raw("s10_geojson_document", _document, "SELECT name, CAST(dense_rank() OVER (ORDER BY file_order) - 1 AS INTEGER) AS file_order, ring, i, round(x, 6) AS x, round(y, 6) AS y FROM polygons")
 register("s11_arc_store", lambda w: geo.arcs(geo.encode(fixtures.vertex_table(w.segments))).select("tmc", F.to_json("arc").alias("arc")), "SELECT tmc, '[' || string_agg('[' || dx || ',' || dy || ']', ',' ORDER BY i) || ']' AS arc FROM deltas GROUP BY tmc")
 
 

@@ -62,19 +62,19 @@ def read_polygons(spark: SparkSession, path: str, name: str = "name", exterior_o
     Rings of a MultiPolygon are numbered through. Features without a name are skipped.
     """
     features = spark.read.schema(f"features array<struct<{FEATURE}>>").json(path, multiLine=True).select(F.posexplode("features").alias("file_order", "f"))
-    return _vertices(features.select("file_order", "f.*"), name, exterior_only)
+    return vertices(features.select("file_order", "f.*"), name, exterior_only)
 
 
 def read_polygon_lines(spark: SparkSession, path: str, name: str = "name", order: str = "file_order", exterior_only: bool = False) -> DataFrame:
     """The same for files with a feature on each line: many tasks read them, and a property gives their order."""
     features = spark.read.schema(FEATURE).json(path)
-    return _vertices(features.withColumn("file_order", F.col("properties")[order].cast("int")), name, exterior_only)
+    return vertices(features.withColumn("file_order", F.col("properties")[order].cast("int")), name, exterior_only)
 
 
 FEATURE = "properties map<string,string>, geometry struct<type:string,coordinates:string>"
 
 
-def _vertices(features: DataFrame, name: str, exterior_only: bool) -> DataFrame:
+def vertices(features: DataFrame, name: str, exterior_only: bool) -> DataFrame:
     point = "array<array<array<array<double>>>>"
     named = features.select("file_order", F.col("properties")[name].alias("name"), "geometry.type", F.col("geometry.coordinates").alias("c")).where("name is not null")
     rings = F.when(F.col("type") == "MultiPolygon", F.from_json("c", point)).otherwise(F.array(F.from_json("c", "array<array<array<double>>>")))
