@@ -7,6 +7,7 @@ cuts every block at multiples of the sequence length. Nothing is sorted and no t
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -26,8 +27,29 @@ BLOCK = 1 << 16
 MEMO = 400_000
 
 
+# The parts of a tokenizer file for which WordEncoder's cuts hold.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+
+
+def cuts_hold(parts: dict) -> bool:
+    """Whether a tokenizer file's parts are those above, so that its words can be encoded apart."""
+    return (
+        parts["normalizer"] == NORMALIZER
+        and parts["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]}
+        and all((parts["model"].get(k) or None) == (v or None) for k, v in MODEL.items())
+        and not parts["truncation"]
+        and not parts["padding"]
+        and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in parts["added_tokens"])
+    )
+
+
 class WordEncoder:
-    """Exact ids of a word-level BPE tokenizer file as little-endian 32-bit integers.
+    """Exact ids of a tokenizer file as little-endian 32-bit integers, fast for word-level BPE.
+
+    A file whose parts aren't those of ``cuts_hold`` encodes each text whole.
 
     The tokenizer normalises and splits before it merges, so pieces that it always splits apart
     can be encoded apart and remembered. Texts in plain Latin letters are cut by the tokenizer's
@@ -42,6 +64,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.by_words = cuts_hold(json.load(file))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: ids of a word's last piece end with the mark
         ends = [i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]
@@ -77,6 +101,8 @@ class WordEncoder:
                 start = end
 
     def encode(self, text: str) -> bytes:
+        if not self.by_words:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         plain = self.PLAIN.fullmatch(text) and not any(s in text for s in self.special)
         pieces = self.PIECE.findall(text.lower()) if plain else [p for p in self.SPACE.split(text) if p]
         out = []

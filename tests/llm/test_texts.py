@@ -333,3 +333,20 @@ def test_batches_leave_the_session_as_it_is(spark, docs):
     seen = [b.num_rows for b in common.small_batches(iter([pa.record_batch({"x": list(range(1000))})]))]
     quality_fm.feature_rows(docs).count()
     assert seen == [256, 256, 256, 232] and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_other_tokenizer_files_encode_whole_texts(tmp_path):
+    """A file with other parts than those that the cuts assume isn't taken for one of them."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    parts = json.loads(open(path, encoding="utf-8").read())
+    parts["normalizer"]["normalizers"] = parts["normalizer"]["normalizers"][:2]  # capitals stay
+    (tmp_path / "cased.json").write_text(json.dumps(parts), encoding="utf-8")
+    for file, by_words in ((path, True), (str(tmp_path / "cased.json"), False), (queries.tokenizer_path("byte_bpe_50k.json"), False)):
+        one, plain = WordEncoder(file), Tokenizer.from_file(file)
+        assert one.by_words is by_words
+        for text in ("", "Plain Words, don't  cut\nthem", "Ünï 漢字 12 3", "a" * 3000):
+            assert np.frombuffer(one.encode(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
