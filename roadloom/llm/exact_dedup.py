@@ -9,17 +9,20 @@ the digests with more than one row, so that only hits are read, moved and verifi
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, materialise, text_of
+from .common import BROADCAST_ROWS, checked_broadcast, materialise, text_of
 
 #: Bits of a filter for each digest in it: about one digest in 32 passes without being there.
 FILTER_BITS = 32
-#: Rows of a filter (bitmaps of 4 KB) up to which it is broadcast: 64 MB, 16 million digests.
+#: The same in a filter of more than FILTER_ROWS bitmaps: about one in 9 passes.
+LARGE_FILTER_BITS = 8
+#: Rows of a filter (bitmaps of 4 KB) that are broadcast at once: 64 MB, 16 million digests. A
+#: larger filter is probed in slices of as many rows.
 FILTER_ROWS = 16_384
 #: Bits of one bitmap, fixed by Spark's bitmap functions.
 BITMAP = 32_768
@@ -34,7 +37,10 @@ class Filter:
     """The digests that may be in a set: one hashed bit for each, in bitmaps of 4 KB."""
 
     def __init__(self, digests: DataFrame):
-        self.bitmaps_wanted = max(1, -(-digests.count() * FILTER_BITS // BITMAP))
+        n = digests.count()
+        self.bitmaps_wanted = max(1, -(-n * FILTER_BITS // BITMAP))
+        if not self.small:
+            self.bitmaps_wanted = max(FILTER_ROWS, 1, -(-n * LARGE_FILTER_BITS // BITMAP))
         slot = self._slot(F.col("digest"))
         grouped = digests.groupBy(F.bitmap_bucket_number(slot).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("__bits"))
         self.bitmaps = materialise(grouped, "filter")
@@ -47,21 +53,37 @@ class Filter:
     def small(self) -> bool:
         return self.bitmaps_wanted <= FILTER_ROWS
 
-    def probe(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (with digest) and __may: false where the digest surely isn't in the set.
-
-        A filter too large to broadcast lets everything pass: reading it would move as much as
-        the rows themselves.
-        """
-        if not self.small:
-            return rows.withColumn("__may", F.lit(True))
-        slot = self._slot(F.col("digest"))
-        met = rows.withColumns({"__at": F.bitmap_bit_position(slot), "__of": F.bitmap_bucket_number(slot)}).join(F.broadcast(self.bitmaps), F.col("__of") == F.col("__bucket"), "left")
+    def _met(self, rows: DataFrame, bitmaps: DataFrame, digest: str = "digest") -> DataFrame:
+        slot = self._slot(F.col(digest))
+        met = rows.withColumns({"__at": F.bitmap_bit_position(slot), "__of": F.bitmap_bucket_number(slot)}).join(F.broadcast(bitmaps), F.col("__of") == F.col("__bucket"), "left")
         byte = F.conv(F.hex(F.substring("__bits", (F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         bit = F.expr("cast(__at % 8 as int)")
         hit = F.coalesce(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1, F.lit(False))
         return met.withColumn("__may", hit).drop("__at", "__of", "__bucket", "__bits")
 
+    def probe(self, rows: DataFrame, digest: str = "digest") -> DataFrame:
+        """``rows`` and __may: false where the digest surely isn't in the set.
+
+        A filter too large to broadcast lets everything pass: reading it would move as much as
+        the rows themselves.
+        """
+        return self._met(rows, self.bitmaps, digest) if self.small else rows.withColumn("__may", F.lit(True))
+
+    def passing(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """The wide ``rows`` that may be in the set, in slices by digest; finish with one before the next.
+
+        Each slice scans ``rows`` and holds one part of the filter in memory; rows that it rules
+        out are never moved, whatever the filter's size.
+        """
+        if self.small:
+            yield self._met(rows, self.bitmaps).where("__may").drop("__may")
+            return
+        step = max(1, FILTER_ROWS)
+        bucket = F.bitmap_bucket_number(self._slot(F.col("digest")))
+        for low in range(1, self.bitmaps_wanted + 1, step):
+            part = self.bitmaps.where(F.col("__bucket").between(low, low + step - 1))
+            yield self._met(rows.where(bucket.between(low, low + step - 1)), part).where("__may").drop("__may")
+
 
 class Run:
     """A sorted run: a row for each digest (and, before compaction, for each document of it)."""
@@ -141,14 +163,18 @@ class DigestIndex:
         merged = self.compact()
         groups = materialise(merged.rows.where("n > 1").select("digest", "keep_id", F.col("n").alias("group_size")), "groups")
         hits = Filter(groups.select("digest"))
-        # a text that passes without being a hit is a group of its own
-        texts = hits.probe(_union(self.batches)).where("__may")
-        verified = texts.groupBy("digest", "text").agg(self._best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        # the text goes no further than this unless two share a digest
-        clash = materialise(verified.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts")).where("n_texts > 1").select("digest"), "clash")
-        if clash.isEmpty():
+        splits = []
+        for texts in hits.passing(_union(self.batches)):
+            # a text that passes without being a hit is a group of its own
+            verified = texts.groupBy("digest", "text").agg(self._best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+            # the text goes no further than this unless two share a digest
+            clash = materialise(verified.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts")).where("n_texts > 1").select("digest"), "clash")
+            if not clash.isEmpty():
+                splits.append(materialise(verified.join(clash, "digest", "left_semi"), "split"))
+        if not splits:
             return groups, hits, None
-        return groups.join(clash, "digest", "left_anti"), hits, materialise(verified.join(clash, "digest", "left_semi"), "split")
+        split = _union(splits)
+        return groups.join(split.select("digest").distinct(), "digest", "left_anti"), hits, split
 
     def keepers(self) -> tuple[DataFrame, Filter, DataFrame | None]:
         """Digests of several rows with their keeper, the filter of these, and clashing digests by text.
@@ -191,8 +217,9 @@ def deduplicate(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one for each distinct text.
 
     Where rows repeat the keeper's doc_id and text, one of them stays; null text is empty text; an
-    empty table stays empty. Losers are few against the rest, so the rows are kept by an anti join
-    against them: the texts of a corpus move only where that list is too long to broadcast.
+    empty table stays empty. The rows are kept by an anti join against the losers. Where their list
+    is too long to broadcast, a filter of it is probed first: rows that it rules out stay where they
+    are, and only the texts that pass meet the list (up to 67 million digests; beyond, all do).
     """
     columns = docs.columns
     index = DigestIndex(docs.sparkSession, keep)
@@ -203,7 +230,13 @@ def deduplicate(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     each = held.groupBy("digest", "doc_id", "keep_id").agg(F.count(F.lit(1)).alias("n"))
     each = materialise(each.select(F.col("digest").alias("__d"), F.col("doc_id").alias("__i"), "n", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("wins")), "members")
     same = (F.col("__digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__i"))
-    stay = rows.join(checked_broadcast(each.where("not wins").select("__d", "__i")), same, "left_anti")
+    losers = each.where("not wins").select("__d", "__i")
+    if losers.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        stay = rows.join(F.broadcast(losers), same, "left_anti")
+    else:
+        met = Filter(losers.select(F.col("__d").alias("digest")).distinct()).probe(rows, "__digest")
+        asked = met.where("__may").join(losers, same, "left_anti")
+        stay = met.where("not __may").unionByName(asked).drop("__may")
     parts = []
     doubles = each.where("wins and n > 1").select("__d", "__i")
     if not doubles.isEmpty():

@@ -156,3 +156,38 @@ def test_filters_hold_all_their_digests(spark):
     other = spark.range(20_000, 60_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
     assert held.probe(other).where("__may").count() < 0.05 * 40_000
     assert exact_dedup.Filter(df.limit(0)).probe(df).where("__may").isEmpty()
+
+
+@pytest.mark.parametrize("rows", [0, 1, 4])
+def test_a_filter_of_any_size_lets_single_texts_lie(spark, monkeypatch, rows):
+    """Texts whose digest is in one row alone are ruled out before a shuffle, in slices of the filter."""
+    monkeypatch.setattr(exact_dedup, "FILTER_ROWS", rows)
+    text = F.concat(F.lit("text "), F.when(F.col("id") < 10_000, F.col("id") % 5_000).otherwise(F.col("id")))
+    docs = spark.range(14_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    index = exact_dedup.DigestIndex(spark, "largest")
+    index.add(docs)
+    groups, hits, split = index.keepers()
+    assert groups.count() == 5_000 and split is None and hits.bitmaps_wanted == max(2, rows)
+    slices = [p.select("doc_id").collect() for p in hits.passing(index.batches[0])]
+    assert len(slices) == (1 if rows == 4 else 2)
+    passed = [r.doc_id for part in slices for r in part]
+    assert set(range(10_000)) <= set(passed) and len(passed) == len(set(passed)) < 10_800
+    assert index.resolve().where("kept").count() == 9_000
+
+
+@pytest.mark.parametrize("rows", [0, 16_384])
+def test_losers_beyond_a_broadcast(spark, odd, monkeypatch, rows):
+    want = key(rows_of(exact_dedup.deduplicate(odd), *odd.columns))
+    monkeypatch.setattr(exact_dedup, "FILTER_ROWS", rows)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    got = exact_dedup.deduplicate(odd)
+    assert got.columns == odd.columns and key(rows_of(got, *odd.columns)) == want
+
+
+def test_clashes_in_slices(spark, odd, monkeypatch):
+    """One byte as a digest: nearly all digests have several texts; slices find the same groups."""
+    monkeypatch.setattr(exact_dedup, "FILTER_ROWS", 0)
+    columns = ("doc_id", "keep_id", "group_size", "kept")
+    index = exact_dedup.DigestIndex(spark, "largest", digest=lambda t: F.substring(F.sha2(t, 256), 1, 1).cast("binary"))
+    index.add(odd)
+    assert key(rows_of(index.resolve(), *columns)) == key(rows_of(exact_dedup.resolve(odd, "largest"), *columns))
