@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import congested, observed, ratio, road_class, rounded
+from ..functions.columns import congested, iso_weekday, observed, ratio, road_class, rounded
 from ..params import DEFAULT, Params
 
 
@@ -106,16 +106,25 @@ def bottleneck_segments(bottlenecks: DataFrame, ordered: DataFrame) -> DataFrame
     return ordered.join(b, within).select("bottleneck_id", "tmc", "segment_order", "miles")
 
 
-def overnight_share(bottlenecks: DataFrame, ordered: DataFrame, readings: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def hour_cells(readings: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """(tmc, hour, dow, readings, congested): counts of readings with a positive reference speed.
+
+    Partial counts leave each task, so what is shuffled and kept grows with the segments (168 rows
+    each), not with the readings. A null speed counts as not congested.
+    """
+    when = F.col("measurement_tstamp")
+    rows = readings.where("reference_speed > 0").groupBy(F.col("tmc_code").alias("tmc"), F.hour(when).alias("hour"), iso_weekday(F.to_date(when)).alias("dow"))
+    return rows.agg(F.count(F.lit(1)).alias("readings"), F.count_if(congested(params)).alias("congested"))
+
+
+def overnight_share(bottlenecks: DataFrame, ordered: DataFrame, cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Share of overnight readings below the congestion ratio for each Arterial bottleneck.
 
-    A null speed counts as not congested; bottlenecks without overnight readings are absent.
+    ``cells`` are those of ``hour_cells``. Bottlenecks without overnight readings are absent.
     """
-    night = readings.where(F.hour("measurement_tstamp").isin(*params.overnight_hours) & (F.col("reference_speed") > 0))
     own = bottleneck_segments(bottlenecks.where("corridor_group = 'Arterial'"), ordered)
-    rows = night.join(own, F.col("tmc_code") == F.col("tmc"))
-    share = 100.0 * F.avg(F.when(F.col("speed") < F.lit(params.congestion_ratio) * F.col("reference_speed"), 1.0).otherwise(0.0))
-    found = rows.groupBy("bottleneck_id").agg(share.alias("p"))
+    night = cells.where(F.col("hour").isin(*params.overnight_hours)).join(own.select("bottleneck_id", "tmc"), "tmc")
+    found = night.groupBy("bottleneck_id").agg((100.0 * (F.sum("congested") / F.sum("readings"))).alias("p"))
     return found.select("bottleneck_id", rounded(F.col("p"), 3).alias("overnight_congested_pct"), (F.col("p") < params.overnight_pct).alias("ranking_eligible"))
 
 

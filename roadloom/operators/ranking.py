@@ -76,31 +76,29 @@ def weekday_dashboard(bottlenecks: DataFrame, metrics: DataFrame) -> DataFrame:
     return found.drop("max_queue_miles", "avg_congested_speed_ratio")
 
 
-def _picks(hot: DataFrame, key: str) -> DataFrame:
-    """(key, peak_hour, peak_dow): most frequent hour and weekday; ties go to the earlier one.
+def _picks(cells: DataFrame, owners: DataFrame, key: str) -> DataFrame:
+    """(key, peak_hour, peak_dow): most frequent congested hour and weekday of the owners' segments.
 
-    One pass counts both: an hour and weekday cell is small, so the picks aggregate cells.
+    ``cells`` are those of ``observations.hour_cells``; ties go to the earlier hour or weekday.
     """
-    cells = hot.groupBy(key, F.hour("measurement_tstamp").alias("hour"), iso_weekday(F.to_date("measurement_tstamp")).alias("dow")).agg(F.count(F.lit(1)).alias("n"))
+    own = owners.select(F.col(key).alias("owner"), "tmc")
+    hot = cells.where("congested > 0").join(own, "tmc").select(F.col("owner").alias(key), "hour", "dow", "congested")
+
     def pick(part: str, name: str) -> DataFrame:
-        counted = cells.groupBy(key, part).agg(F.sum("n").alias("n"))
+        counted = hot.groupBy(key, part).agg(F.sum("congested").alias("n"))
         return counted.groupBy(key).agg(F.min_by(part, F.struct(-F.col("n"), part)).alias(name))
 
     return pick("hour", "peak_hour").join(pick("dow", "peak_dow"), key)
 
 
-def _hot(readings: DataFrame, owners: DataFrame, key: str, params: Params) -> DataFrame:
-    return readings.where(congested(params)).select("tmc_code", "measurement_tstamp").join(owners.select(key, F.col("tmc").alias("tmc_code")), "tmc_code")
-
-
 def _labels() -> list[Column]:
     return [clock_label(F.col("peak_hour")).alias("peak_hour_label"), weekday_name(F.col("peak_dow")).alias("peak_weekday_name")]
 
 
-def regional_ranking(ranked: DataFrame, segments: DataFrame, districts: DataFrame, readings: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def regional_ranking(ranked: DataFrame, segments: DataFrame, districts: DataFrame, cells: DataFrame) -> DataFrame:
     """Eligible bottlenecks of the region with county, district and the peak segment's busiest times."""
     rows = ranked.where("ranking_eligible")
-    picks = _picks(_hot(readings, rows.select("bottleneck_id", F.col("peak_tmc").alias("tmc")), "bottleneck_id", params), "bottleneck_id")
+    picks = _picks(cells, rows.select("bottleneck_id", F.col("peak_tmc").alias("tmc")), "bottleneck_id")
     s = segments.select(F.col("tmc").alias("peak_tmc"), "county")
     c = districts.select(F.col("tmc").alias("peak_tmc"), "cid_name")
     return rows.join(s, "peak_tmc", "left").join(c, "peak_tmc", "left").join(picks, "bottleneck_id", "left").select(
@@ -109,10 +107,9 @@ def regional_ranking(ranked: DataFrame, segments: DataFrame, districts: DataFram
     )
 
 
-def corridor_ranking(ranked: DataFrame, segments: DataFrame, ordered: DataFrame, readings: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def corridor_ranking(ranked: DataFrame, segments: DataFrame, ordered: DataFrame, cells: DataFrame) -> DataFrame:
     """All bottlenecks by their rank in the corridor, busiest times over the whole extent."""
-    own = bottleneck_segments(ranked, ordered)
-    picks = _picks(_hot(readings, own, "bottleneck_id", params), "bottleneck_id")
+    picks = _picks(cells, bottleneck_segments(ranked, ordered), "bottleneck_id")
     s = segments.select(F.col("tmc").alias("peak_tmc"), "county")
     return ranked.join(s, "peak_tmc", "left").join(picks, "bottleneck_id", "left").select(
         "corridor_id", F.col("corridor_severity_rank").alias("severity_rank"), "bottleneck_id", "representative_intersection", "occurrence_pct", "annual_queue_mile_hours", "avg_congested_speed_ratio", "severity_index",
@@ -151,7 +148,7 @@ def intersection_index(ranked: DataFrame, ordered: DataFrame, segments: DataFram
     )
 
 
-def watch_metrics(watched: DataFrame, readings: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def watch_metrics(watched: DataFrame, readings: DataFrame, cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Yearly measures and busiest times of the watched segments."""
     own = watched.select("tmc", "miles")
     rows = readings.join(own, F.col("tmc_code") == F.col("tmc")).withColumns({"hot": congested(params), "ratio": ratio(), "day": F.to_date("measurement_tstamp")})
@@ -162,7 +159,7 @@ def watch_metrics(watched: DataFrame, readings: DataFrame, params: Params = DEFA
         rounded(F.avg(F.when(occurs, F.col("minutes"))), 1).alias("avg_congested_minutes_occurrence_day"), rounded(F.sum("n") * F.max("miles") * params.slot_minutes / 60.0, 3).alias("annual_segment_mile_hours"),
         rounded(F.avg(F.when(F.col("n") > 0, F.col("ratio"))), 3).alias("average_congested_speed_ratio"),
     )
-    picks = _picks(_hot(readings, own, "tmc", params), "tmc")
+    picks = _picks(cells, own, "tmc")
     return annual.join(picks, "tmc", "left").select(*annual.columns, "peak_hour", *_labels())
 
 

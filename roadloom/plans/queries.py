@@ -409,12 +409,12 @@ PEAK_HOT = f"(SELECT bottleneck_id, {o.HOUR_DOW} FROM probe JOIN (SELECT bottlen
 SPAN_HOT = f"(SELECT bottleneck_id, {o.HOUR_DOW} FROM probe JOIN within_extent ON tmc = tmc_code WHERE {HOT})"
 LABELS = f"{clock('p.peak_hour')} AS peak_hour_label, {weekday('p.peak_dow')} AS peak_weekday_name"
 register(
-    "k12_regional_ranking", lambda w: ranking.regional_ranking(w.stage("ranked"), w.segments, w.districts, w.readings),
+    "k12_regional_ranking", lambda w: ranking.regional_ranking(w.stage("ranked"), w.segments, w.districts, w.stage("hour_cells")),
     f"""SELECT network_severity_rank, k.bottleneck_id, corridor_name, corridor_group, corridor AS road, k.direction, representative_intersection, occurrence_pct, annual_queue_mile_hours, avg_congested_speed_ratio, severity_index, aadt_weighted_severity_index, analyzed_days, t.county, c.cid_name, peak_segment_aadt AS aadt, peak_tmc AS tmc, {LABELS}
     FROM ranked AS k LEFT JOIN tmc AS t ON t.tmc = peak_tmc LEFT JOIN districts AS c ON c.tmc = peak_tmc LEFT JOIN ({o._picks(PEAK_HOT, "bottleneck_id")}) AS p ON p.bottleneck_id = k.bottleneck_id WHERE k.ranking_eligible""",
 )
 register(
-    "k13_corridor_ranking", lambda w: ranking.corridor_ranking(w.stage("ranked"), w.segments, w.ordered, w.readings),
+    "k13_corridor_ranking", lambda w: ranking.corridor_ranking(w.stage("ranked"), w.segments, w.ordered, w.stage("hour_cells")),
     f"""SELECT k.corridor_id, corridor_severity_rank AS severity_rank, k.bottleneck_id, representative_intersection, occurrence_pct, annual_queue_mile_hours, avg_congested_speed_ratio, severity_index, t.county, peak_segment_aadt AS aadt, {LABELS}
     FROM ranked AS k LEFT JOIN tmc AS t ON t.tmc = peak_tmc LEFT JOIN ({o._picks(SPAN_HOT, "bottleneck_id")}) AS p ON p.bottleneck_id = k.bottleneck_id""",
 )

@@ -83,9 +83,13 @@ class Warehouse:
     def annual(self) -> DataFrame:
         return ranking.annual_dashboard(self.stage("bottlenecks"), self.stage("metrics"))
 
+    @cached_property
+    def hour_cells(self) -> DataFrame:
+        return observations.hour_cells(self.readings, self.params)
+
     @cached_property
     def eligibility(self) -> DataFrame:
-        return observations.overnight_share(self.stage("bottlenecks"), self.stage("ordered"), self.readings, self.params)
+        return observations.overnight_share(self.stage("bottlenecks"), self.stage("ordered"), self.stage("hour_cells"), self.params)
 
     @cached_property
     def ranked(self) -> DataFrame:
@@ -113,7 +117,7 @@ class Warehouse:
 
     @cached_property
     def watch(self) -> DataFrame:
-        return ranking.watch_metrics(self.watched, self.readings, self.params)
+        return ranking.watch_metrics(self.watched, self.readings, self.stage("hour_cells"), self.params)
 
     @cached_property
     def extremes(self) -> DataFrame:

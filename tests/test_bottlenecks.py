@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from roadloom.functions import columns as c
-from roadloom.operators import bottlenecks, classify, geo, network
+from roadloom.operators import bottlenecks, classify, geo, network, observations, ranking
 from roadloom.sources import sinks, tables
 from roadloom.streaming import ingest
 
@@ -153,3 +153,23 @@ def test_stream_counts_each_file_once(spark, tmp_path):
     query = ingest.hourly_means(ingest.read_stream(spark, source)).writeStream.format("memory").queryName("hourly_means").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     assert [(r.readings, r.avg_speed) for r in spark.sql("SELECT * FROM hourly_means WHERE hour(hour_start) = 5").collect()] == [(3, 20.0)]
+
+
+def test_hour_cells_serve_the_overnight_share_and_the_busiest_times(spark):
+    tuesday = [dt.datetime(2025, 3, 4, h) for h in (1, 1, 2, 8, 9)]
+    speeds = [(20.0, 60.0), (None, 60.0), (60.0, 60.0), (20.0, 60.0), (20.0, None)]
+    rows = [("a", t, s, r) for t, (s, r) in zip(tuesday, speeds, strict=True)] + [("a", None, 20.0, 60.0), ("b", tuesday[3], 20.0, 60.0), ("b", tuesday[0], 10.0, 0.0)]
+    readings = spark.createDataFrame(rows, "tmc_code string, measurement_tstamp timestamp, speed double, reference_speed double")
+    cells = observations.hour_cells(readings)
+    got = {(r.tmc, r.hour, r.dow): (r.readings, r.congested) for r in cells.collect()}
+    # readings without a positive reference speed are in no cell; those without a time have one of their own
+    assert got == {("a", 1, 2): (2, 1), ("a", 2, 2): (1, 0), ("a", 8, 2): (1, 1), ("a", None, None): (1, 1), ("b", 8, 2): (1, 1)}
+
+    ordered = spark.createDataFrame([("c", 1, "a", 0.5), ("c", 2, "b", 0.5), ("c", 3, "z", 0.5)], "corridor_id string, segment_order int, tmc string, miles double")
+    extents = spark.createDataFrame([("x", "c", "Arterial", 1, 2), ("y", "c", "Arterial", 3, 3), ("w", "c", "Interstate", 1, 1)], "bottleneck_id string, corridor_id string, corridor_group string, start_segment_order int, end_segment_order int")
+    # one congested of three overnight readings; the bottleneck without readings and the interstate are absent
+    assert [tuple(r) for r in observations.overnight_share(extents, ordered, cells).collect()] == [("x", 33.333, False)]
+
+    owners = spark.createDataFrame([("x", "a"), ("x", "b"), ("y", "z")], "bottleneck_id string, tmc string")
+    assert [tuple(r) for r in ranking._picks(cells.where("hour is not null"), owners, "bottleneck_id").collect()] == [("x", 8, 2)]
+    assert observations.hour_cells(readings.limit(0)).count() == 0

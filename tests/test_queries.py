@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.01"
-CHECKED = ["s5_replace_slice", "n8_split_registry", "d2_daily_rollup", "p2_segment_profile", "b3_extents", "c2_daily_metrics", "e9_events", "k2_ranked_dashboard", "k6_region_hourly", "k15_intersection_index", "i11_grouped", "g2_districts", "k18_severity_classes", "i15_display_tiers", "s7_upsert", "s11_topology_document", "s13_refreshed_daily", "s10_geojson_document"]
+CHECKED = ["s5_replace_slice", "n8_split_registry", "d2_daily_rollup", "p2_segment_profile", "b3_extents", "c2_daily_metrics", "e9_events", "k2_ranked_dashboard", "k6_region_hourly", "k12_regional_ranking", "k16_watch_metrics", "k15_intersection_index", "i11_grouped", "g2_districts", "k18_severity_classes", "i15_display_tiers", "s7_upsert", "s11_topology_document", "s13_refreshed_daily", "s10_geojson_document"]
 
 
 @pytest.fixture(scope="module")
