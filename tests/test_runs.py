@@ -55,6 +55,23 @@ def test_a_second_run_makes_and_reads_the_missing_days_alone(spark, stored, tmp_
     assert run.done().count() == len(days) * corridors and run.done().agg(F.sum("events")).first()[0] == w.events.count()
 
 
+def test_events_lie_in_a_folder_for_each_day(spark, sf_dir, stored, tmp_path):
+    """Not for each corridor day; corridors that come later share it with those that are done."""
+    w, path = stored
+    ordered = w.stage("ordered")
+    twice = materialise(ordered.unionByName(ordered.withColumn("corridor_id", F.col("corridor_id") + 1000)), "twice")
+    definitions = w.stage("definitions").unionByName(w.stage("definitions").withColumn("corridor_id", F.col("corridor_id") + 1000))
+    days = sorted(r[0] for r in w.readings.select(F.to_date("measurement_tstamp")).distinct().collect())
+    for corridors in (ordered, twice):
+        run = EventRun(spark, path, str(tmp_path / "out"), corridors, definitions)
+        assert run.run(until=str(days[4])) > 0
+    got = run.events(w.events.schema)
+    first = rows(got.where("corridor_id < 1000"))
+    assert first == rows(w.events.where(F.col("analysis_date") <= days[4]))
+    assert first and got.count() == 2 * len(first)
+    assert all(p.name.startswith("analysis_date=") for p in (tmp_path / "out" / "events").iterdir() if p.is_dir())
+
+
 def test_a_run_that_is_broken_off_makes_its_days_again(spark, stored, tmp_path, monkeypatch):
     w, path = stored
     run = EventRun(spark, path, str(tmp_path / "out"), w.stage("ordered"), w.stage("definitions"))

@@ -28,6 +28,28 @@ def test_slices_are_rewritten_or_cleared_on_disk(spark, tmp_path):
         sinks.overwrite_slices(old, path, slices)
 
 
+def test_slices_share_a_folder(spark, tmp_path):
+    """Slices by two keys in folders by one: the folder's other slices stay, null and empty keys too."""
+    path = str(tmp_path / "t")
+    types = "k int, s string, d string, v int"
+    old = spark.createDataFrame([(k, s, d, v) for k in (1, 2, None) for s in ("", None) for d in ("a b", "c", None, "e") for v in (0, 1)], types)
+    sinks.write_partitioned(old, path, "d")
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "d=e").rglob("*.parquet")}
+    gone = [(1, "", "a b"), (None, None, "a b"), (2, None, ""), (7, "x", "new"), *[(k, s, "c") for k in (1, 2, None) for s in ("", None)]]
+    new = spark.createDataFrame([(1, "", "a b", 9), (7, "x", "new", 5)], types)
+    want = [(1, "", "a b", 9), (7, "x", "new", 5)] + [r for r in map(tuple, old.collect()) if r[:3] not in [(k, s, d or None) for k, s, d in gone]]
+    for _ in range(2):  # again, with the same result
+        sinks.overwrite_slices(new, path, spark.createDataFrame(gone, "k int, s string, d string"), by=["d"])
+        got = [tuple(r) for r in spark.read.schema(types).parquet(path).select("k", "s", "d", "v").collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert not (tmp_path / "t" / "d=c").exists() and untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "d=e").rglob("*.parquet")}
+    with pytest.raises(ValueError):
+        sinks.overwrite_slices(new.withColumn("k", F.lit(5)), path, spark.createDataFrame(gone, "k int, s string, d string"), by=["d"])
+    empty = str(tmp_path / "none")  # a table that isn't there yet
+    sinks.overwrite_slices(new, empty, new.select("k", "s", "d"), by=["d"])
+    assert spark.read.parquet(empty).count() == 2
+
+
 def test_slices_may_be_made_from_their_own_table(spark, tmp_path):
     """Also where the new rows leave some slices empty; null and empty text are the same slice."""
     path = str(tmp_path / "t")
