@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roadloom.functions import columns as c
 from roadloom.operators import classify, network
+from roadloom.plans.queries import QUERIES
 from roadloom.sources import sinks, tables
 
 
@@ -50,6 +51,21 @@ def test_slices_share_a_folder(spark, tmp_path):
     assert spark.read.parquet(empty).count() == 2
 
 
+@pytest.mark.parametrize("name", ["s5_replace_slice", "s6_cascade_children"])
+def test_folders_dont_grow_with_corridors(spark, tmp_path, monkeypatch, name):
+    """At sf0.01 four corridors of 40 days: 160 folders by corridor day."""
+    paths = []
+    write = sinks.write_partitioned
+
+    def noted(df, path, *keys, **options):
+        write(df, path, *keys, **options)
+        paths.append((path, keys))
+
+    monkeypatch.setattr(sinks, "write_partitioned", noted)
+    QUERIES[name](spark, "/root/testdata/sf0.01").collect()
+    assert paths and not any("corridor_id" in keys for _, keys in paths)
+
+
 def test_slices_may_be_made_from_their_own_table(spark, tmp_path):
     """Also where the new rows leave some slices empty; null and empty text are the same slice."""
     path = str(tmp_path / "t")
