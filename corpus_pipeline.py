@@ -26,7 +26,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five-word Jaccard of 0.8 or more), the row with the smallest doc_id."""
+    """Of each component of near copies (SimHash, then bands, all by a five-word Jaccard of 0.8 or more), the row with the smallest doc_id."""
     bound_batches(spark)
     return near_copies.deduplicate(docs)
 

@@ -1,4 +1,8 @@
-"""Near copies: five-word shingles, MinHash bands, exact Jaccard similarity of 0.8 or more, components.
+"""Near copies: SimHash of five-word shingles, MinHash bands, exact Jaccard similarity of 0.8 or more, components.
+
+Fingerprints come first: those within two bits are classes, found by the blocks, the Hamming check
+and the hot buckets of ``simhash``, and each class's sets are verified against one of them. Two
+bits reach few copies at a similarity of 0.8, where some ten differ, so bands find the others.
 
 A pair of similarity s shares at least one of 20 bands of four minima with chance 1 - (1 - s^4)^20:
 0.99997 at 0.8, more above. Each band's bucket has a hub, its most central set; all others in it
@@ -13,6 +17,7 @@ differences.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,19 @@ _FLIPS = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64)
 _FACTORS = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
 
 
+def sketch(text: str) -> tuple[np.ndarray, int]:
+    """The distinct hashes of a text's five-word shingles, sorted, and their fingerprint, repeats included."""
+    parts: list[np.ndarray] = []
+
+    def noted() -> Iterator[np.ndarray]:
+        for hashes in simhash.hashed_shingles(text, WIDTH):
+            parts.append(np.unique(hashes))
+            yield hashes
+
+    fp = simhash.voted(noted())
+    return (np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype="<u8")), fp
+
+
 def shingle_set(text: str) -> np.ndarray:
     """The distinct hashes of a text's five-word shingles, sorted."""
     parts = [np.unique(h) for h in simhash.hashed_shingles(text, WIDTH)]
@@ -50,17 +68,31 @@ def bands(hashes: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (of the text), own (digest of the set) and the set's band keys for every row."""
+    """doc_id, digest (of the text), own (digest of the set), fp (fingerprint) and the set's band keys for every row."""
     rows = docs.select("doc_id", F.sha2(text_of(), 256).alias("digest"), text_of().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            sets = [shingle_set(t) for t in batch.column(2).to_pylist()]
+            sets, fps = zip(*map(sketch, batch.column(2).to_pylist()), strict=True)
             own = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
             keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own, keys], names=["doc_id", "digest", "own", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own, pa.array(fps, pa.int64()), keys], names=["doc_id", "digest", "own", "fp", "bands"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, digest string, own binary, bands array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, digest string, own binary, fp bigint, bands array<bigint>")
+
+
+def fingerprint_pairs(distinct: DataFrame) -> DataFrame:
+    """Pairs (u, v) of each fingerprint class's first set and every other one of ``distinct`` (own, fp).
+
+    A class is all that links at two or fewer differing bits lead to. Further pairs of a class, whose
+    sets aren't near copies of the first, are left to the bands.
+    """
+    fps = materialise(distinct.select("fp").distinct(), "fps")
+    classes = connected_components(simhash.links(fps))
+    placed = materialise(distinct.join(classes, F.col("fp") == F.col("vertex"), "left").select("own", F.coalesce("component", "fp").alias("class")), "classes")
+    # from files, so that Spark can split the join of a class of very many sets
+    heads = materialise(placed.groupBy("class").agg(F.min("own").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("class", "head"), "heads")
+    return placed.join(heads, "class").where("own != head").select(F.col("head").alias("u"), F.col("own").alias("v"))
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -143,7 +175,8 @@ def near_duplicates(docs: DataFrame, hot: int = 16) -> DataFrame:
     are ignored. Buckets of more than ``hot`` sets are crowds; the result doesn't depend on it.
     """
     rows = materialise(sketches(docs.select("doc_id", "text")), "sketches")
-    distinct = materialise(rows.groupBy("own").agg(F.min("doc_id").alias("first_id"), F.min("digest").alias("digest"), F.any_value("bands").alias("bands")), "distinct")
+    distinct = materialise(rows.groupBy("own").agg(F.min("doc_id").alias("first_id"), F.min("digest").alias("digest"), F.min("fp").alias("fp"), F.any_value("bands").alias("bands")), "distinct")
+    classed = materialise(fingerprint_pairs(distinct.select("own", "fp")), "classed")
     keyed = materialise(distinct.select("own", F.posexplode("bands").alias("t", "key")), "keyed")
     sizes = materialise(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     met = materialise(keyed.join(sizes, ["t", "key"]), "met")
@@ -151,8 +184,9 @@ def near_duplicates(docs: DataFrame, hot: int = 16) -> DataFrame:
     central = materialise(met.groupBy("own").agg(F.sum("size").alias("central")), "central")
     hubs = materialise(met.join(central, "own").groupBy("t", "key").agg(F.max(F.struct("central", "own"))["own"].alias("hub")), "hubs")
     met = materialise(met.join(hubs, ["t", "key"]), "met")
-    pairs = materialise(met.where("own != hub").select(F.col("hub").alias("u"), F.col("own").alias("v")).distinct(), "pairs")
-    wanted = materialise(distinct.join(central, "own", "left_semi").select("own", "digest"), "wanted")
+    pairs = materialise(met.where("own != hub").select(F.col("hub").alias("u"), F.col("own").alias("v")).unionByName(classed).distinct(), "pairs")
+    paired = reduce(DataFrame.union, [central.select("own"), classed.select("u"), classed.select("v")])
+    wanted = materialise(distinct.join(paired, "own", "left_semi").select("own", "digest"), "wanted")
     sets = materialise(shingle_sets(docs, wanted), "sets")
     judged = materialise(_judged(pairs, sets), "judged")
     links = judged.where("near").select("u", "v")

@@ -10,7 +10,7 @@ fingerprints share one), which is exact and grows linearly.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -55,13 +55,13 @@ def hashed_shingles(text: str, width: int) -> Iterator[np.ndarray]:
         carry = words[len(words) - width + 1 :]
 
 
-def fingerprint(text: str, width: int = 3) -> int:
-    """The fingerprint of one text as a signed 64-bit integer; of a text without words zero.
+def voted(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of hashed shingles as a signed 64-bit integer; of none zero.
 
-    A bit is set if more than half of the shingles' hashes have it.
+    A bit is set if more than half of the hashes have it.
     """
     counts, total = np.zeros(BITS, dtype=np.int64), 0
-    for hashes in hashed_shingles(text, width):
+    for hashes in parts:
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         total += len(hashes)
     if not total:
@@ -70,6 +70,11 @@ def fingerprint(text: str, width: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: str, width: int = 3) -> int:
+    """The fingerprint of one text; of a text without words zero."""
+    return voted(hashed_shingles(text, width))
+
+
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, fp) for every row of ``docs`` (doc_id, text); null text is empty text."""
     rows = docs.select("doc_id", text_of().alias("text"))

@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadloom.llm import near_copies
+from roadloom.llm import near_copies, simhash
 
 from .conftest import DOCS, rows_of
 
@@ -87,6 +88,27 @@ def test_the_pipelines_stage_drops_near_copies(spark, sf_dir):
     assert sorted(r.doc_id for r in stay.collect()) == sorted(set(want.values()))
 
 
+def test_the_pipelines_stage_links_fingerprints(spark, sf_dir, monkeypatch):
+    """With no two sets in a band, copies within two bits are dropped, unlike texts of one fingerprint aren't."""
+    rng = random.Random(3)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [" ".join(["a b c d e f g"] * 200 + fresh(60)) for _ in range(2)]
+    for _ in range(40):
+        base = fresh(1500)
+        texts += [" ".join(base), " ".join([*base[:700], "changed", *base[701:]])]
+    fps = [simhash.fingerprint(t, near_copies.WIDTH) for t in texts]
+    assert [near_copies.sketch(t)[1] for t in texts] == fps
+    near = lambda i: bin((fps[i] ^ fps[i + 1]) & (2**64 - 1)).count("1") <= 2
+    gone = {i + 1 for i in range(2, len(texts), 2) if near(i)}
+    assert near(0) and similarity(*map(shingles, texts[:2])) < 0.8 and 5 < len(gone)
+    print("copies of one changed word in 1,500 within two bits:", len(gone), "of 40")
+    sketches = near_copies.sketches
+    monkeypatch.setattr(near_copies, "sketches", lambda docs: sketches(docs).withColumn("bands", F.array(F.xxhash64("own"))))
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    stay = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCS), sf_dir)
+    assert sorted(r.doc_id for r in stay.collect()) == [i for i in range(len(texts)) if i not in gone]
+
+
 @pytest.mark.parametrize("which", ["docs", "odd", "none"])
 def test_one_row_of_each_component_stays(spark, which, request):
     df = request.getfixturevalue(which)
