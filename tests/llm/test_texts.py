@@ -129,6 +129,43 @@ def test_remembered_words_give_the_tokenizers_ids(words, docs):
         assert list(np.frombuffer(words.encode(text), "<u4")) == plain_ids(words, text), text[:100]
 
 
+def test_texts_encoded_together_keep_their_own_ids(words, monkeypatch):
+    """Plain and other texts in one call, in parts of any size, with every apostrophe case at edges."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("aSt'l'veRdm' \n\r\t!9é×", k=rng.randrange(30))) for _ in range(2000)] + ["", " ", "\n", "'", "漢 'S", "<|endoftext|>'s", "x" * 500, "'re", "s"]
+    rng.shuffle(texts)
+    want = [plain_ids(words, t) for t in texts]
+    for part in (1, 7, 1000, 1 << 21):
+        monkeypatch.setattr(packing, "PART", part)
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode_all(texts)] == want
+    assert words.encode_all([]) == []
+
+
+def test_new_words_of_many_texts_share_calls(monkeypatch):
+    """New words of a batch go to the tokenizer 256 to a call, not text by text; none is asked for twice."""
+    one = WordEncoder(queries.tokenizer_path("word_bpe_49k.json"))
+    asked, plain = [], one.tokenizer
+
+    class Counted:
+        def encode(self, text, **options):
+            asked.append(text)
+            return plain.encode(text, **options)
+
+    monkeypatch.setattr(one, "tokenizer", Counted())
+    texts = [f"the {a}{b}q and {b}{a}z, Don't" for a in "abcdefghijklmnop" for b in "abcdefghijklmnop"]
+    for _ in range(2):
+        got = one.encode_all(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) <= 3 and len(words := " ".join(asked).split()) == len(set(words))
+
+
+def test_memo_begins_anew_without_losing_ids(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 8)
+    one = WordEncoder(queries.tokenizer_path("word_bpe_49k.json"))
+    for texts in (["a b c d e f", "g h i j 漢字 ü漢"], ["a z y x w v u t s r q p o n", "c d"], ["漢字 漢字 b ü漢 " * 9, "b"]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in one.encode_all(texts)] == [plain_ids(one, t) for t in texts]
+
+
 @pytest.mark.parametrize("which", ["docs", "odd", "none"])
 def test_pieces_tile_documents_and_sequences(which, request, words):
     df = request.getfixturevalue(which)
